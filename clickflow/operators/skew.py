@@ -20,8 +20,7 @@ KEYLESS_GROUPS = 4096
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for a plan; unknown sizes count as very large."""
     try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size.toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return 1 << 62
 
@@ -56,12 +55,14 @@ class HotKeys:
 
 def find_hot_keys(df: DataFrame, names: list[str], seq: str, usable: Column | None = None,
                   hot_share: float = 1 / 2048, fraction: float = 0.001,
-                  blocks: int = 65536, small_bytes: int = 256 << 20) -> HotKeys | None:
+                  least_rows: int = 16, blocks: int = 65536,
+                  small_bytes: int = 256 << 20) -> HotKeys | None:
     """Looks for keys that hold more than ``hot_share`` of the rows; None if there are none.
 
     Inputs whose estimated size is below ``small_bytes`` fit one task and are not looked at.
-    Larger ones are sampled, which only steers the balance. Both collected results are
-    bounded: one row of totals, and fewer than ``1 / hot_share`` keys.
+    Larger ones are sampled, which only steers the balance; ``least_rows`` sampled rows are
+    needed for a key to count. Both collected results are bounded: one row of totals, and
+    fewer than ``1 / hot_share`` keys.
     """
     narrow = df.where(usable) if usable is not None else df
     narrow = narrow.select(*names, seq)
@@ -74,7 +75,7 @@ def find_hot_keys(df: DataFrame, names: list[str], seq: str, usable: Column | No
         return None
     hot = (
         sample.groupBy(*names).agg(F.count(F.lit(1)).alias("rows_in_sample"))
-        .where(F.col("rows_in_sample") > F.lit(max(total * hot_share, 1.0)))
+        .where(F.col("rows_in_sample") > F.lit(float(max(total * hot_share, least_rows))))
         .drop("rows_in_sample").collect()
     )
     if not hot:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from clickflow.plans import clicks
+from clickflow.plans import clicks, stores
 
 
 def _utc(query):
@@ -17,8 +17,8 @@ def _utc(query):
 
 
 def all_queries():
-    return {name: _utc(query) for name, query in clicks.QUERIES.items()}
+    return {name: _utc(query) for part in (clicks, stores) for name, query in part.QUERIES.items()}
 
 
 def all_oracles():
-    return dict(clicks.ORACLES)
+    return {name: sql for part in (clicks, stores) for name, sql in part.ORACLES.items()}

@@ -36,7 +36,8 @@ def new_visitor_flags_split(spark, folder):
     """As above, with the splitting of big visitors forced onto small ones."""
     clicks = tables.load_order_clicks(spark, folder)
     hot = visitors.hot_visitors(
-        clicks, small_bytes=0, fraction=1.0, hot_share=1 / 4096, blocks=64)
+        clicks, small_bytes=0, fraction=1.0, hot_share=1 / 4096, least_rows=2,
+        blocks=64)
     return visitors.visitor_flags(clicks, hot).select(*FLAG_COLUMNS)
 
 
