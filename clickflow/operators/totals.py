@@ -1,9 +1,10 @@
-"""Running totals kept as a table of per-batch deltas.
+"""Running totals kept as a ledger of per-batch sums.
 
-Each batch writes its own ``batch_id`` partition and replaces it when replayed, so a restart
-never counts twice. The total is the sum over a base and the deltas after it. Folding sums
-old deltas into a new base under a new name; readers use a base only once it is registered
-in the small ``bases`` table, which is written last.
+The stream writes one kind of row: the sums of a channel and hour within a fired window. All
+result tables are sums over those rows. Each batch writes its own ``batch_id`` partition and
+replaces it when replayed, so a restart never counts twice. Folding sums old batches into a
+base under a new name; readers use a base only once it is listed in the small ``bases``
+table, which is written last.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickflow.operators import metrics
 from clickflow.session import setting
 
 # Per result table its key and its summed columns.
@@ -20,6 +22,17 @@ TOTALS = {
     "channel_freshness": (["channelId", "date"], ["newCount", "oldCount"]),
 }
 
+FROM_HOURLY = {
+    "channel": metrics.hot_from_hourly,
+    "channel_pvuv": metrics.pvuv_from_hourly,
+    "channel_freshness": metrics.freshness_from_hourly,
+}
+
+_SUMS = ", ".join(f"{name} bigint" for name in metrics.HOURLY_SUMS)
+BASE_SCHEMA = f"channelId string, hourKey bigint, {_SUMS}"
+DELTA_SCHEMA = f"windowStart bigint, {BASE_SCHEMA}, batch_id bigint"
+LAST_SCHEMA = "channelId string, windowStart bigint, visited bigint"
+
 
 def add_totals(table: str, *parts: DataFrame) -> DataFrame:
     """Old totals and any number of deltas to new totals."""
@@ -49,37 +62,56 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-class TotalsTable:
-    """Deltas, folded bases and the current totals of one result table below a folder."""
+class Ledger:
+    """The stream's sums below a folder, and every result table read from them."""
 
-    def __init__(self, spark: SparkSession, folder: str, table: str):
-        self.spark, self.table = spark, table
-        self.path = f"{folder.rstrip('/')}/{table}"
-        key, sums = TOTALS[table]
-        self.row_schema = ", ".join([f"{n} string" for n in key] + [f"{n} bigint" for n in sums])
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def append(self, windows: DataFrame, batch_id: int) -> None:
+        columns = ["windowStart", "channelId", "hourKey", *metrics.HOURLY_SUMS]
+        write_batch(windows.select(*columns), f"{self.folder}/deltas", batch_id)
 
     def deltas(self) -> DataFrame:
-        schema = f"windowStart bigint, {self.row_schema}, batch_id bigint"
-        return read_if_there(self.spark, f"{self.path}/deltas", schema)
+        return read_if_there(self.spark, f"{self.folder}/deltas", DELTA_SCHEMA)
 
-    def append(self, windows: DataFrame, batch_id: int) -> None:
-        """Writes the fired windows of one batch, one row per key and window."""
-        key, sums = TOTALS[self.table]
-        write_batch(windows.select("windowStart", *key, *sums), f"{self.path}/deltas", batch_id)
+    def windows(self, table: str, **options) -> DataFrame:
+        """The fired windows of a result table, one row per window and key."""
+        return FROM_HOURLY[table](self.deltas(), "windowStart", **options)
 
     def folded_up_to(self) -> int:
         """The last batch in the newest base, -1 if there is none."""
-        bases = read_if_there(self.spark, f"{self.path}/bases", "upto bigint")
+        bases = read_if_there(self.spark, f"{self.folder}/bases", "upto bigint")
         newest = bases.agg(F.max("upto")).first()[0]
         return -1 if newest is None else newest
 
-    def current(self) -> DataFrame:
-        upto = self.folded_up_to()
-        fresh = self.deltas().where(F.col("batch_id") > upto)
+    def _base(self, kind: str, upto: int, schema: str) -> DataFrame:
         if upto < 0:
-            return add_totals(self.table, fresh)
-        base = self.spark.read.schema(self.row_schema).parquet(f"{self.path}/base-{upto}")
-        return add_totals(self.table, base, fresh)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{kind}-{upto}")
+
+    def _since(self, done: int, upto: int | None = None) -> DataFrame:
+        fresh = self.deltas().where(F.col("batch_id") > done)
+        return fresh if upto is None else fresh.where(F.col("batch_id") <= upto)
+
+    def totals(self, table: str, **options) -> DataFrame:
+        """The current totals of a result table."""
+        done = self.folded_up_to()
+        fresh = self._since(done).drop("windowStart", "batch_id")
+        every = self._base("base", done, BASE_SCHEMA).unionByName(fresh)
+        return FROM_HOURLY[table](every, **options)
+
+    def last_windows(self) -> DataFrame:
+        """Per channel the count of the latest fired window only, not the running total."""
+        done = self.folded_up_to()
+        return self._last(done, self._since(done)).drop("windowStart")
+
+    def _last(self, done: int, fresh: DataFrame) -> DataFrame:
+        counted = metrics.hot_from_hourly(fresh, "windowStart")
+        every = self._base("last", done, LAST_SCHEMA).unionByName(counted)
+        return every.groupBy("channelId").agg(
+            F.max_by("visited", "windowStart").alias("visited"),
+            F.max("windowStart").alias("windowStart"))
 
     def fold(self, upto: int) -> None:
         """Sums all batches up to and including ``upto`` into a new base.
@@ -90,18 +122,13 @@ class TotalsTable:
         done = self.folded_up_to()
         if upto <= done:
             return
-        fresh = self.deltas().where(F.col("batch_id").between(done + 1, upto))
-        parts = [fresh]
-        if done >= 0:
-            parts.append(self.spark.read.schema(self.row_schema)
-                         .parquet(f"{self.path}/base-{done}"))
+        fresh = self._since(done, upto)
+        every = self._base("base", done, BASE_SCHEMA).unionByName(
+            fresh.drop("windowStart", "batch_id"))
+        summed = every.groupBy("channelId", "hourKey").agg(
+            *[F.sum(n).cast("bigint").alias(n) for n in metrics.HOURLY_SUMS])
+        listed = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
         with setting(self.spark, spark__sql__sources__partitionOverwriteMode="static"):
-            (add_totals(self.table, *parts)
-             .write.mode("overwrite").parquet(f"{self.path}/base-{upto}"))
-            (self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-             .write.mode("append").parquet(f"{self.path}/bases"))
-
-    def last_window(self) -> DataFrame:
-        """Per channel only the latest fired window, for the ``channel`` table."""
-        return self.deltas().groupBy("channelId").agg(
-            F.max_by("visited", "windowStart").alias("visited"))
+            summed.write.mode("overwrite").parquet(f"{self.folder}/base-{upto}")
+            self._last(done, fresh).write.mode("overwrite").parquet(f"{self.folder}/last-{upto}")
+            listed.write.mode("append").parquet(f"{self.folder}/bases")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import wraps
 
-from clickflow.plans import clicks, stores
+from clickflow.plans import clicks, stores, streams
+
+PARTS = (clicks, stores, streams)
 
 
 def _utc(query):
@@ -17,8 +19,8 @@ def _utc(query):
 
 
 def all_queries():
-    return {name: _utc(query) for part in (clicks, stores) for name, query in part.QUERIES.items()}
+    return {name: _utc(query) for part in PARTS for name, query in part.QUERIES.items()}
 
 
 def all_oracles():
-    return {name: sql for part in (clicks, stores) for name, sql in part.ORACLES.items()}
+    return {name: sql for part in PARTS for name, sql in part.ORACLES.items()}

@@ -101,7 +101,7 @@ def cdc_batch_sequence_limited(spark, folder):
         F.count(F.lit(1)).cast("bigint").alias("entries"))
 
 
-def _spread(records):
+def spread_columns(records):
     """Change records with one row per listed column."""
     scalars = [n for n in CHANGE_RECORD.names if n != "columnValueList"]
     return records.select(*scalars, F.explode("columnValueList").alias("c")).select(
@@ -109,7 +109,7 @@ def _spread(records):
 
 
 def cdc_flatten(spark, folder):
-    return _spread(changes.flatten_entries(_entries(spark, folder)))
+    return spread_columns(changes.flatten_entries(_entries(spark, folder)))
 
 
 def cdc_topic_records(spark, folder):
@@ -133,7 +133,7 @@ def load_entry_texts(spark, folder):
 def cdc_decode(spark, folder):
     parsed = changes.parse_entries(load_entry_texts(spark, folder), keep=("batchId",))
     entries = changes.number_batches(changes.good_entries(parsed))
-    return _spread(changes.flatten_entries(entries))
+    return spread_columns(changes.flatten_entries(entries))
 
 
 def cdc_bad_entries(spark, folder):
