@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickflow.functions.text import to_text
+from clickflow.operators.batchlog import read_if_there
 from clickflow.operators.skew import plan_bytes
-from clickflow.operators.totals import read_if_there
 from clickflow.schemas import CELL_LOG
 
 PUT, DELETE = "put", "delete"

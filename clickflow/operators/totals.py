@@ -1,19 +1,15 @@
-"""Running totals kept as a ledger of per-batch sums.
+"""Running totals, kept as a ledger of per-batch sums.
 
-The stream writes one kind of row: the sums of a channel and hour within a fired window. All
-result tables are sums over those rows. Each batch writes its own ``batch_id`` partition and
-replaces it when replayed, so a restart never counts twice. Folding sums old batches into a
-base under a new name; readers use a base only once it is listed in the small ``bases``
-table, which is written last.
+The stream writes one kind of row: the sums of a channel and hour within a window. All result
+tables are sums over those rows.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickflow.operators import metrics
-from clickflow.session import setting
+from clickflow.operators.batchlog import BatchLog
 
 # Per result table its key and its summed columns.
 TOTALS = {
@@ -30,7 +26,7 @@ FROM_HOURLY = {
 
 _SUMS = ", ".join(f"{name} bigint" for name in metrics.HOURLY_SUMS)
 BASE_SCHEMA = f"channelId string, hourKey bigint, {_SUMS}"
-DELTA_SCHEMA = f"windowStart bigint, {BASE_SCHEMA}, batch_id bigint"
+DELTA_SCHEMA = f"windowStart bigint, {BASE_SCHEMA}"
 LAST_SCHEMA = "channelId string, windowStart bigint, visited bigint"
 
 
@@ -43,92 +39,48 @@ def add_totals(table: str, *parts: DataFrame) -> DataFrame:
     return every.groupBy(*key).agg(*[F.sum(n).cast("bigint").alias(n) for n in sums])
 
 
-def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The Parquet table at a path, or an empty one if nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Writes one batch's partition, replacing it if the batch was written before."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path)
-    )
-
-
 class Ledger:
     """The stream's sums below a folder, and every result table read from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.folder = folder.rstrip("/")
+        self.log = BatchLog(spark, f"{self.folder}/sums", DELTA_SCHEMA)
 
     def append(self, windows: DataFrame, batch_id: int) -> None:
         columns = ["windowStart", "channelId", "hourKey", *metrics.HOURLY_SUMS]
-        write_batch(windows.select(*columns), f"{self.folder}/deltas", batch_id)
-
-    def deltas(self) -> DataFrame:
-        return read_if_there(self.spark, f"{self.folder}/deltas", DELTA_SCHEMA)
+        self.log.append(windows.select(*columns), batch_id)
 
     def windows(self, table: str, **options) -> DataFrame:
-        """The fired windows of a result table, one row per window and key."""
-        return FROM_HOURLY[table](self.deltas(), "windowStart", **options)
-
-    def folded_up_to(self) -> int:
-        """The last batch in the newest base, -1 if there is none."""
-        bases = read_if_there(self.spark, f"{self.folder}/bases", "upto bigint")
-        newest = bases.agg(F.max("upto")).first()[0]
-        return -1 if newest is None else newest
-
-    def _base(self, kind: str, upto: int, schema: str) -> DataFrame:
-        if upto < 0:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{kind}-{upto}")
-
-    def _since(self, done: int, upto: int | None = None) -> DataFrame:
-        fresh = self.deltas().where(F.col("batch_id") > done)
-        return fresh if upto is None else fresh.where(F.col("batch_id") <= upto)
+        """A result table per window: one row per window and key."""
+        return FROM_HOURLY[table](self.log.batches(), "windowStart", **options)
 
     def totals(self, table: str, **options) -> DataFrame:
         """The current totals of a result table."""
-        done = self.folded_up_to()
-        fresh = self._since(done).drop("windowStart", "batch_id")
-        every = self._base("base", done, BASE_SCHEMA).unionByName(fresh)
+        done = self.log.folded_up_to()
+        fresh = self.log.batches(done).drop("windowStart", "batch_id")
+        every = self.log.base("base", done, BASE_SCHEMA).unionByName(fresh)
         return FROM_HOURLY[table](every, **options)
 
     def last_windows(self) -> DataFrame:
-        """Per channel the count of the latest fired window only, not the running total."""
-        done = self.folded_up_to()
-        return self._last(done, self._since(done)).drop("windowStart")
+        """Per channel the count of its latest window only, not the running total."""
+        done = self.log.folded_up_to()
+        return self._last(done, self.log.batches(done)).drop("windowStart")
 
     def _last(self, done: int, fresh: DataFrame) -> DataFrame:
-        counted = metrics.hot_from_hourly(fresh, "windowStart")
-        every = self._base("last", done, LAST_SCHEMA).unionByName(counted)
-        return every.groupBy("channelId").agg(
-            F.max_by("visited", "windowStart").alias("visited"),
-            F.max("windowStart").alias("windowStart"))
+        every = self.log.base("last", done, LAST_SCHEMA).unionByName(
+            fresh.select(*[n.split()[0] for n in LAST_SCHEMA.split(", ")]))
+        summed = metrics.hot_from_hourly(every, "windowStart")
+        return summed.groupBy("channelId").agg(
+            F.max("windowStart").alias("windowStart"),
+            F.max_by("visited", "windowStart").alias("visited"))
 
     def fold(self, upto: int) -> None:
-        """Sums all batches up to and including ``upto`` into a new base.
-
-        Only fold batches the stream can no longer replay, that is, ones older than its
-        newest committed batch.
-        """
-        done = self.folded_up_to()
-        if upto <= done:
-            return
-        fresh = self._since(done, upto)
-        every = self._base("base", done, BASE_SCHEMA).unionByName(
-            fresh.drop("windowStart", "batch_id"))
-        summed = every.groupBy("channelId", "hourKey").agg(
-            *[F.sum(n).cast("bigint").alias(n) for n in metrics.HOURLY_SUMS])
-        listed = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-        with setting(self.spark, spark__sql__sources__partitionOverwriteMode="static"):
-            summed.write.mode("overwrite").parquet(f"{self.folder}/base-{upto}")
-            self._last(done, fresh).write.mode("overwrite").parquet(f"{self.folder}/last-{upto}")
-            listed.write.mode("append").parquet(f"{self.folder}/bases")
+        """Sums the batches up to and including ``upto`` into a new base."""
+        def parts(done: int, fresh: DataFrame) -> dict[str, DataFrame]:
+            every = self.log.base("base", done, BASE_SCHEMA).unionByName(
+                fresh.drop("windowStart", "batch_id"))
+            summed = every.groupBy("channelId", "hourKey").agg(
+                *[F.sum(n).cast("bigint").alias(n) for n in metrics.HOURLY_SUMS])
+            return {"base": summed, "last": self._last(done, fresh)}
+
+        self.log.fold(upto, parts)

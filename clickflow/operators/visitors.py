@@ -14,6 +14,7 @@ from clickflow.operators.skew import KEYLESS_GROUPS, HotKeys, find_hot_keys
 from clickflow.operators.widen import with_hour_key
 
 VISITOR_KEY = ["userID", "channelID"]
+FLAG_NAMES = ["isNew", "isHourNew", "isDayNew", "isMonthNew"]
 
 
 def can_be_known() -> Column:
@@ -21,18 +22,20 @@ def can_be_known() -> Column:
     return ~is_blank("userID") & F.col("channelID").isNotNull()
 
 
-def flag_columns(previous: Column, current: Column) -> dict[str, Column]:
-    """The four flags from the previous and the current ``yyyyMMddHH`` number."""
-    def later(step: int) -> Column:
-        now, last = current - current % step, previous - previous % step
-        return F.when(previous.isNull() | (now > last), 1).otherwise(0)
+def add_flags(clicks: DataFrame) -> DataFrame:
+    """Turns ``previousHour`` and ``hourKey``, both yyyyMMddHH numbers, into the four flags."""
+    current, previous = F.col("hourKey"), F.col("previousHour")
 
-    return {
+    def flag(step: int) -> Column:
+        later = current - current % step > previous - previous % step
+        return F.when(previous.isNull() | later, 1).otherwise(0)
+
+    return clicks.withColumns({
         "isNew": F.when(previous.isNull(), 1).otherwise(0),
-        "isHourNew": F.when(previous.isNull() | (current > previous), 1).otherwise(0),
-        "isDayNew": later(100),
-        "isMonthNew": later(10000),
-    }
+        "isHourNew": flag(1),
+        "isDayNew": flag(100),
+        "isMonthNew": flag(10000),
+    }).drop("previousHour")
 
 
 def hot_visitors(clicks: DataFrame, **limits) -> HotKeys | None:
@@ -83,9 +86,7 @@ def visitor_flags(clicks: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     Needs ``userID``, ``channelID``, ``timestamp`` (epoch ms) and ``seq``, a whole number
     that is unique and rises in arrival order.
     """
-    ordered = with_previous_hour(clicks, hot)
-    flags = flag_columns(F.col("previousHour"), F.col("hourKey"))
-    return ordered.withColumns({n: c.cast("int") for n, c in flags.items()}).drop("previousHour")
+    return add_flags(with_previous_hour(clicks, hot))
 
 
 def user_history(clicks: DataFrame) -> DataFrame:
@@ -101,19 +102,24 @@ def user_history(clicks: DataFrame) -> DataFrame:
     )
 
 
+# History rows are numbered from here up by batch, below every click's own number.
+PAST_SEQ = -(1 << 63)
+
+
 def flags_with_history(clicks: DataFrame, history: DataFrame,
                        hot: HotKeys | None = None) -> DataFrame:
     """Flags for one batch of clicks, given the history left by earlier batches.
 
     Each history row joins its visitor's clicks as a row before the first, so the lookup
-    costs no exchange of its own beyond shuffling the history rows.
+    costs no exchange of its own beyond shuffling the history rows. A visitor may have a
+    history row per earlier batch, told apart by ``batch_id``; the newest counts.
     """
-    keyed = with_hour_key(clicks)
-    before_all = F.lit(-(1 << 63)).cast("bigint")
+    keyed = clicks if "hourKey" in clicks.columns else with_hour_key(clicks)
+    batch = F.col("batch_id") + 1 if "batch_id" in history.columns else F.lit(0)
     earlier = history.select(
         F.col("userid").alias("userID"), F.col("channelid").alias("channelID"),
-        before_all.alias("seq"), hour_key("lastVisitedTime").alias("hourKey"),
-        F.lit(True).alias("_past"))
+        (F.lit(PAST_SEQ) + batch).cast("bigint").alias("seq"),
+        hour_key("lastVisitedTime").alias("hourKey"), F.lit(True).alias("_past"))
     both = keyed.withColumn("_past", F.lit(False)).unionByName(earlier, allowMissingColumns=True)
     return visitor_flags(both, hot).where(~F.col("_past")).drop("_past")
 

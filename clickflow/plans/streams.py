@@ -97,14 +97,14 @@ def _write_steps(spark, folder, out):
     return events.schema
 
 
-def _stepped_ledger(spark, folder, runs=1, fold=False):
-    """Runs the click job one written step per micro-batch, stopping and restarting in between."""
+def _stepped_ledger(spark, folder, runs=1, fold=False, start=job.start_click_job):
+    """Runs a click job one written step per micro-batch, stopping and restarting in between."""
     out = work_folder(spark, "steps")
     schema = _write_steps(spark, folder, f"{out}/input")
     ledger = Ledger(spark, f"{out}/ledger")
     for number in range(runs):
         stream = files.stream_files(spark, f"{out}/input", schema, files_per_batch=1)
-        query = job.start_click_job(
+        query = start(
             tables.event_clicks(stream), ledger.folder, f"{out}/checkpoint",
             ("channel_pvuv", "channel_freshness", "channel"), None)
         query.awaitTermination()
@@ -123,6 +123,21 @@ def stream_totals(spark, folder):
     return _stepped_ledger(spark, folder, runs=2, fold=True).totals("channel_pvuv")
 
 
+def stream_bulk_late_rows(spark, folder):
+    """The large-batch job on the same late clicks."""
+    ledger = _stepped_ledger(spark, folder, start=job.start_bulk_click_job)
+    return ledger.windows("channel_freshness")
+
+
+def stream_bulk_totals(spark, folder):
+    """The large-batch job over all events, in one batch."""
+    out = work_folder(spark, "bulk")
+    query = job.start_bulk_click_job(
+        stream_event_clicks(spark, folder), out, f"{out}/checkpoint", trigger=None)
+    query.awaitTermination()
+    return Ledger(spark, out).totals("channel_pvuv")
+
+
 def stream_change_records(spark, folder):
     """Change entries as a stream of files, one fetch batch each, the second of them empty."""
     out = work_folder(spark, "changes")
@@ -138,7 +153,8 @@ def stream_change_records(spark, folder):
 
 QUERIES = {f.__name__: f for f in [
     stream_parse, stream_new_visitor_flags, stream_pvuv, stream_freshness, stream_hot,
-    stream_hot_last_window, stream_late_rows, stream_totals, stream_change_records,
+    stream_hot_last_window, stream_late_rows, stream_totals, stream_bulk_late_rows,
+    stream_bulk_totals, stream_change_records,
 ]}
 
 
@@ -179,6 +195,15 @@ fired AS (
   WHERE "windowStart" + 3000 > coalesce(mark, 0)
     AND "windowStart" + 3000 <= (SELECT max(ms) - 2000 FROM flagged))"""
 
+# The large-batch job knows the batch right before, and its windows need not be over.
+BULK_IN_TIME = """
+marks AS (
+  SELECT s.step, (SELECT max(ms) - 2000 FROM stepped WHERE stepped.step <= s.step - 1) AS mark
+  FROM (SELECT DISTINCT step FROM stepped) s),
+fired AS (
+  SELECT flagged.* FROM flagged JOIN marks USING (step)
+  WHERE "windowStart" + 3000 > coalesce(mark, 0))"""
+
 ONLY_FLAGS = batch.FLAGS[batch.FLAGS.index("flagged AS"):]
 
 _with = batch._with
@@ -210,6 +235,10 @@ FROM spread GROUP BY 1, 2, 3"""),
     "stream_totals": _with(batch.EVENTS, STEPPED, ONLY_FLAGS, IN_TIME, _of_fired(batch.PVUV),
                            then=f"""
 SELECT "channelId", "yearMonthDayHour", {batch.SUM_PVUV} FROM spread GROUP BY 1, 2"""),
+    "stream_bulk_late_rows": _with(
+        batch.EVENTS, STEPPED, ONLY_FLAGS, BULK_IN_TIME, _of_fired(batch.FRESHNESS), then=f"""
+SELECT "windowStart", "channelId", date, {batch.SUM_FRESHNESS} FROM spread GROUP BY 1, 2, 3"""),
+    "stream_bulk_totals": batch.ORACLES["channel_pvuv"],
     "stream_change_records": _with(stores.ENTRIES, """
 numbered AS (
   SELECT *, CAST(("batchId" // 2) % 3 + 1 AS INTEGER) AS "emptyCount" FROM kinds

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.operators import changes, envelope
-from clickflow.operators.totals import TOTALS, Ledger, read_if_there, write_batch
+from clickflow.operators.batchlog import BatchLog, read_if_there, write_batch
+from clickflow.operators.history import VisitorHistory
+from clickflow.operators.metrics import WINDOW_MS, hourly_sums, window_start
+from clickflow.operators.totals import TOTALS, Ledger
+from clickflow.operators.visitors import FLAG_NAMES, hot_visitors
 from clickflow.operators.widen import with_hour_key
 from clickflow.session import ROCKSDB_PROVIDER, setting
-from clickflow.streaming.visitors import FLAGS, stream_visitor_flags
-from clickflow.streaming.windows import window_sums
+from clickflow.streaming.visitors import stream_visitor_flags
+from clickflow.streaming.windows import LATENESS_MS, event_ms, window_sums
 
 TRIGGER = "5 seconds"
 
@@ -46,17 +50,17 @@ def start(writer, spark: SparkSession, checkpoint: str, trigger: str | None,
         return writer.start()
 
 
-def metric_windows(clicks: DataFrame, tasks: tuple[str, ...]) -> DataFrame:
-    """Window sums for the wanted result tables; channel heat alone needs no visitor state."""
-    unknown = set(tasks) - set(TOTALS)
-    if unknown or not tasks:
+def _metric_clicks(clicks: DataFrame, tasks: tuple[str, ...]) -> tuple[DataFrame, bool]:
+    """The columns the wanted result tables need, and whether they need visitor flags."""
+    if not tasks or set(tasks) - set(TOTALS):
         raise ValueError(f"tasks must be some of {sorted(TOTALS)}")
     narrow = clicks.select(*[n for n in METRIC_COLUMNS if n in clicks.columns])
-    if set(tasks) == {"channel"}:
-        flagged = with_hour_key(narrow).withColumns({n: F.lit(0) for n in FLAGS})
-    else:
-        flagged = stream_visitor_flags(narrow)
-    return window_sums(flagged)
+    return narrow, set(tasks) != {"channel"}
+
+
+def _unflagged(clicks: DataFrame) -> DataFrame:
+    """Clicks with all flags 0, for channel heat, which does not look at them."""
+    return with_hour_key(clicks).withColumns({n: F.lit(0) for n in FLAG_NAMES})
 
 
 def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
@@ -68,13 +72,57 @@ def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     """
     spark = clicks.sparkSession
     ledger = Ledger(spark, folder)
+    narrow, need_flags = _metric_clicks(clicks, tasks)
+    flagged = stream_visitor_flags(narrow) if need_flags else _unflagged(narrow)
     writer = (
-        metric_windows(clicks, tasks).writeStream.outputMode("append")
+        window_sums(flagged).writeStream.outputMode("append")
         .foreachBatch(lambda batch, batch_id: ledger.append(batch, batch_id))
     )
     return start(writer, spark, checkpoint, trigger, state_partitions)
 
 
+def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
+                         tasks: tuple[str, ...] = ("channel_pvuv",),
+                         trigger: str | None = "1 minute", **hot_limits) -> StreamingQuery:
+    """The same ledger from large micro-batches, with the visitor history as a table.
+
+    Every step is an ordinary batch query: no Python runs, and a visitor or robot that sends
+    a large part of all clicks is split over many tasks. Meant for backlogs and for triggers
+    of a minute or more, since each batch reads the whole (narrow) history. All that a batch
+    writes follows from its input and from what earlier batches wrote, so a replay rewrites
+    the same rows. Clicks whose window had ended two seconds before the newest click of the
+    batches before theirs are late: they count for the history but for no window.
+    """
+    spark = clicks.sparkSession
+    ledger, history = Ledger(spark, folder), VisitorHistory(spark, folder)
+    newest = BatchLog(spark, f"{ledger.folder}/newest", "ms bigint")
+    narrow, need_flags = _metric_clicks(clicks, tasks)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            latest = batch.agg(F.max(event_ms(batch)).alias("ms"))
+            if latest.first()[0] is None:
+                return
+            seen = newest.batches(upto=batch_id - 1).agg(F.max("ms")).first()[0]
+            if need_flags:
+                flagged = history.flag(batch, batch_id, hot_visitors(batch, **hot_limits))
+            else:
+                flagged = _unflagged(batch)
+            rows = flagged.withColumn("_ms", event_ms(flagged)).withColumn(
+                "windowStart", window_start("_ms"))
+            if seen is not None:
+                rows = rows.where(F.col("windowStart") + WINDOW_MS > seen - LATENESS_MS)
+            ledger.append(hourly_sums(rows, "windowStart"), batch_id)
+            if need_flags:
+                history.append(batch, batch_id)
+            newest.append(latest, batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(narrow.writeStream.foreachBatch(handle), spark, checkpoint, trigger)
+
+
 def start_file_sink(stream: DataFrame, folder: str, checkpoint: str,
                     trigger: str | None = TRIGGER,
                     state_partitions: int | None = None) -> StreamingQuery:

@@ -1,7 +1,9 @@
 """New-visitor flags on a stream, from state kept per user and channel.
 
 The state is the visitor's last click and never expires, since a visitor counts as new only
-once. It comes before any watermark, so clicks too late for a window still update it.
+once. It comes before any watermark, so clicks too late for a window still update it. Python
+finds only the hour of the click before; Spark's expressions turn it into flags, the same
+ones as for bounded tables.
 """
 
 from __future__ import annotations
@@ -12,34 +14,34 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from clickflow.operators.skew import KEYLESS_GROUPS
-from clickflow.operators.visitors import VISITOR_KEY, can_be_known
+from clickflow.operators.visitors import VISITOR_KEY, add_flags, can_be_known
 from clickflow.operators.widen import with_hour_key
 
-FLAGS = ["isNew", "isHourNew", "isDayNew", "isMonthNew"]
 STATE = "lastVisitedTime bigint, lastHour bigint"
 
 # Stands for "no click before"; below every real hour number.
 NONE_BEFORE = 0
 
 
-def flag_visits(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Flags one visitor's clicks of a micro-batch, in arrival order."""
-    rows = pd.concat(list(frames), ignore_index=True)
-    rows = rows.sort_values("seq", kind="stable", ignore_index=True)
-    known = key[2] == 0
-    hours = rows["hourKey"].to_numpy("int64")
-    before = np.full(len(rows), NONE_BEFORE, "int64")
-    if known:
+def previous_visits(key, frames: Iterator[pd.DataFrame],
+                    state: GroupState) -> Iterator[pd.DataFrame]:
+    """Adds the hour of the click before to one visitor's clicks of a micro-batch."""
+    parts = list(frames)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    seq = rows["seq"].to_numpy()
+    if (seq[1:] < seq[:-1]).any():
+        rows = rows.iloc[np.argsort(seq, kind="stable")]
+    hours = rows["hourKey"].to_numpy()
+    before = np.full(len(hours), NONE_BEFORE, "int64")
+    if key[-1] == 0:
         before[1:] = hours[:-1]
         if state.exists:
             before[0] = state.get[1]
-        state.update((int(rows["timestamp"].iloc[-1]), int(hours[-1])))
-    rows["isNew"] = (before == NONE_BEFORE).astype("int32")
-    for name, step in (("isHourNew", 1), ("isDayNew", 100), ("isMonthNew", 10000)):
-        rows[name] = (hours // step > before // step).astype("int32")
+        state.update((int(rows["timestamp"].iat[-1]), int(hours[-1])))
+    rows["previousHour"] = before
     yield rows
 
 
@@ -51,8 +53,8 @@ def stream_visitor_flags(clicks: DataFrame) -> DataFrame:
     keyless = F.pmod(F.xxhash64("seq"), F.lit(KEYLESS_GROUPS)) + 1
     keyed = with_hour_key(clicks).withColumn(
         "_group", F.when(can_be_known(), 0).otherwise(keyless).cast("bigint"))
-    output = StructType(list(keyed.schema.fields)
-                        + [StructField(name, IntegerType()) for name in FLAGS])
-    flagged = keyed.groupBy(*VISITOR_KEY, "_group").applyInPandasWithState(
-        flag_visits, output, STATE, "append", GroupStateTimeout.NoTimeout)
-    return flagged.drop("_group")
+    output = StructType([*keyed.schema.fields, StructField("previousHour", LongType())])
+    found = keyed.groupBy(*VISITOR_KEY, "_group").applyInPandasWithState(
+        previous_visits, output, STATE, "append", GroupStateTimeout.NoTimeout)
+    previous = F.nullif("previousHour", F.lit(NONE_BEFORE))
+    return add_flags(found.withColumn("previousHour", previous)).drop("_group")

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickflow.functions.calendar import event_time
 from clickflow.operators import metrics
 
 WINDOW = "3 seconds"
 LATENESS = "2 seconds"
+LATENESS_MS = 2000
+
+
+def event_ms(clicks: DataFrame) -> Column:
+    """The click's own time, or the broker's if that is later."""
+    if "arrivalMs" in clicks.columns:
+        return event_time("timestamp", "arrivalMs")
+    return F.col("timestamp")
 
 
 def with_watermark(clicks: DataFrame) -> DataFrame:
-    """Adds ``eventTime`` with the watermark: the click's own time, or the broker's if later."""
-    ms = event_time("timestamp", "arrivalMs") if "arrivalMs" in clicks.columns else "timestamp"
     return (
-        clicks.withColumn("eventTime", F.timestamp_millis(ms))
+        clicks.withColumn("eventTime", F.timestamp_millis(event_ms(clicks)))
         .withWatermark("eventTime", LATENESS)
     )
 
