@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickflow.operators.envelope import CORRUPT, parse_json
+from clickflow.operators.envelope import CORRUPT, parse_once
 from clickflow.operators.numbering import number_in_order
 from clickflow.schemas import CHANGE_ENTRY, CHANGE_RECORD
 
@@ -18,8 +18,8 @@ LAST_BATCH = 119
 
 def parse_entries(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON change entries to their fields; ``badReason`` tells which could not be read."""
-    parsed = parse_json(F.col(value), CHANGE_ENTRY)
-    rows = raw.select(*keep, F.col(value).alias("raw"), parsed.alias("_entry"))
+    texts = raw.select(*keep, F.col(value).alias("raw"))
+    rows = parse_once(texts, "raw", CHANGE_ENTRY, "_entry")
     unread = F.col("_entry").isNull() | F.col(f"_entry.{CORRUPT}").isNotNull()
     reason = (F.when(unread, "entry is not a JSON object")
               .when(F.col("_entry.entryType").isNull(), "entryType is missing")

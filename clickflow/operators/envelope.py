@@ -7,7 +7,7 @@ from pyspark.sql.types import StringType, StructType
 
 from clickflow.functions.calendar import FIRST_MS, LAST_MS
 from clickflow.functions.text import to_long
-from clickflow.schemas import CLICK_FIELDS, CLICK_TEXT, ENVELOPE_TEXT
+from clickflow.schemas import CLICK_FIELDS, ENVELOPE_TEXT, text_struct
 
 CORRUPT = "_unparsed"
 
@@ -26,6 +26,15 @@ def parse_json(text, schema: StructType) -> Column:
     return F.from_json(text, wanted, options)
 
 
+def parse_once(df: DataFrame, text: str, schema: StructType, name: str) -> DataFrame:
+    """Adds the parsed struct as a column that the optimizer cannot copy.
+
+    A later filter on a plain parsed column would be moved below it and parse every record
+    again for each field it looks at; it cannot be moved below a generated row.
+    """
+    return df.select("*", F.explode(F.array(parse_json(F.col(text), schema))).alias(name))
+
+
 def build_envelopes(clicks: DataFrame, body: str, sent_ms: str | None = None,
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Wraps raw click text as ``{count, message, timeStamp}`` JSON in a column ``value``.
@@ -44,9 +53,9 @@ def build_envelopes(clicks: DataFrame, body: str, sent_ms: str | None = None,
 def parse_envelopes(raw: DataFrame, value: str = "value",
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Envelope text to ``message``, ``count``, ``timeStamp``; unusable fields are null."""
-    parsed = parse_json(F.col(value), ENVELOPE_TEXT)
+    rows = raw.select(*keep, F.col(value).alias("_raw"))
     return (
-        raw.select(*keep, F.col(value).alias("_raw"), parsed.alias("_envelope"))
+        parse_once(rows, "_raw", ENVELOPE_TEXT, "_envelope")
         .select(
             *keep, "_raw",
             F.col("_envelope.message").alias("message"),
@@ -58,13 +67,14 @@ def parse_envelopes(raw: DataFrame, value: str = "value",
     )
 
 
-def parse_click_text(df: DataFrame, message: str = "message") -> DataFrame:
-    """Adds ``clickLog``, the 12 text fields of a click, null fields where the JSON has none."""
+def parse_click_text(df: DataFrame, message: str = "message",
+                     fields: list[str] = CLICK_FIELDS) -> DataFrame:
+    """Adds ``clickLog``, the text fields of a click, null where the JSON has none."""
     return (
-        df.withColumn("_click", parse_json(F.col(message), CLICK_TEXT))
+        parse_once(df, message, text_struct(fields), "_click")
         .withColumn("_innerBad",
                     F.col("_click").isNull() | F.col(f"_click.{CORRUPT}").isNotNull())
-        .withColumn("clickLog", F.struct(*[F.col(f"_click.{n}").alias(n) for n in CLICK_FIELDS]))
+        .withColumn("clickLog", F.struct(*[F.col(f"_click.{n}").alias(n) for n in fields]))
         .drop("_click")
     )
 
@@ -82,18 +92,19 @@ def bad_reason() -> Column:
 
 
 def parse_messages(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ("seq",),
-                   mode: str = "quarantine") -> DataFrame:
+                   mode: str = "quarantine", fields: list[str] = CLICK_FIELDS) -> DataFrame:
     """Raw envelope text to ``(clickLog, count, timeStamp)`` with a ``badReason``.
 
+    Name the click ``fields`` that are needed and the others are not taken out of the text.
     ``mode="failfast"`` stops the job at the first bad record instead of marking it.
     """
     if mode not in ("quarantine", "failfast"):
         raise ValueError(f"unknown mode {mode!r}")
-    parsed = parse_click_text(parse_envelopes(raw, value, keep))
+    parsed = parse_click_text(parse_envelopes(raw, value, keep), fields=fields)
     reason = bad_reason()
     if mode == "failfast":
-        reason = F.when(reason.isNotNull(),
-                        F.raise_error(F.concat(reason, F.lit(": "), F.col("_raw")))).cast("string")
+        stop = F.raise_error(F.concat(reason, F.lit(": "), F.coalesce("_raw", F.lit("null"))))
+        parsed = parsed.where(F.when(reason.isNotNull(), stop.cast("boolean")).otherwise(True))
     return parsed.select(*keep, "clickLog", "count", "timeStamp",
                          F.col("_raw").alias("raw"), reason.alias("badReason"))
 
@@ -108,7 +119,5 @@ def bad_messages(messages: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataF
 
 
 def flatten_messages(messages: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """Messages to flat clicks: 12 text fields, ``count`` and ``timestamp``."""
-    return messages.select(
-        *keep, *[F.col(f"clickLog.{n}").alias(n) for n in CLICK_FIELDS],
-        "count", F.col("timeStamp").alias("timestamp"))
+    """Messages to flat clicks: their text fields, ``count`` and ``timestamp``."""
+    return messages.select(*keep, "clickLog.*", "count", F.col("timeStamp").alias("timestamp"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickflow.operators import changes, envelope
 from clickflow.operators.totals import Ledger
+from clickflow.operators.visitors import VISITOR_KEY
 from clickflow.plans import clicks as batch
 from clickflow.plans import stores
 from clickflow.session import work_folder
@@ -65,7 +66,7 @@ def stream_new_visitor_flags(spark, folder):
 
 def stream_pvuv(spark, folder):
     """The whole chain from raw records; the broker's time decides the window."""
-    clicks = job.parse_raw(stream_raw_events(spark, folder))
+    clicks = job.parse_raw(stream_raw_events(spark, folder), VISITOR_KEY)
     return _ledger_result(clicks, ("channel_pvuv",)).windows("channel_pvuv")
 
 

@@ -26,7 +26,6 @@ def text_struct(names) -> StructType:
     return StructType([StructField(name, StringType()) for name in names])
 
 
-CLICK_TEXT = text_struct(CLICK_FIELDS)
 ENVELOPE_TEXT = text_struct(ENVELOPE_FIELDS)
 
 # A raw topic record as the engine reads it: text, arrival number, broker time if there is one.

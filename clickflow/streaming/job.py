@@ -12,6 +12,7 @@ from clickflow.operators.metrics import WINDOW_MS, hourly_sums, window_start
 from clickflow.operators.totals import TOTALS, Ledger
 from clickflow.operators.visitors import FLAG_NAMES, hot_visitors
 from clickflow.operators.widen import with_hour_key
+from clickflow.schemas import CLICK_FIELDS
 from clickflow.session import ROCKSDB_PROVIDER, setting
 from clickflow.streaming.visitors import stream_visitor_flags
 from clickflow.streaming.windows import LATENESS_MS, event_ms, window_sums
@@ -22,10 +23,10 @@ TRIGGER = "5 seconds"
 METRIC_COLUMNS = ["seq", "userID", "channelID", "count", "timestamp", "arrivalMs"]
 
 
-def parse_raw(raw: DataFrame) -> DataFrame:
-    """Raw records to flat clicks, bad ones left out."""
+def parse_raw(raw: DataFrame, fields: list[str] = CLICK_FIELDS) -> DataFrame:
+    """Raw records to flat clicks with the named fields, bad records left out."""
     keep = tuple(n for n in ("seq", "arrivalMs") if n in raw.columns)
-    messages = envelope.parse_messages(raw, keep=keep)
+    messages = envelope.parse_messages(raw, keep=keep, fields=fields)
     return envelope.flatten_messages(envelope.good_messages(messages), keep)
 
 
