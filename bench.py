@@ -17,7 +17,7 @@ HEADLINE = [
     "new_visitor_flags", "new_visitor_flags_orders", "new_visitor_flags_split",
     "new_visitor_flags_incremental", "click_wide", "user_history", "parse_click_log",
     "round_robin_partition", "kv_get_cell", "kv_get_row", "cdc_flatten",
-    "stream_new_visitor_flags", "stream_pvuv",
+    "stream_new_visitor_flags", "stream_pvuv", "stream_bulk_totals",
 ]
 
 
@@ -44,7 +44,8 @@ def main() -> None:
         "unit": "sec",
         "queries": seconds,
         "events_per_sec": {n: round(events / seconds[n]) for n in (
-            "channel_pvuv", "channel_freshness", "new_visitor_flags", "stream_pvuv")},
+            "channel_pvuv", "channel_freshness", "new_visitor_flags", "stream_pvuv",
+            "stream_bulk_totals")},
         "cpus": int(cpus),
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }))

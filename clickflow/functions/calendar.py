@@ -30,16 +30,12 @@ def compare_date(current_ms, history_ms, pattern: str) -> Column:
     return F.when(later, 1).otherwise(0).cast("int")
 
 
-def hour_key(ms) -> Column:
-    """Epoch milliseconds as the whole number yyyyMMddHH."""
-    at = F.timestamp_millis(_col(ms))
-    day = at.cast("date")
-    return (
-        F.year(day).cast("bigint") * 1000000
-        + F.month(day) * 10000
-        + F.dayofmonth(day) * 100
-        + F.hour(at)
-    )
+def hour_key(ms: str) -> Column:
+    """A column of epoch milliseconds as the whole number yyyyMMddHH."""
+    at = f"timestamp_millis({ms})"
+    day = f"date({at})"
+    return F.expr(
+        f"year({day}) * 1000000L + month({day}) * 10000 + day({day}) * 100 + hour({at})")
 
 
 def hour_text(key) -> Column:

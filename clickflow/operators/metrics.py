@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickflow.functions.calendar import day_text, hour_text, month_text
-
 GRAINS = ("hour", "day", "month")
 WINDOW_MS = 3000
 
@@ -20,13 +18,18 @@ HOURLY_SUMS = ["visited", "newCount",
                "hourUv", "dayUv", "monthUv", "hourOld", "dayOld", "monthOld"]
 
 
-def is_old(is_new: Column, grain_new: Column) -> Column:
-    """1 for a returning visitor's first click in a period, else 0."""
-    return F.when((is_new == 0) & (grain_new == 1), 1).otherwise(0)
+# Period texts from the hour number.
+PERIODS = {
+    "hour": "lpad(CAST(hourKey AS STRING), 10, '0')",
+    "day": "left(lpad(CAST(hourKey AS STRING), 10, '0'), 8)",
+    "month": "left(lpad(CAST(hourKey AS STRING), 10, '0'), 6)",
+}
+GRAIN_FLAGS = {"hour": "isHourNew", "day": "isDayNew", "month": "isMonthNew"}
 
 
-def period_of(grain: str) -> Column:
-    return {"hour": hour_text, "day": day_text, "month": month_text}[grain]("hourKey")
+def is_old(grain_flag: str) -> str:
+    """1 for a returning visitor's first click in a period, else 0."""
+    return f"IF(isNew = 0 AND {grain_flag} = 1, 1, 0)"
 
 
 def window_start(ms: str = "timestamp", window_ms: int = WINDOW_MS) -> Column:
@@ -35,22 +38,18 @@ def window_start(ms: str = "timestamp", window_ms: int = WINDOW_MS) -> Column:
     return (at - F.pmod(at, F.lit(window_ms))).cast("bigint")
 
 
-def fan_out(rows: DataFrame, measures: dict[str, dict[str, Column]], period: str,
+def fan_out(rows: DataFrame, period: str, measures: dict[str, dict[str, str]],
             keep: tuple[str, ...], grains: tuple[str, ...] = GRAINS) -> DataFrame:
     """One row per wanted period; ``measures`` gives each output column's value by grain."""
     unknown = set(grains) - set(GRAINS)
-    if unknown:
-        raise ValueError(f"unknown grains {sorted(unknown)}")
-    choices = [
-        F.struct(period_of(grain).alias(period),
-                 *[by_grain[grain].cast("bigint").alias(name)
-                   for name, by_grain in measures.items()])
+    if unknown or not grains:
+        raise ValueError(f"grains must be some of {GRAINS}")
+    values = [
+        ", ".join([PERIODS[grain], *[f"CAST({m[grain]} AS BIGINT)" for m in measures.values()]])
         for grain in grains
     ]
-    return (
-        rows.select(*keep, F.explode(F.array(*choices)).alias("_part"))
-        .select(*keep, "_part.*")
-    )
+    names = ", ".join(f"`{n}`" for n in [period, *measures])
+    return rows.selectExpr(*keep, f"stack({len(grains)}, {', '.join(values)}) AS ({names})")
 
 
 def hot_projection(clicks: DataFrame) -> DataFrame:
@@ -61,69 +60,52 @@ def hot_projection(clicks: DataFrame) -> DataFrame:
 def pvuv_fan_out(flagged: DataFrame, grains: tuple[str, ...] = GRAINS,
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Per click one row for its hour, day and month: views, and the flag as a new visitor."""
-    flags = {"hour": "isHourNew", "day": "isDayNew", "month": "isMonthNew"}
-    measures = {
-        "pv": {g: F.col("count") for g in GRAINS},
-        "uv": {g: F.col(flags[g]) for g in GRAINS},
-    }
-    rows = flagged.withColumn("channelId", F.col("channelID"))
-    return fan_out(rows, measures, "yearMonthDayHour", (*keep, "channelId"), grains)
+    measures = {"pv": {g: "count" for g in GRAINS}, "uv": GRAIN_FLAGS}
+    return fan_out(flagged, "yearMonthDayHour", measures, (*keep, "channelID AS channelId"), grains)
 
 
 def freshness_fan_out(flagged: DataFrame, grains: tuple[str, ...] = GRAINS,
                       keep: tuple[str, ...] = ()) -> DataFrame:
     """Per click one row for its hour, day and month: new and returning visitor counts."""
-    flags = {"hour": "isHourNew", "day": "isDayNew", "month": "isMonthNew"}
-    measures = {
-        "newCount": {g: F.col("isNew") for g in GRAINS},
-        "oldCount": {g: is_old(F.col("isNew"), F.col(flags[g])) for g in GRAINS},
-    }
-    rows = flagged.withColumn("channelId", F.col("channelID"))
-    return fan_out(rows, measures, "date", (*keep, "channelId"), grains)
+    measures = {"newCount": {g: "isNew" for g in GRAINS},
+                "oldCount": {g: is_old(GRAIN_FLAGS[g]) for g in GRAINS}}
+    return fan_out(flagged, "date", measures, (*keep, "channelID AS channelId"), grains)
 
 
-def _sum(value: Column | str, name: str) -> Column:
-    return F.sum(value).cast("bigint").alias(name)
+def _sums(**sums: str) -> list[Column]:
+    return [F.expr(f"CAST(sum({value}) AS BIGINT) AS {name}") for name, value in sums.items()]
 
 
 def hourly_sums(flagged: DataFrame, *more_keys) -> DataFrame:
     """All sums per channel and hour (and further keys, such as a window)."""
-    new = F.col("isNew")
     return flagged.groupBy(
         *more_keys, F.col("channelID").alias("channelId"), "hourKey",
-    ).agg(
-        _sum("count", "visited"), _sum("isNew", "newCount"),
-        _sum("isHourNew", "hourUv"), _sum("isDayNew", "dayUv"), _sum("isMonthNew", "monthUv"),
-        _sum(is_old(new, F.col("isHourNew")), "hourOld"),
-        _sum(is_old(new, F.col("isDayNew")), "dayOld"),
-        _sum(is_old(new, F.col("isMonthNew")), "monthOld"),
-    )
+    ).agg(*_sums(
+        visited="count", newCount="isNew",
+        hourUv="isHourNew", dayUv="isDayNew", monthUv="isMonthNew",
+        hourOld=is_old("isHourNew"), dayOld=is_old("isDayNew"), monthOld=is_old("isMonthNew"),
+    ))
 
 
 def hot_from_hourly(hourly: DataFrame, *more_keys: str) -> DataFrame:
-    return hourly.groupBy(*more_keys, "channelId").agg(_sum("visited", "visited"))
+    return hourly.groupBy(*more_keys, "channelId").agg(*_sums(visited="visited"))
 
 
 def pvuv_from_hourly(hourly: DataFrame, *more_keys: str,
                      grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    measures = {
-        "pv": {g: F.col("visited") for g in GRAINS},
-        "uv": {g: F.col(f"{g}Uv") for g in GRAINS},
-    }
-    spread = fan_out(hourly, measures, "yearMonthDayHour", (*more_keys, "channelId"), grains)
-    return (spread.groupBy(*more_keys, "channelId", "yearMonthDayHour")
-            .agg(_sum("pv", "pv"), _sum("uv", "uv")))
+    measures = {"pv": {g: "visited" for g in GRAINS}, "uv": {g: f"{g}Uv" for g in GRAINS}}
+    key = (*more_keys, "channelId")
+    spread = fan_out(hourly, "yearMonthDayHour", measures, key, grains)
+    return spread.groupBy(*key, "yearMonthDayHour").agg(*_sums(pv="pv", uv="uv"))
 
 
 def freshness_from_hourly(hourly: DataFrame, *more_keys: str,
                           grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    measures = {
-        "newCount": {g: F.col("newCount") for g in GRAINS},
-        "oldCount": {g: F.col(f"{g}Old") for g in GRAINS},
-    }
-    spread = fan_out(hourly, measures, "date", (*more_keys, "channelId"), grains)
-    return (spread.groupBy(*more_keys, "channelId", "date")
-            .agg(_sum("newCount", "newCount"), _sum("oldCount", "oldCount")))
+    measures = {"newCount": {g: "newCount" for g in GRAINS},
+                "oldCount": {g: f"{g}Old" for g in GRAINS}}
+    key = (*more_keys, "channelId")
+    spread = fan_out(hourly, "date", measures, key, grains)
+    return spread.groupBy(*key, "date").agg(*_sums(newCount="newCount", oldCount="oldCount"))
 
 
 def channel_pvuv(flagged: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
@@ -138,7 +120,7 @@ def channel_freshness(flagged: DataFrame, grains: tuple[str, ...] = GRAINS) -> D
 
 def channel_hot(clicks: DataFrame) -> DataFrame:
     """Total click count per channel."""
-    return hot_projection(clicks).groupBy("channelId").agg(_sum("visited", "visited"))
+    return hot_projection(clicks).groupBy("channelId").agg(*_sums(visited="visited"))
 
 
 def _with_window(clicks: DataFrame, ms: str) -> DataFrame:
@@ -162,7 +144,7 @@ def channel_hot_windows(clicks: DataFrame, ms: str = "timestamp") -> DataFrame:
     return (
         _with_window(clicks, ms)
         .groupBy("windowStart", F.col("channelID").alias("channelId"))
-        .agg(_sum("count", "visited"))
+        .agg(*_sums(visited="count"))
     )
 
 

@@ -24,14 +24,12 @@ def can_be_known() -> Column:
 
 def add_flags(clicks: DataFrame) -> DataFrame:
     """Turns ``previousHour`` and ``hourKey``, both yyyyMMddHH numbers, into the four flags."""
-    current, previous = F.col("hourKey"), F.col("previousHour")
-
     def flag(step: int) -> Column:
-        later = current - current % step > previous - previous % step
-        return F.when(previous.isNull() | later, 1).otherwise(0)
+        current, previous = (f"{n} - {n} % {step}" for n in ("hourKey", "previousHour"))
+        return F.expr(f"IF(previousHour IS NULL OR {current} > {previous}, 1, 0)")
 
     return clicks.withColumns({
-        "isNew": F.when(previous.isNull(), 1).otherwise(0),
+        "isNew": F.expr("IF(previousHour IS NULL, 1, 0)"),
         "isHourNew": flag(1),
         "isDayNew": flag(100),
         "isMonthNew": flag(10000),

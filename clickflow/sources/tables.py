@@ -20,7 +20,8 @@ def epoch_ms(value: str | Column) -> Column:
 
 def as_clicks(rows: DataFrame, seq: Column, ms: Column, **fields: Column) -> DataFrame:
     """Flat clicks with count 1; click fields that are not given are null."""
-    text = [fields.get(n, F.lit(None).cast("string")).alias(n) for n in CLICK_FIELDS]
+    text = [fields[n].alias(n) if n in fields else F.expr(f"CAST(NULL AS STRING) AS {n}")
+            for n in CLICK_FIELDS]
     return rows.select(
         seq.cast("bigint").alias("seq"), *text,
         F.lit(1).cast("bigint").alias("count"), ms.alias("timestamp"))

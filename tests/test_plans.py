@@ -19,7 +19,7 @@ def test_flagship_shuffles_clicks_once(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint," \
            "event_type:string>" in text
     # Clicks are summed on the map side before anything is spread over periods.
-    assert text.index("Generate explode") < text.index("partial_sum(1)")
+    assert text.index("Generate stack") < text.index("partial_sum(1)")
 
 
 def test_heat_reads_one_column_and_needs_no_visitors(spark):
