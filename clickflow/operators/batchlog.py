@@ -2,7 +2,8 @@
 
 Each batch writes its own ``batch_id`` partition and replaces it when replayed, so a restart
 never counts twice. Folding sums old batches up into a base under a new name; readers use a
-base only once it is listed in the small ``bases`` table, which is written last.
+base only once it is listed in the small ``bases`` table, which is written last. What a base
+stands for is deleted one fold later, so that readers who began before it can finish.
 """
 
 from __future__ import annotations
@@ -34,6 +35,23 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The folder's file system and its path there, whichever storage it is on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; only used on folders with one entry per batch or base."""
+    files, where = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 class BatchLog:
     """Batches of rows below a folder, plus named bases that stand for the older ones."""
 
@@ -66,8 +84,7 @@ class BatchLog:
              parts: Callable[[int, DataFrame], dict[str, DataFrame]]) -> None:
         """Writes a new base from the old one and the batches up to and including ``upto``.
 
-        Only fold batches the stream can no longer replay, that is, ones older than its
-        newest committed batch.
+        Only fold batches the stream can no longer replay: ones before the batch it is at.
         """
         done = self.folded_up_to()
         if upto <= done:
@@ -77,3 +94,22 @@ class BatchLog:
             for kind, rows in parts(done, self.batches(done, upto)).items():
                 rows.write.mode("overwrite").parquet(f"{self.folder}/{kind}-{upto}")
             listed.write.mode("append").parquet(f"{self.folder}/bases")
+
+    def drop(self, upto: int) -> None:
+        """Deletes the batches a base stands for and the bases before it."""
+        for name in folder_names(self.spark, f"{self.folder}/deltas"):
+            kind, _, number = name.partition("=")
+            if kind == "batch_id" and int(number) <= upto:
+                delete_folder(self.spark, f"{self.folder}/deltas/{name}")
+        for name in folder_names(self.spark, self.folder):
+            kind, _, number = name.partition("-")
+            if number and int(number) < upto:
+                delete_folder(self.spark, f"{self.folder}/{name}")
+
+    def maintain(self, batch_id: int, every: int, fold: Callable[[int], None]) -> None:
+        """At every so many batches, folds all before this one and drops the fold before."""
+        if batch_id and batch_id % every == 0:
+            done = self.folded_up_to()
+            fold(batch_id - 1)
+            if 0 <= done < batch_id - 1:
+                self.drop(done)

@@ -50,3 +50,6 @@ class VisitorHistory:
             return {"base": self._newest(base.unionByName(fresh))}
 
         self.log.fold(upto, parts)
+
+    def maintain(self, batch_id: int, every: int) -> None:
+        self.log.maintain(batch_id, every, self.fold)

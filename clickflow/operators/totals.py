@@ -46,12 +46,13 @@ class Ledger:
         self.folder = folder.rstrip("/")
         self.log = BatchLog(spark, f"{self.folder}/sums", DELTA_SCHEMA)
 
-    def append(self, windows: DataFrame, batch_id: int) -> None:
-        columns = ["windowStart", "channelId", "hourKey", *metrics.HOURLY_SUMS]
-        self.log.append(windows.select(*columns), batch_id)
+    def append(self, windows: DataFrame, batch_id: int, files: int | None = None) -> None:
+        """Writes a batch's sums, in at most so many files."""
+        rows = windows.select("windowStart", "channelId", "hourKey", *metrics.HOURLY_SUMS)
+        self.log.append(rows.repartition(files) if files else rows, batch_id)
 
     def windows(self, table: str, **options) -> DataFrame:
-        """A result table per window: one row per window and key."""
+        """A result table per window, for the batches that are not dropped yet."""
         return FROM_HOURLY[table](self.log.batches(), "windowStart", **options)
 
     def totals(self, table: str, **options) -> DataFrame:
@@ -84,3 +85,6 @@ class Ledger:
             return {"base": summed, "last": self._last(done, fresh)}
 
         self.log.fold(upto, parts)
+
+    def maintain(self, batch_id: int, every: int) -> None:
+        self.log.maintain(batch_id, every, self.fold)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.operators import changes, envelope
-from clickflow.operators.batchlog import BatchLog, read_if_there, write_batch
+from clickflow.operators.batchlog import BatchLog, write_batch
 from clickflow.operators.history import VisitorHistory
 from clickflow.operators.metrics import WINDOW_MS, hourly_sums, window_start
 from clickflow.operators.totals import TOTALS, Ledger
@@ -19,6 +19,12 @@ from clickflow.streaming.windows import LATENESS_MS, event_ms, window_sums
 
 TRIGGER = "5 seconds"
 
+# Batches between two foldings of the tables a job keeps.
+FOLD_EVERY = 500
+
+# Files one batch of window sums is written to; the state has many more partitions than that.
+SUM_FILES = 4
+
 # What the metrics read of a click; everything else is dropped before the state.
 METRIC_COLUMNS = ["seq", "userID", "channelID", "count", "timestamp", "arrivalMs"]
 
@@ -66,7 +72,8 @@ def _unflagged(clicks: DataFrame) -> DataFrame:
 
 def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
                     tasks: tuple[str, ...] = ("channel_pvuv",), trigger: str | None = TRIGGER,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None,
+                    fold_every: int = FOLD_EVERY) -> StreamingQuery:
     """Keeps the ledger below ``folder`` up to date from a stream of clicks.
 
     ``Ledger(spark, folder).totals(table)`` gives the running totals of each wanted table.
@@ -75,16 +82,42 @@ def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     ledger = Ledger(spark, folder)
     narrow, need_flags = _metric_clicks(clicks, tasks)
     flagged = stream_visitor_flags(narrow) if need_flags else _unflagged(narrow)
-    writer = (
-        window_sums(flagged).writeStream.outputMode("append")
-        .foreachBatch(lambda batch, batch_id: ledger.append(batch, batch_id))
-    )
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        ledger.append(batch, batch_id, SUM_FILES)
+        ledger.maintain(batch_id, fold_every)
+
+    writer = window_sums(flagged).writeStream.outputMode("append").foreachBatch(handle)
     return start(writer, spark, checkpoint, trigger, state_partitions)
 
 
+class Highest:
+    """One whole number per batch, of which only the highest so far is ever asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.log = BatchLog(spark, folder, "number bigint")
+
+    def before(self, batch_id: int) -> int | None:
+        done = self.log.folded_up_to()
+        return self._highest(done, self.log.batches(done, batch_id - 1)).first()[0]
+
+    def _highest(self, done: int, fresh: DataFrame) -> DataFrame:
+        every = self.log.base("base", done, self.log.schema).unionByName(fresh.select("number"))
+        return every.agg(F.max("number").alias("number"))
+
+    def append(self, number: int, batch_id: int) -> None:
+        one = self.log.spark.range(1).select(F.lit(number).cast("bigint").alias("number"))
+        self.log.append(one, batch_id)
+
+    def maintain(self, batch_id: int, every: int) -> None:
+        self.log.maintain(batch_id, every, lambda upto: self.log.fold(
+            upto, lambda done, fresh: {"base": self._highest(done, fresh)}))
+
+
 def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
                          tasks: tuple[str, ...] = ("channel_pvuv",),
-                         trigger: str | None = "1 minute", **hot_limits) -> StreamingQuery:
+                         trigger: str | None = "1 minute", fold_every: int = FOLD_EVERY,
+                         **hot_limits) -> StreamingQuery:
     """The same ledger from large micro-batches, with the visitor history as a table.
 
     Every step is an ordinary batch query: no Python runs, and a visitor or robot that sends
@@ -96,30 +129,37 @@ def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     """
     spark = clicks.sparkSession
     ledger, history = Ledger(spark, folder), VisitorHistory(spark, folder)
-    newest = BatchLog(spark, f"{ledger.folder}/newest", "ms bigint")
+    newest = Highest(spark, f"{ledger.folder}/newest")
     narrow, need_flags = _metric_clicks(clicks, tasks)
 
+    def handle_clicks(batch: DataFrame, batch_id: int) -> None:
+        latest = batch.agg(F.max(event_ms(batch))).first()[0]
+        if latest is None:
+            return
+        seen = newest.before(batch_id)
+        if need_flags:
+            flagged = history.flag(batch, batch_id, hot_visitors(batch, **hot_limits))
+        else:
+            flagged = _unflagged(batch)
+        rows = flagged.withColumn("_ms", event_ms(flagged)).withColumn(
+            "windowStart", window_start("_ms"))
+        if seen is not None:
+            rows = rows.where(F.col("windowStart") + WINDOW_MS > seen - LATENESS_MS)
+        ledger.append(hourly_sums(rows, "windowStart"), batch_id)
+        if need_flags:
+            history.append(batch, batch_id)
+        newest.append(latest, batch_id)
+        for table in (ledger, history, newest):
+            table.maintain(batch_id, fold_every)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
+        # Streams run with adaptive execution off; these queries are plain batch queries.
         batch = batch.persist()
-        try:
-            latest = batch.agg(F.max(event_ms(batch)).alias("ms"))
-            if latest.first()[0] is None:
-                return
-            seen = newest.batches(upto=batch_id - 1).agg(F.max("ms")).first()[0]
-            if need_flags:
-                flagged = history.flag(batch, batch_id, hot_visitors(batch, **hot_limits))
-            else:
-                flagged = _unflagged(batch)
-            rows = flagged.withColumn("_ms", event_ms(flagged)).withColumn(
-                "windowStart", window_start("_ms"))
-            if seen is not None:
-                rows = rows.where(F.col("windowStart") + WINDOW_MS > seen - LATENESS_MS)
-            ledger.append(hourly_sums(rows, "windowStart"), batch_id)
-            if need_flags:
-                history.append(batch, batch_id)
-            newest.append(latest, batch_id)
-        finally:
-            batch.unpersist()
+        with setting(batch.sparkSession, spark__sql__adaptive__enabled="true"):
+            try:
+                handle_clicks(batch, batch_id)
+            finally:
+                batch.unpersist()
 
     return start(narrow.writeStream.foreachBatch(handle), spark, checkpoint, trigger)
 
@@ -132,32 +172,25 @@ def start_file_sink(stream: DataFrame, folder: str, checkpoint: str,
     return start(writer, stream.sparkSession, checkpoint, trigger, state_partitions)
 
 
-class FetchCounter:
-    """Numbers the non-empty micro-batches 1, 2, 3, ... in a table that outlives restarts."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.path = spark, f"{folder.rstrip('/')}/fetches"
-
-    def number(self, batch_id: int) -> int:
-        seen = read_if_there(self.spark, self.path, "fetched boolean, batch_id bigint")
-        before = seen.where(F.col("batch_id") < batch_id).count()
-        write_batch(self.spark.range(1).select(F.lit(True).alias("fetched")), self.path, batch_id)
-        return before + 1
-
-
 def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
                      pattern: str = changes.ALL_TABLES,
-                     trigger: str | None = TRIGGER) -> StreamingQuery:
-    """Flattens a stream of change-entry texts into ``folder/records``, ``folder/bad`` beside it."""
+                     trigger: str | None = TRIGGER,
+                     fold_every: int = FOLD_EVERY) -> StreamingQuery:
+    """Flattens a stream of change-entry texts into ``folder/records``, ``folder/bad`` beside it.
+
+    Non-empty micro-batches are numbered 1, 2, 3, ... across restarts.
+    """
     spark = texts.sparkSession
-    counter = FetchCounter(spark, folder)
+    fetches = Highest(spark, f"{folder.rstrip('/')}/fetches")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        number = (fetches.before(batch_id) or 0) + 1
+        fetches.append(number, batch_id)
+        fetches.maintain(batch_id, fold_every)
         parsed = changes.parse_entries(batch)
-        numbered = changes.good_entries(parsed).withColumn(
-            "emptyCount", F.lit(counter.number(batch_id)))
+        numbered = changes.good_entries(parsed).withColumn("emptyCount", F.lit(number))
         records = changes.flatten_entries(changes.subscribe(numbered, pattern))
         write_batch(records, f"{folder}/records", batch_id)
         write_batch(changes.bad_entries(parsed), f"{folder}/bad", batch_id)

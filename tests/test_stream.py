@@ -109,6 +109,22 @@ def test_chosen_tables(spark, tmp_path, tasks):
         assert all(len(p["stateOperators"]) <= 1 for p in query.recentProgress)
 
 
+@pytest.mark.parametrize("start", [job.start_click_job, job.start_bulk_click_job])
+def test_folding_on_the_way_changes_no_totals(spark, tmp_path, start):
+    write_seconds(spark, f"{tmp_path}/in", STEPS)
+    query = start(clicks_from(spark, f"{tmp_path}/in"), f"{tmp_path}/out",
+                  f"{tmp_path}/checkpoint", trigger=None, fold_every=2)
+    query.awaitTermination()
+    ledger = Ledger(spark, f"{tmp_path}/out")
+    totals = {(r.uv, r.pv) for r in ledger.totals("channel_pvuv").collect()}
+    assert totals == {(2, 5) if start is job.start_click_job else (2, 6)}
+    kept = [n for n in os.listdir(f"{tmp_path}/out/sums/deltas") if n.startswith("batch_id")]
+    assert "batch_id=1" not in kept
+    assert ledger.log.folded_up_to() == 5
+    bases = [n for n in os.listdir(f"{tmp_path}/out/sums") if n.startswith("base-")]
+    assert sorted(bases) == ["base-3", "base-5"]
+
+
 def test_unknown_tables_are_refused(spark, tmp_path):
     os.makedirs(f"{tmp_path}/in")
     for tasks in ((), ("visits",)):
