@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickflow.operators import changes, envelope
+from clickflow.operators import envelope, widen
+from clickflow.operators.history import VisitorHistory
 from clickflow.operators.totals import Ledger
 from clickflow.operators.visitors import VISITOR_KEY
 from clickflow.plans import clicks as batch
@@ -139,6 +140,20 @@ def stream_bulk_totals(spark, folder):
     return Ledger(spark, out).totals("channel_pvuv")
 
 
+def stream_click_wide(spark, folder):
+    """The 22 columns of the widened click on a stream."""
+    flagged = stream_visitor_flags(stream_event_clicks(spark, folder))
+    return _file_result(widen.wide_clicks(flagged, keep=("seq",)), "wide")
+
+
+def stream_user_history(spark, folder):
+    """The visitor history the large-batch job leaves behind."""
+    clicks = tables.order_clicks(stream_table(spark, folder, "orders"))
+    out = work_folder(spark, "history")
+    job.start_bulk_click_job(clicks, out, f"{out}/checkpoint", trigger=None).awaitTermination()
+    return VisitorHistory(spark, out).snapshot()
+
+
 def stream_change_records(spark, folder):
     """Change entries as a stream of files, one fetch batch each, the second of them empty."""
     out = work_folder(spark, "changes")
@@ -155,7 +170,7 @@ def stream_change_records(spark, folder):
 QUERIES = {f.__name__: f for f in [
     stream_parse, stream_new_visitor_flags, stream_pvuv, stream_freshness, stream_hot,
     stream_hot_last_window, stream_late_rows, stream_totals, stream_bulk_late_rows,
-    stream_bulk_totals, stream_change_records,
+    stream_bulk_totals, stream_click_wide, stream_user_history, stream_change_records,
 ]}
 
 
@@ -240,6 +255,8 @@ SELECT "channelId", "yearMonthDayHour", {batch.SUM_PVUV} FROM spread GROUP BY 1,
         batch.EVENTS, STEPPED, ONLY_FLAGS, BULK_IN_TIME, _of_fired(batch.FRESHNESS), then=f"""
 SELECT "windowStart", "channelId", date, {batch.SUM_FRESHNESS} FROM spread GROUP BY 1, 2, 3"""),
     "stream_bulk_totals": batch.ORACLES["channel_pvuv"],
+    "stream_click_wide": batch.ORACLES["click_wide"],
+    "stream_user_history": batch.ORACLES["user_history"],
     "stream_change_records": _with(stores.ENTRIES, """
 numbered AS (
   SELECT *, CAST(("batchId" // 2) % 3 + 1 AS INTEGER) AS "emptyCount" FROM kinds

@@ -45,7 +45,8 @@ def start(writer, spark: SparkSession, checkpoint: str, trigger: str | None,
           state_partitions: int | None = None) -> StreamingQuery:
     """Starts a query; ``trigger=None`` works off what is there and ends.
 
-    State is split over ``state_partitions``, by default one per core, for as long as the
+    State is kept in RocksDB and saved as changes, so a batch costs what it changed and not
+    what all visitors take up. It is split over ``state_partitions``, by default one per core, for as long as the
     checkpoint lives.
     """
     writer = writer.option("checkpointLocation", checkpoint)
@@ -53,7 +54,8 @@ def start(writer, spark: SparkSession, checkpoint: str, trigger: str | None,
         availableNow=True)
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     with setting(spark, spark__sql__shuffle__partitions=partitions,
-                 spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER):
+                 spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER,
+                 spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true"):
         return writer.start()
 
 
