@@ -7,23 +7,26 @@ from pyspark.sql.types import StructType
 
 from clickflow.schemas import RAW_RECORD
 
-# Most files one micro-batch takes in.
-BATCH_FILES = 1000
+# Most input one micro-batch takes in. The visitor state works on all clicks one visitor has
+# in a batch at once, so this also bounds what a task must hold.
+BATCH_BYTES = 1 << 30
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType,
-                 files_per_batch: int = BATCH_FILES) -> DataFrame:
-    """A stream over Parquet files; new files are taken in as they appear."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
+                 bytes_per_batch: int = BATCH_BYTES,
+                 files_per_batch: int | None = None) -> DataFrame:
+    """A stream over Parquet files; new files are taken in as they appear.
+
+    Batches are bounded by size, or by number of files where that is given.
+    """
+    limit = (("maxFilesPerTrigger", files_per_batch) if files_per_batch
+             else ("maxBytesPerTrigger", bytes_per_batch))
+    return spark.readStream.schema(schema).option(*limit).parquet(path)
 
 
-def stream_click_files(spark: SparkSession, path: str,
-                       files_per_batch: int = BATCH_FILES) -> DataFrame:
+def stream_click_files(spark: SparkSession, path: str, **limits) -> DataFrame:
     """A stream of raw click records ``(value, seq, arrivalMs)``."""
-    return stream_files(spark, path, RAW_RECORD, files_per_batch)
+    return stream_files(spark, path, RAW_RECORD, **limits)
 
 
 def stream_entry_texts(spark: SparkSession, path: str,
