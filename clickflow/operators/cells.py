@@ -17,7 +17,7 @@ from clickflow.schemas import CELL_LOG
 
 PUT, DELETE = "put", "delete"
 
-# Requests smaller than this are sent to every task to thin out the log before it is shuffled.
+# Requests estimated below this are used to thin out the log before it is shuffled.
 SMALL_REQUEST_BYTES = 8 << 20
 
 
@@ -82,7 +82,7 @@ def _asked_for(log: DataFrame, keys: DataFrame) -> DataFrame:
     """The log rows of the wanted row keys, cut down early only if there are few keys."""
     if plan_bytes(keys) > SMALL_REQUEST_BYTES:
         return log
-    return log.join(F.broadcast(keys.select("rowkey").distinct()), "rowkey", "left_semi")
+    return log.join(keys.select("rowkey").distinct(), "rowkey", "left_semi")
 
 
 def get_cell(requests: DataFrame, log: DataFrame, family: str = "info") -> DataFrame:

@@ -83,7 +83,11 @@ def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     spark = clicks.sparkSession
     ledger = Ledger(spark, folder)
     narrow, need_flags = _metric_clicks(clicks, tasks)
-    flagged = stream_visitor_flags(narrow) if need_flags else _unflagged(narrow)
+    if need_flags:
+        passed = [n for n in ("channelID", "count", "arrivalMs") if n in narrow.columns]
+        flagged = stream_visitor_flags(narrow, passed)
+    else:
+        flagged = _unflagged(narrow)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         ledger.append(batch, batch_id, SUM_FILES)
