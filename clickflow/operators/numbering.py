@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows per block: sequence numbers are unique, so no block can hold more rows than this.
+# Numbers per block, and blocks per span. Sequence numbers are unique, so a block holds at most
+# so many rows and a span so many blocks; all whole numbers there are make up 2^23 spans.
 BLOCK_WIDTH = 1 << 20
+SPAN_BLOCKS = 1 << 20
 
 
-def number_in_order(df: DataFrame, seq: str, name: str,
-                    block_width: int = BLOCK_WIDTH) -> DataFrame:
-    """Numbers rows 1, 2, 3, ... by a unique whole-number column.
+def _sum_before(rows: str, order: str, *group: str) -> Column:
+    window = Window.partitionBy(*group).orderBy(order) if group else Window.orderBy(order)
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(rows).over(before), F.lit(0))
+
+
+def _start_of(value: str, width: int) -> Column:
+    return (F.col(value) - F.pmod(F.col(value), F.lit(width))).cast("bigint")
+
+
+def number_in_order(df: DataFrame, seq: str, name: str, block_width: int = BLOCK_WIDTH,
+                    span_blocks: int = SPAN_BLOCKS) -> DataFrame:
+    """Numbers rows 1, 2, 3, ... by a unique whole-number column, dense or not.
 
     Rows are numbered within blocks of neighbouring values, and each block is moved up by the
-    rows before it. Only the one-row-per-block counts are summed up in one task.
+    rows in the blocks before it. Those are summed up the same way, within spans of blocks, so
+    only one row per span meets in one task.
     """
-    block = (F.col(seq) - F.pmod(F.col(seq), F.lit(block_width))).cast("bigint")
-    rows = df.withColumn("_block", block)
+    rows = df.withColumn("_block", _start_of(seq, block_width))
+    blocks = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows")).withColumn(
+        "_span", _start_of("_block", block_width * span_blocks))
+    spans = (
+        blocks.groupBy("_span").agg(F.sum("_rows").alias("_rows"))
+        .select("_span", _sum_before("_rows", "_span").alias("_spanBefore"))
+    )
     before = (
-        rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_block", F.coalesce(
-            F.sum("_rows").over(Window.orderBy("_block").rowsBetween(
-                Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+        blocks.withColumn("_blockBefore", _sum_before("_rows", "_block", "_span"))
+        .join(spans, "_span")
+        .select("_block", (F.col("_blockBefore") + F.col("_spanBefore")).alias("_before"))
     )
     within = F.row_number().over(Window.partitionBy("_block").orderBy(seq))
     return (

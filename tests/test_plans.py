@@ -46,4 +46,4 @@ def test_no_query_runs_in_one_task_or_as_a_cross_join(spark):
         text = plan(spark, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         for single in re.findall(r"Exchange SinglePartition.*\n.*", text):
-            assert "HashAggregate(keys=[_block" in single, name
+            assert "HashAggregate(keys=[_span" in single, name

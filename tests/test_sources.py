@@ -38,11 +38,11 @@ def test_records_are_dealt_out_evenly(spark):
     assert kafka.even_out(spark.range(5), None).count() == 5
 
 
-@pytest.mark.parametrize("width", [1, 7, 1 << 20])
-def test_numbering_equals_plain_counting(spark, width):
-    values = [v * v - 500 for v in range(0, 60)]
+@pytest.mark.parametrize("width,span", [(1, 2), (7, 3), (7, 1 << 20), (1 << 20, 1 << 20)])
+def test_numbering_equals_plain_counting(spark, width, span):
+    values = [v * v - 500 for v in range(0, 60)] + [-(1 << 62), 1 << 62]
     df = spark.createDataFrame([(v,) for v in reversed(sorted(set(values)))], "v bigint")
-    found = numbering.number_in_order(df, "v", "n", width).orderBy("v").collect()
+    found = numbering.number_in_order(df, "v", "n", width, span).orderBy("v").collect()
     assert [r.n for r in found] == list(range(1, len(set(values)) + 1))
 
 
