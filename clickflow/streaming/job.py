@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -180,11 +182,13 @@ def start_file_sink(stream: DataFrame, folder: str, checkpoint: str,
 
 def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
                      pattern: str = changes.ALL_TABLES,
-                     trigger: str | None = TRIGGER,
-                     fold_every: int = FOLD_EVERY) -> StreamingQuery:
+                     trigger: str | None = TRIGGER, fold_every: int = FOLD_EVERY,
+                     send: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Flattens a stream of change-entry texts into ``folder/records``, ``folder/bad`` beside it.
 
-    Non-empty micro-batches are numbered 1, 2, 3, ... across restarts.
+    Non-empty micro-batches are numbered 1, 2, 3, ... across restarts. ``send`` is given each
+    batch's topic records, for example ``lambda r: write_topic(r, servers, topic)``; a replay
+    sends the same keys again.
     """
     spark = texts.sparkSession
     fetches = Highest(spark, f"{folder.rstrip('/')}/fetches")
@@ -199,6 +203,8 @@ def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
         numbered = changes.good_entries(parsed).withColumn("emptyCount", F.lit(number))
         records = changes.flatten_entries(changes.subscribe(numbered, pattern))
         write_batch(records, f"{folder}/records", batch_id)
+        if send:
+            send(changes.topic_records(records))
         write_batch(changes.bad_entries(parsed), f"{folder}/bad", batch_id)
 
     return start(texts.writeStream.foreachBatch(handle), spark, checkpoint, trigger)

@@ -175,7 +175,9 @@ def test_change_stream(spark, tmp_path):
     for _ in range(2):
         stream = files.stream_entry_texts(spark, f"{tmp_path}/in")
         job.start_change_job(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint",
-                             pattern=r"db\.t", trigger=None).awaitTermination()
+                             pattern=r"db\.t", trigger=None,
+                             send=lambda r: r.write.mode("append").json(f"{tmp_path}/topic"),
+                             ).awaitTermination()
         undo_last_commit(f"{tmp_path}/checkpoint")
     records = spark.read.parquet(f"{tmp_path}/out/records")
     found = sorted((r.logFileOffset, r.eventType, r.emptyCount, r.rowIndex,
@@ -187,6 +189,9 @@ def test_change_stream(spark, tmp_path):
         (6, "UPDATE", 4, 0, "new", True),
     ]
     assert [r.raw for r in spark.read.parquet(f"{tmp_path}/out/bad").collect()] == ["nonsense"]
+    topic = spark.read.json(f"{tmp_path}/topic")
+    assert topic.count() == len(found) + 1  # the last batch was sent twice
+    assert topic.distinct().count() == len(found)
     sent = changes.topic_records(records).collect()
     assert len({r.key for r in sent}) == len(found)
     assert set(json.loads(sent[0].value)) == set(CHANGE_RECORD.names)
