@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from clickflow.llm import chat, mixing, url_filter
+from clickflow.llm import chat, mixing, near_dedup, url_filter
 
 QUERIES = {
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_chat": chat.op5_chat,
     "op9_mix": mixing.op9_mix,

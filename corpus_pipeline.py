@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import mixing
+from clickflow.llm import mixing, near_dedup
 from clickflow.llm.common import keep_table, table
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_dedup.one_of_each(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources to their target weights; the last stage, so it adds the number of the copy."""
     return mixing.mix(docs)
 
 
-STAGES = [("mixing", mixed)]
+STAGES = [
+    ("near_dedup", deduplicated),
+    ("mixing", mixed),
+]
 
 ORACLE_SQL = None  # trained trees decide in the first stage
 
