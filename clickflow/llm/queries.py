@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from clickflow.llm import chat, mixing, near_dedup, url_filter
+from clickflow.llm import (
+    chat, decontaminate, mixing, near_dedup, quality_classifier, quality_rules, url_filter)
 
 QUERIES = {
+    "op1_quality": quality_classifier.op1_quality,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_chat": chat.op5_chat,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_mix": mixing.op9_mix,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLES = {
     "op4_url_filter": url_filter.ORACLE,
     "op5_chat": chat.ORACLE,
     "op9_mix": mixing.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }

@@ -4,22 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import mixing, near_dedup
+from clickflow.llm import decontaminate, mixing, near_dedup, quality_rules
 from clickflow.llm.common import keep_table, table
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return near_dedup.one_of_each(docs)
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share a window of words with the benchmark go."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources to their target weights; the last stage, so it adds the number of the copy."""
     return mixing.mix(docs)
 
 
 STAGES = [
+    ("quality_rules", good),
     ("near_dedup", deduplicated),
+    ("decontamination", clean),
     ("mixing", mixed),
 ]
 
