@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from clickflow.llm import (
-    chat, decontaminate, mixing, near_dedup, quality_classifier, quality_rules, url_filter)
+    chat, decontaminate, html_extract, mixing, near_dedup, quality_classifier, quality_rules, url_filter)
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_chat": chat.op5_chat,
+    "op6_main_text": html_extract.op6_main_text,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_mix": mixing.op9_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
