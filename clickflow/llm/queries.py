@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from clickflow.llm import (
-    chat, decontaminate, html_extract, mixing, near_dedup, quality_classifier, quality_rules, url_filter)
+    chat, decontaminate, html_extract, mixing, near_dedup, quality_classifier, quality_rules, toxicity,
+    url_filter)
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_chat": chat.op5_chat,
     "op6_main_text": html_extract.op6_main_text,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_mix": mixing.op9_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
