@@ -46,8 +46,8 @@ SHINGLE = 5
 LEAST_PERCENT = 75
 TREES, START, DEPTH = 24, 3, 12
 VALUES = TREES * START
-REGION, NEAR, PIVOTS = 16, 4, 2
-PIVOT_DEPTHS = (3, 5, 7, 9)
+REGION, NEAR, PIVOTS = 16, 2, 1
+PIVOT_DEPTHS = (3, 6)
 REST_DEPTH, REST_BEST, REST_AGREE = 4, 8, 0.55
 ROWS_PER_TASK = 500_000
 
