@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from clickflow.llm import (
-    chat, decontaminate, html_extract, mixing, near_dedup, quality_classifier, quality_rules, toxicity,
-    url_filter)
+    chat, decontaminate, html_extract, mixing, near_dedup, pii, quality_classifier, quality_rules,
+    toxicity, url_filter)
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
     "op2_near_dedup": near_dedup.op2_near_dedup,
+    "op3_pii": pii.op3_pii,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_chat": chat.op5_chat,
     "op6_main_text": html_extract.op6_main_text,

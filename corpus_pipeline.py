@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.llm import decontaminate, mixing, near_dedup, quality_rules
+from clickflow.llm import decontaminate, mixing, near_dedup, pii, quality_rules
 from clickflow.llm.common import keep_table, table
 
 
@@ -23,6 +23,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to surrogates."""
+    return pii.private(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources to their target weights; the last stage, so it adds the number of the copy."""
     return mixing.mix(docs)
@@ -32,6 +37,7 @@ STAGES = [
     ("quality_rules", good),
     ("near_dedup", deduplicated),
     ("decontamination", clean),
+    ("pii", private),
     ("mixing", mixed),
 ]
 
