@@ -3,8 +3,8 @@
 A page is cut into tags and texts. Elements that are boilerplate by their tag, class, id or role
 (menus, forms, scripts, adverts, reader comments and the like) are left out with all they hold.
 In what remains every word scores above zero and every tag below, and one pass finds the run
-with the highest sum. If most of its words stand in one article or main element, that whole
-element is the run. Its blocks are then written one by one.
+with the highest sum; a heading right before it is taken in. If most of its words stand in one
+article or main element, that whole element is the run. Its blocks are then written one by one.
 
 The weights come from labelled pages: pages whose article element marks the content. A weight
 is the log of how much more often words or a tag stand inside the article than outside, kept to
@@ -40,6 +40,7 @@ CONTENT = ("article", "main")
 BLOCKS = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
              "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary "
              "table tbody tfoot thead tr ul".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SPACES = {"br", "td", "th", "img", "wbr"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = set(
@@ -136,6 +137,19 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return span
 
 
+def heading_before(found: list[tuple], kept: list[int], sizes: list[int], first: int) -> int:
+    """The start of the heading right before the run, which its few words could not reach."""
+    at = first - 1
+    while at >= 0 and not sizes[at] and found[kept[at]][1] not in HEADINGS:
+        at -= 1
+    if at < 0 or found[kept[at]][0] != -1:
+        return first
+    start = at - 1
+    while start >= 0 and found[kept[start]][1] != found[kept[at]][1]:
+        start -= 1
+    return start if start >= 0 and found[kept[start]][0] == 1 else first
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text."""
     found = tokens(page or "")
@@ -154,6 +168,8 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             scores.append(sizes[-1] * weights["a" if links else ""])
     first, last = best_run(scores)
     words = sum(sizes[first:last])
+    if words:
+        first = heading_before(found, kept, sizes, first)
     for start, end in sorted(content, key=lambda span: span[1] - span[0]):
         here = [j for j, k in enumerate(kept) if start < k < end]
         if here and words and sum(sizes[j] for j in here if first <= j < last) > words / 2:

@@ -1,0 +1,351 @@
+"""The training-data operators against SQL, brute force and planted edge cases."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import html
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from clickflow.llm import (
+    chat, decontaminate, doc_stats, html_extract, mixing, near_dedup, pii, quality_classifier,
+    quality_rules, queries, toxicity, url_filter)
+from oracle import assert_same
+
+TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+LONG = "word " * 60_000 + "end"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, copies int, " \
+       "kept string, score int, node string, text_key string, label string, n_words string, kinds int, row int"
+TEXTS = [
+    (1, "one two three four five six seven eight nine ten eleven twelve"),
+    (2, "one two three four five six seven eight nine ten eleven twelve"),
+    (2, "one two three four five six seven eight nine ten eleven twelve"),
+    (3, None), (4, ""), (5, " \t\n"), (6, "only four words here"), (7, "ONLY four Words here"),
+    (None, "one two three four five six seven eight nine ten eleven twelve"), (None, None), (8, LONG),
+    (9, "Write to anna@mail.example.com or +1 (017) 555-7713. Café \U0001f600 #$%"),
+]
+
+
+def edge_docs(spark, texts=TEXTS):
+    rows = [(i, t, None, None if (i or 0) % 3 == 0 else "s", None, "a", 1, "b", 2, "c", "d", "e", "f", 3, 4)
+            for i, t in texts]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def labels(spark, rows=()):
+    return spark.createDataFrame(list(rows), "doc_id bigint, quality int, toxic int")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_agrees_with_sql(spark, name):
+    assert assert_same(queries.QUERIES[name](spark, TINY), queries.ORACLES[name], TINY) > 0
+
+
+def sets_of(text):
+    words = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    words = re.findall(r"[^\x20\x09-\x0D]+", words)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4)))
+
+
+def brute_components(rows):
+    """Smallest doc_id of everything reachable over links at 75 percent."""
+    sets = [(i, sets_of(t)) for i, t in rows]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and min(len(x), len(y)) * 100 >= 75 * max(len(x), len(y)):
+                if 100 * len(x & y) >= 75 * len(x | y):
+                    one, two = sorted((find(a), find(b)))
+                    parent[two] = one
+    least = {}
+    for k, (i, _) in enumerate(sets):
+        least[find(k)] = min(least.get(find(k), i), i)
+    return {(i, len(s), least[find(k)], i == least[find(k)]) for k, (i, s) in enumerate(sets)}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()]
+    base = ["w%d" % k for k in range(60)]
+    rows += [(10_000 + n, " ".join(base[:40] + ["x%d" % n] + base[41:])) for n in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == brute_components(rows)
+
+
+def test_near_duplicates_on_edges(spark):
+    docs = edge_docs(spark)
+    got = collections.Counter((r.doc_id, r.component_id, r.kept, r.n_shingles)
+                              for r in near_dedup.near_duplicates(docs).collect())
+    assert got == collections.Counter({
+        (1, 1, True, 8): 1, (2, 1, False, 8): 2, (None, 1, False, 8): 1, (3, 3, True, 0): 1,
+        (4, 4, True, 0): 1, (5, 5, True, 0): 1, (6, 6, True, 1): 1, (7, 6, False, 1): 1,
+        (None, None, True, 0): 1, (8, 8, True, 2): 1, (9, 9, True, len(sets_of(TEXTS[-1][1]))): 1})
+    kept = near_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 8, 9]
+    twins = edge_docs(spark, [(1, "a b c d e f"), (1, "a b c d e f")])
+    assert near_dedup.one_of_each(twins).count() == 1
+    assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_rest_of_a_large_region_is_set_against_all(spark):
+    sig = np.tile(np.arange(near_dedup.VALUES, dtype=np.uint16), (30, 1))
+    sig[28:, 40:50] += 1000
+    import pandas as pd
+    nodes = [b"%02d" % k for k in range(30)]
+    rows = pd.DataFrame({"tree": [0] * 30, "key": [sig[0][:12].astype(">u2").tobytes()] * 30, "node": nodes,
+                         "label": [b"00"] * 28 + [b"28", b"29"], "sig": [s.tobytes() for s in sig]})
+    got = pd.concat(near_dedup.scan_rest(iter([rows])))
+    assert {(a, b) for a, b in zip(got["a"], got["b"]) if b == b"29"} >= {(b"28", b"29")}
+    assert (got.groupby("b").size() <= near_dedup.REST_BEST * 2).all()
+
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    runs = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
+    often = {r for r, n in collections.Counter(runs).items() if n > 1}
+    inside = {k + j for k, r in enumerate(runs) if r in often for j in range(5)}
+    lines, seen, dup = (text or "").split("\n"), set(), 0
+    for line in lines:
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(inside))
+
+
+def test_counts_equal_brute_force(spark):
+    texts = [r.text for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()]
+    for text in [*texts, *[t for _, t in TEXTS], "a b c d e\na b c d e\n\n \n \nx", "a a a a a a a", "\x1c\x85 b"]:
+        assert doc_stats.statistics(text)[0] == brute_counts(text)
+
+
+def test_quality_rules(spark):
+    rows = queries.QUERIES["op7_quality_rules"](spark, SMALL).collect()
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 == 2 and r.doc_id in quality]
+    assert np.mean([(r.score >= 0.5) == bool(quality[r.doc_id]) for r in held]) > 0.93
+    for r in rows:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.kept and r.base_failed)
+
+
+def test_trees_respect_falling_features():
+    random = np.random.default_rng(3)
+    x = random.random((3000, 3))
+    y = (x[:, 0] + 0.6 * np.sin(9 * x[:, 1]) + random.normal(0, 0.3, 3000) < 0.6).astype(float)
+    trees = quality_rules.fit_trees(x, y, ("symbols", "free", "other"), ("symbols",))
+    line = np.tile([0.0, 0.4, 0.5], (200, 1))
+    for middle in (0.1, 0.4, 0.9):
+        line[:, 0], line[:, 1] = np.linspace(0, 1, 200), middle
+        assert (np.diff(trees.score(line)) <= 1e-12).all()
+    assert ((trees.score(x) > 0.5) == (y > 0.5)).mean() > 0.8
+
+
+def test_quality_rules_on_edges(spark):
+    docs = edge_docs(spark)
+    kept = quality_rules.good_documents(docs, labels(spark))
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 2, 9]
+    assert quality_rules.judged(docs.limit(0), None).count() == 0
+    judged = quality_rules.judged(docs, None)
+    assert len(set(c.lower() for c in judged.columns)) == len(judged.columns)
+
+
+def held_out_auc(rows, truth, name):
+    held = [(getattr(r, name), truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows if r.held_out)
+    good = [s for s, y in held if y]
+    bad = [s for s, y in held if not y]
+    return np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+
+
+def test_quality_scores(spark):
+    rows = queries.QUERIES["op1_quality"](spark, SMALL).collect()
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    assert held_out_auc(rows, truth, "score") > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def test_quality_scores_on_edges(spark):
+    docs = edge_docs(spark)
+    plain = quality_classifier.scored(docs, quality_classifier.fitted(docs, labels(spark))).collect()
+    assert len(plain) == len(TEXTS) and {r.score for r in plain} == {0.5}
+    some = labels(spark, [(i, i % 2, 0) for i in range(1, 10)])
+    scored = quality_classifier.scored(docs, quality_classifier.fitted(docs, some))
+    assert all(0 <= r.score <= 1 for r in scored.collect())
+
+
+def test_pooled_shares_never_fall():
+    shares = quality_classifier.pooled(np.array([5.0, 5, 5, 5]), np.array([1.0, 4, 3, 5]))
+    assert (np.diff(shares) >= 0).all() and shares[1] == shares[2]
+
+
+def test_toxicity(spark):
+    rows = queries.QUERIES["op8_toxicity"](spark, SMALL).collect()
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    assert held_out_auc(rows, truth, "score") > 0.8
+    docs = edge_docs(spark)
+    for given in (labels(spark), labels(spark, [(i, 1, i % 2) for i in range(1, 10)])):
+        scored = toxicity.scored(docs, toxicity.fitted(docs, given)).collect()
+        assert len(scored) == len(TEXTS) and all(0 <= r.score <= 1 for r in scored)
+
+
+def test_surrogates_keep_kind_and_coreference():
+    text = ("Mail Of.5@m.example.com, OF.5@M.EXAMPLE.COM; +1 (017) 555-7713 or +10175557713, 4111 1111 1111 1111, "
+            "10.20.30.40, Mr. John Smith, Mrs. Smith, г-жа Иванова, DE89 3704 0044 0532 0130 00 v4.0.")
+    new, found = pii.replaced(text, {})
+    for _, _, kind, canon in found:
+        assert canon not in new.casefold()
+    again = pii.find(new)
+    assert [k for _, _, k, _ in again if k in ("email", "phone", "ip", "card", "iban")] == [
+        k for _, _, k, _ in found if k in ("email", "phone", "ip", "card", "iban")]
+    emails = [c for _, _, k, c in again if k == "email"]
+    phones = [c for _, _, k, c in again if k == "phone"]
+    assert len(set(emails)) == 1 and len(set(phones)) == 1 and new.endswith("v4.0.")
+    assert pii.luhn(next(c for _, _, k, c in again if k == "card")) % 10 == 0
+    family = re.search(r"Mr\. \w+o (\w+), Mrs\. (\w+), г-жа ([А-Я][а-я]+)", new)
+    assert family and family[1] == family[2]
+    assert pii.replaced("No 12 of 1999, 50% at 3:4 in 10.5 cases", {})[1] == []
+
+
+def test_surrogates_differ_after_collisions(spark):
+    names = [("email", f"{a}{b}@m.co") for a in "abcdefghijklmnopqrst" for b in range(10)] + [("ip", "7.7.7.7")]
+    assert len({pii.surrogate(k, c) for k, c in names}) < len(names)
+    entities = spark.createDataFrame(names, "kind string, canon string")
+    again = {(r.kind, r.canon): r.attempt for r in pii.drawn_again(entities).collect()}
+    made = {pii.surrogate(k, c, again.get((k, c), 0)) for k, c in names}
+    assert len(made) == len(names) and not made & {c for _, c in names}
+    docs = spark.createDataFrame([(n, f"to {c} and {c}") for n, (_, c) in enumerate(names)], "doc_id bigint, text string")
+    texts = [r.text.split(" ") for r in pii.private(docs).collect()]
+    assert all(t[1] == t[3] for t in texts) and {t[1] for t in texts} == made
+
+
+def test_surrogates_on_edges(spark):
+    docs = edge_docs(spark)
+    new = pii.private(docs)
+    assert new.columns == docs.columns
+    by = {r.doc_id: r for r in new.collect() if r.doc_id}
+    assert by[3].text is None and by[8].text == LONG and by[1].text == TEXTS[0][1]
+    assert "anna@mail" not in by[9].text and "555-7713" not in by[9].text and by[9].n_chars == len(by[9].text)
+    assert pii.with_surrogates(docs.limit(0)).count() == 0
+
+
+def test_leaks_on_edges(spark):
+    item = "x1 x2 x3 x4 x5 x6 x7 x8 x9 x10 x11"
+    bench = spark.createDataFrame(
+        [(1, item), (2, "Short one"), (3, None), (4, "..."), (1, item), (None, "x2 x3 x4 x5 x6 x7 x8 x9 x10 x11 zz")],
+        "item_id bigint, text string")
+    texts = [(1, "a " + item.upper().replace(" ", ", ") + " b"), (2, "a short, one! and SHORT ONE"), (3, None),
+             (4, " ".join(item.split()[:9])), (5, LONG + " " + item), (5, LONG + " " + item), (None, item)]
+    got = collections.Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated, r.items_sha256)
+                              for r in decontaminate.contamination(edge_docs(spark, texts), bench).collect())
+
+    def digest(*items):
+        return hashlib.sha256(",".join(items).encode()).hexdigest()
+    both = digest("1", "null")
+    assert got == collections.Counter({
+        (1, 13, 11, 2, True, both): 1, (2, 6, 4, 1, True, digest("2")): 1, (3, 0, 0, 0, False, digest()): 1,
+        (4, 9, 0, 0, False, digest()): 1, (5, 60_012, 11, 2, True, both): 2, (None, 11, 11, 2, True, both): 1})
+    clean = decontaminate.without_leaks(edge_docs(spark, texts), bench)
+    assert sorted(r.doc_id for r in clean.collect()) == [3, 4] and "text_key" in clean.columns
+    assert decontaminate.contamination(edge_docs(spark, texts), bench.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.contamination(edge_docs(spark, []), bench).count() == 0
+
+
+def test_mix_on_edges(spark):
+    docs = edge_docs(spark)
+    rows = mixing.plan_mix(docs).collect()
+    assert len(rows) == len(TEXTS)
+    for source in {r.source for r in rows}:
+        mine = [r for r in rows if r.source == source]
+        assert sum(r.size for r in mine) == mine[0].source_size
+        assert mine[0].target <= 3 * mine[0].source_size + 1e-6
+    assert sorted(map(repr, mixing.mix(docs).collect())) == sorted(map(repr, mixing.mix(docs).collect()))
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_targets_fill_up(spark):
+    sources = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 100), (None, 0)], "source string, words bigint")
+    got = {r.source: r.target for r in mixing.source_targets(sources).collect()}
+    assert got["a"] == 30 and got["c"] == 300 and got[None] == 0 and got["b"] == 780
+
+
+def test_chat_on_edges(spark):
+    rows = [(1, 0, "user", "hi [x]\\<s>"), (1, 1, "assistant", None), (1, 2, "user", "bye"), (2, None, None, ""),
+            (None, 1, "assistant", "lone"), (3, 1, "assistant", "a" * 100_000), (3, 1, "assistant", "a" * 100_000)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r.conv_id, r.example): r for r in chat.expand(turns).collect()}
+    assert set(got) == {(1, 0), (1, 1), (2, 0), (None, 0), (3, 0), (3, 1)}
+    assert got[1, 1].loss_start is None and got[1, 0].loss_start == got[1, 0].loss_end
+    lone = got[None, 0]
+    assert lone.formatted[lone.loss_start:lone.loss_end] == "lone"
+    back = chat.expand(turns).where("conv_id = 1 AND example = 1").select(chat.read_turns(F.col("formatted")).alias("t"))
+    assert [tuple(t) for t in back.first().t] == [("user", "hi [x]\\<s>"), ("assistant", ""), ("user", "bye")]
+    assert chat.expand(turns.limit(0)).count() == 0
+
+
+def test_urls_on_edges(spark):
+    urls = ["http://a.net/", "http://A.example.NET/en/x?y", "https://x.example.com/de/", "http://b.org/fr/free-bets",
+            "http://a.net", None, "no scheme porn", "http://h.com/free/bets", "http://h.com/freebets", "", "http://h.com/xxx"]
+    pages = spark.createDataFrame([(k, u, "v") for k, u in enumerate(urls)], "page_id bigint, url string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages).collect()}
+    assert got == {0: ("net/", "block"), 1: ("example.net/en/", "allow"), 2: ("example.com/de/", "block"),
+                   3: ("org/fr/", "allow"), 4: (None, "allow"), 5: (None, "allow"), 6: (None, "block"),
+                   7: (None, "block"), 8: (None, "allow"), 9: (None, "allow"), 10: (None, "block")}
+    assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_main_text_equals_article(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{TINY}/pages.parquet").collect()}
+    for row in queries.QUERIES["op6_main_text"](spark, TINY).collect():
+        inner = re.search(r"<article>(.*?)(?:</article>|\Z)", pages[row.page_id], re.S)[1]
+        blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split())
+                  for b in re.split(r"</?(?:p|h1|footer)>", inner))
+        assert row.text == "\n\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
+
+
+PAGE = """<html><head><title>T</title><script>var a = '<p>no</p>';</script></head><body>
+<header><a href=/>Home</a></header><ul class="main-menu"><li><a href=a>One</a></ul>
+<div class="content"><h1>The &lt;title&gt;</h1><p>First paragraph with enough words to be found&nbsp;here,
+and <a href="#">a link</a>.<p>Second &amp; last, longer paragraph of the page, also with words.
+<div class="ad">Buy now!</div><form><label>Name</label><input name=q></form></div>
+<div id="comments"><p>Nice post, says a reader with many words in a comment.</div><footer>&copy; us</footer>"""
+
+
+def test_main_text_without_article(spark):
+    assert html_extract.extract(PAGE, html_extract.PLAIN) == (
+        "The <title>\n\nFirst paragraph with enough words to be found here, and a link.\n\n"
+        "Second & last, longer paragraph of the page, also with words.")
+    pages = spark.createDataFrame([(1, None), (2, ""), (3, "plain text, no tags"), (4, "<p>" * 3000 + "deep"),
+                                   (5, "<div class=ad>unclosed<p>still text here"), (6, "a < b <p x=\"1>c")],
+                                  "page_id bigint, html string")
+    got = {r.page_id: r.text for r in html_extract.extracted(pages).collect()}
+    assert got[1] == got[2] == "" and got[3] == "plain text, no tags" and "still text here" in got[5]
+    assert html_extract.extracted(pages.limit(0)).count() == 0
+
+
+def test_pipeline(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()}
+    seen = spark.read.parquet(f"{TINY}/documents.parquet")
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        seen = stage(spark, seen, TINY).cache()
+        assert seen.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        kept.append({r.doc_id for r in seen.select("doc_id").collect()})
+    assert all(b <= a for a, b in zip(kept, kept[1:])) and len(kept[-1]) > 0.5 * len(docs)
+    final = corpus_pipeline.run(spark, TINY).collect()
+    assert {r.doc_id for r in final} <= kept[-1]
+    assert not any("@mail" in (r.text or "") and ".example.com" in r.text for r in final)
