@@ -25,7 +25,8 @@ def ordered(names, rows):
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "double": "DOUBLE"}
 
 
 def assert_same(df, sql: str, folder: str):
