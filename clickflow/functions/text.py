@@ -36,11 +36,16 @@ def join_text(*values) -> Column:
 
 
 def to_long(value) -> Column:
-    """Text to a whole number, null where it is none; a decimal loses its fraction."""
+    """Text to a whole number, null where it is none; a decimal loses its fraction.
+
+    The fraction is cut off as text, so no number of digits can round it up.
+    """
     text = _col(value)
+    whole = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
     return F.coalesce(
         text.try_cast("bigint"),
-        text.try_cast("decimal(38,6)").try_cast("bigint"),
+        whole.try_cast("bigint"),
+        text.try_cast("decimal(38,18)").try_cast("bigint"),
     )
 
 

@@ -8,18 +8,14 @@ aggregation with partial sums, so a row key with very many log rows is no proble
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickflow.functions.text import to_text
 from clickflow.operators.batchlog import read_if_there
-from clickflow.operators.skew import plan_bytes
 from clickflow.schemas import CELL_LOG
 
 PUT, DELETE = "put", "delete"
 
-# Requests estimated below this are used to thin out the log before it is shuffled.
-SMALL_REQUEST_BYTES = 8 << 20
-
 
 def _log(rows: DataFrame, family: str, column: Column, value: Column, op: str) -> DataFrame:
     return rows.select(
@@ -62,26 +58,25 @@ def delete_rows(rows: DataFrame, family: str = "info") -> DataFrame:
 
 
 def current_cells(log: DataFrame) -> DataFrame:
-    """The visible cells: the latest put of each, where no later deletion hides it."""
-    puts = (
-        log.where(F.col("op") == PUT).groupBy("rowkey", "family", "column")
-        .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"))
-    )
-    gone = (
-        log.where(F.col("op") == DELETE).groupBy("rowkey", "family")
-        .agg(F.max("seq").alias("_gone"))
-    )
+    """The visible cells: the latest put of each, where no later deletion hides it.
+
+    One pass over the log: deletions are the group without a column, and a row's window spreads
+    their time over its cells, which are as many as the row has columns.
+    """
+    put = F.when(F.col("op") == PUT, F.col("seq"))
+    deleted = F.max(F.when(F.col("op") == DELETE, F.col("seq")))
+    latest = log.groupBy("rowkey", "family", "column").agg(
+        F.max_by("value", put).alias("value"), F.max(put).alias("seq"), deleted.alias("_gone"))
+    row = Window.partitionBy("rowkey", "family")
     return (
-        puts.join(gone, ["rowkey", "family"], "left")
-        .where(F.col("_gone").isNull() | (F.col("seq") > F.col("_gone")))
+        latest.withColumn("_gone", F.max("_gone").over(row))
+        .where(F.col("seq").isNotNull() & (F.col("_gone").isNull() | (F.col("seq") > F.col("_gone"))))
         .drop("_gone")
     )
 
 
 def _asked_for(log: DataFrame, keys: DataFrame) -> DataFrame:
-    """The log rows of the wanted row keys, cut down early only if there are few keys."""
-    if plan_bytes(keys) > SMALL_REQUEST_BYTES:
-        return log
+    """The log rows of the wanted row keys; Spark picks the join by what both sides weigh."""
     return log.join(keys.select("rowkey").distinct(), "rowkey", "left_semi")
 
 

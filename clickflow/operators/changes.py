@@ -7,13 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickflow.operators.envelope import CORRUPT, parse_once
 from clickflow.operators.numbering import number_in_order
 from clickflow.schemas import CHANGE_ENTRY, CHANGE_RECORD
+from clickflow.session import keep_table
 
 # Entry types that only mark transactions.
 TRANSACTION_MARKERS = ["TRANSACTIONBEGIN", "TRANSACTIONEND"]
 
-# The subscription that takes in every table, and the fetch loop's last number.
+# The subscription that takes in every table.
 ALL_TABLES = r".*\..*"
-LAST_BATCH = 119
 
 
 def parse_entries(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -24,7 +24,11 @@ def parse_entries(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     reason = (F.when(unread, "entry is not a JSON object")
               .when(F.col("_entry.entryType").isNull(), "entryType is missing")
               .when(~F.col("_entry.entryType").isin(TRANSACTION_MARKERS)
-                    & F.col("_entry.header").isNull(), "header is missing"))
+                    & F.col("_entry.header").isNull(), "header is missing")
+              .when(~F.col("_entry.entryType").isin(TRANSACTION_MARKERS)
+                    & F.col("_entry.header.schemaName").isNull(), "schemaName is missing")
+              .when(~F.col("_entry.entryType").isin(TRANSACTION_MARKERS)
+                    & F.col("_entry.header.tableName").isNull(), "tableName is missing"))
     return rows.select(*keep, "raw", *[F.col(f"_entry.{n}").alias(n) for n in CHANGE_ENTRY.names],
                        reason.alias("badReason"))
 
@@ -48,18 +52,17 @@ def subscribe(entries: DataFrame, pattern: str = ALL_TABLES) -> DataFrame:
     return entries.where(name.rlike(f"^(?:{pattern})$"))
 
 
-def number_batches(entries: DataFrame, batch: str = "batchId",
-                   last: int | None = None) -> DataFrame:
+def number_batches(entries: DataFrame, batch: str = "batchId") -> DataFrame:
     """Adds ``emptyCount``: 1 for the first fetch batch that held entries, 2 for the next, ...
 
-    Markers count as entries, so number before dropping them. ``last`` ends the run after
-    that many batches.
+    Markers and unreadable entries count as entries, so number the raw texts, before anything
+    is parsed or dropped. Only the distinct batch ids are numbered, once, in a table of their
+    own. Entries without a batch id stay and get no number.
     """
-    numbers = number_in_order(entries.select(batch).distinct(), batch, "emptyCount")
-    if last is not None:
-        numbers = numbers.where(F.col("emptyCount") <= last)
+    ids = entries.select(batch).where(F.col(batch).isNotNull()).distinct()
+    numbers = number_in_order(keep_table(ids, "batch-ids"), batch, "emptyCount")
     numbers = numbers.withColumn("emptyCount", F.col("emptyCount").cast("int"))
-    return entries.join(numbers, batch)
+    return entries.join(keep_table(numbers, "batch-numbers"), batch, "left")
 
 
 def row_image() -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from clickflow.session import keep_table
+
 # Numbers per block, and blocks per span. Sequence numbers are unique, so a block holds at most
 # so many rows and a span so many blocks; all whole numbers there are make up 2^23 spans.
 BLOCK_WIDTH = 1 << 20
@@ -26,11 +28,15 @@ def number_in_order(df: DataFrame, seq: str, name: str, block_width: int = BLOCK
 
     Rows are numbered within blocks of neighbouring values, and each block is moved up by the
     rows in the blocks before it. Those are summed up the same way, within spans of blocks, so
-    only one row per span meets in one task.
+    only one row per span meets in one task. The few block starts are written once; after that
+    the rows pass one exchange. Rows without a number stay, take no number and count for none.
     """
-    rows = df.withColumn("_block", _start_of(seq, block_width))
-    blocks = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows")).withColumn(
+    rows = df.withColumn("_block", _start_of(seq, block_width)) \
+        .withColumn("_loose", F.when(F.col(seq).isNull(), F.spark_partition_id()))
+    counted = df.where(F.col(seq).isNotNull()).select(_start_of(seq, block_width).alias("_block"))
+    blocks = counted.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows")).withColumn(
         "_span", _start_of("_block", block_width * span_blocks))
+    blocks = keep_table(blocks, "blocks")
     spans = (
         blocks.groupBy("_span").agg(F.sum("_rows").alias("_rows"))
         .select("_span", _sum_before("_rows", "_span").alias("_spanBefore"))
@@ -40,12 +46,12 @@ def number_in_order(df: DataFrame, seq: str, name: str, block_width: int = BLOCK
         .join(spans, "_span")
         .select("_block", (F.col("_blockBefore") + F.col("_spanBefore")).alias("_before"))
     )
-    within = F.row_number().over(Window.partitionBy("_block").orderBy(seq))
+    within = F.row_number().over(Window.partitionBy("_block", "_loose").orderBy(seq))
     return (
         rows.withColumn("_within", within)
-        .join(before, "_block")
+        .join(before, "_block", "left")
         .withColumn(name, (F.col("_before") + F.col("_within")).cast("bigint"))
-        .drop("_block", "_within", "_before")
+        .drop("_block", "_loose", "_within", "_before")
     )
 
 

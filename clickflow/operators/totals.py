@@ -46,14 +46,20 @@ class Ledger:
         self.folder = folder.rstrip("/")
         self.log = BatchLog(spark, f"{self.folder}/sums", DELTA_SCHEMA)
 
-    def append(self, windows: DataFrame, batch_id: int, files: int | None = None) -> None:
-        """Writes a batch's sums, in at most so many files."""
+    def append(self, windows: DataFrame, batch_id: int) -> None:
+        """Writes a batch's sums; adaptive execution sizes the files."""
         rows = windows.select("windowStart", "channelId", "hourKey", *metrics.HOURLY_SUMS)
-        self.log.append(rows.repartition(files) if files else rows, batch_id)
+        self.log.append(rows.hint("rebalance"), batch_id)
 
     def windows(self, table: str, **options) -> DataFrame:
-        """A result table per window, for the batches that are not dropped yet."""
-        return FROM_HOURLY[table](self.log.batches(), "windowStart", **options)
+        """A result table per window, of all batches, folded ones too."""
+        done = self.log.folded_up_to()
+        return FROM_HOURLY[table](self._windows(done, self.log.batches(done)), "windowStart", **options)
+
+    def _windows(self, done: int, fresh: DataFrame) -> DataFrame:
+        every = self.log.base("windows", done, DELTA_SCHEMA).unionByName(fresh.drop("batch_id"))
+        return every.groupBy("windowStart", "channelId", "hourKey").agg(
+            *[F.sum(n).cast("bigint").alias(n) for n in metrics.HOURLY_SUMS])
 
     def totals(self, table: str, **options) -> DataFrame:
         """The current totals of a result table."""
@@ -82,7 +88,8 @@ class Ledger:
                 fresh.drop("windowStart", "batch_id"))
             summed = every.groupBy("channelId", "hourKey").agg(
                 *[F.sum(n).cast("bigint").alias(n) for n in metrics.HOURLY_SUMS])
-            return {"base": summed, "last": self._last(done, fresh)}
+            return {"base": summed, "last": self._last(done, fresh),
+                    "windows": self._windows(done, fresh)}
 
         self.log.fold(upto, parts)
 

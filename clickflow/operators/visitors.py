@@ -53,8 +53,8 @@ def with_previous_hour(clicks: DataFrame, hot: HotKeys | None = None) -> DataFra
     known = can_be_known()
     keyless = F.pmod(F.xxhash64("seq"), F.lit(KEYLESS_GROUPS)) + 1
     if hot:
-        keyed = hot.mark(keyed, "_hot")
-        block = F.when(~known, keyless).when(F.col("_hot"), hot.block(F.col("seq"))).otherwise(0)
+        keyed = hot.mark(keyed, "seq", "_hot", "_cut")
+        block = F.when(~known, keyless).when(F.col("_hot"), F.col("_cut")).otherwise(0)
     else:
         block = F.when(~known, keyless).otherwise(0)
     keyed = keyed.withColumn("_block", block.cast("bigint"))
@@ -74,7 +74,7 @@ def with_previous_hour(clicks: DataFrame, hot: HotKeys | None = None) -> DataFra
     return (
         ordered.join(carry, key, "left")
         .withColumn("previousHour", F.coalesce("previousHour", "_carried"))
-        .drop("_block", "_hot", "_carried")
+        .drop("_block", "_hot", "_cut", "_carried")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickflow import functions as C
 from clickflow.operators import envelope, metrics, numbering, totals, visitors, widen
 from clickflow.schemas import CLICK_FIELDS, WIDE_COLUMNS
-from clickflow.sources import tables
+from clickflow.sources import kafka, tables
 
 
 def flagged_events(spark: SparkSession, folder: str, hot=None) -> DataFrame:
@@ -36,8 +36,7 @@ def new_visitor_flags_split(spark, folder):
     """As above, with the splitting of big visitors forced onto small ones."""
     clicks = tables.load_order_clicks(spark, folder)
     hot = visitors.hot_visitors(
-        clicks, small_bytes=0, fraction=1.0, hot_share=1 / 4096, least_rows=2,
-        blocks=64)
+        clicks, fraction=1.0, hot_share=1 / 4096, least_rows=2, limits=64)
     return visitors.visitor_flags(clicks, hot).select(*FLAG_COLUMNS)
 
 
@@ -52,6 +51,24 @@ def new_visitor_flags_incremental(spark, folder):
     return one.select(*FLAG_COLUMNS).unionByName(two.select(*FLAG_COLUMNS))
 
 
+def topic_order(spark, folder):
+    """Flags of topic records from three partitions, many at one time and with equal offsets."""
+    events = tables.load_event_clicks(spark, folder)
+    records = events.select(
+        F.to_json(F.struct("channelID", "userID")).alias("body"), "seq",
+        F.timestamp_millis(F.col("timestamp") - F.col("timestamp") % 7200000).alias("timestamp"),
+        (F.col("seq") % 3).cast("int").alias("partition"),
+        (F.lit(2 ** 20 - 50) + F.floor(F.col("seq") / 3)).alias("offset"))
+    value = F.to_json(F.struct(F.lit(1).alias("count"), F.col("body").alias("message"),
+                               F.unix_millis("timestamp").alias("timeStamp")))
+    raw = kafka.number_topic_records(records.withColumn("value", value.cast("binary")))
+    messages = envelope.parse_messages(raw, keep=("seq",), fields=["channelID", "userID"])
+    clicks = envelope.flatten_messages(envelope.good_messages(messages), ("seq",))
+    hot = visitors.hot_visitors(clicks, fraction=1.0, hot_share=1 / 64, limits=16)
+    return visitors.visitor_flags(clicks, hot).select(
+        F.col("seq").cast("string").alias("arrival"), "isNew", "isHourNew", "isDayNew", "isMonthNew")
+
+
 def user_history(spark, folder):
     return visitors.user_history(tables.load_order_clicks(spark, folder))
 
@@ -183,8 +200,10 @@ def scalar_suite(spark, folder):
     digit = F.col("seq") % 5
     text = (F.when(digit == 0, F.lit(" \t ")).when(digit == 1, F.lit(""))
             .when(digit == 2, F.concat(F.lit(" "), "city", F.lit(" ")))
-            .when(digit == 3, C.to_text("seq")))
-    rows = clicks.withColumn("text", text).withColumn("other", F.col("timestamp") - F.lit(86400000))
+            .when(digit == 3, F.concat(C.to_text("seq"), F.when(
+                F.col("seq") % 2 == 0, ".99999999999999999999").otherwise(""))))
+    shift = F.when(F.col("seq") % 3 == 0, 86400000).when(F.col("seq") % 3 == 1, 0).otherwise(-86400000)
+    rows = clicks.withColumn("text", text).withColumn("other", F.col("timestamp") - shift)
     mapping = F.when(digit < 3, F.create_map(F.lit("city"), F.col("city"))) \
         .otherwise(F.create_map(F.lit("other"), F.col("city")))
     return rows.select(
@@ -208,7 +227,7 @@ QUERIES = {f.__name__: f for f in [
     channel_freshness, channel_freshness_orders, channel_freshness_windows,
     channel_hot, channel_hot_windows, channel_hot_last_window, running_totals,
     new_visitor_flags, new_visitor_flags_orders, new_visitor_flags_split,
-    new_visitor_flags_incremental, user_history,
+    new_visitor_flags_incremental, topic_order, user_history,
     click_wide, click_wide_orders, click_address, click_periods,
     hot_projection, pvuv_fanout, pvuv_hour_projection, freshness_fanout,
     click_envelope, round_robin_partition, parse_envelope, parse_click_log, bad_records,
@@ -409,19 +428,37 @@ GROUP BY 1""",
     "event_time": _with(EVENTS, then="""
 SELECT seq, CASE WHEN seq % 4 <> 0 THEN greatest(ms, ms + (seq % 25 - 12) * 100) ELSE ms END
   AS "eventMs" FROM clicks"""),
+    "topic_order": _with("""
+clicks AS (
+  SELECT CAST(user_id AS VARCHAR) AS "userID", event_type AS "channelID", event_id AS seq,
+         epoch_us(ts) // 1000 // 7200000 * 7200000 AS ms FROM events),
+sent AS (
+  SELECT *, seq % 3 AS part, 1048526 + seq // 3 AS "offset",
+         make_timestamp(ms * 1000) AS moment FROM clicks),
+dated AS (
+  SELECT *, lag(moment) OVER (PARTITION BY "userID", "channelID" ORDER BY ms, part, "offset") AS past FROM sent)""",
+                         then="""
+SELECT ms || lpad(CAST(part AS VARCHAR), 5, '0') || lpad(CAST("offset" AS VARCHAR), 19, '0') AS arrival,
+  CAST(past IS NULL AS INTEGER) AS "isNew",
+  CAST(past IS NULL OR strftime(moment, '%Y%m%d%H') > strftime(past, '%Y%m%d%H') AS INTEGER) AS "isHourNew",
+  CAST(past IS NULL OR strftime(moment, '%Y%m%d') > strftime(past, '%Y%m%d') AS INTEGER) AS "isDayNew",
+  CAST(past IS NULL OR strftime(moment, '%Y%m') > strftime(past, '%Y%m') AS INTEGER) AS "isMonthNew"
+FROM dated"""),
     "scalar_suite": _with(ORDERS, then="""
 SELECT seq,
   strftime(make_timestamp(ms * 1000), '%Y%m%d') AS "dayText",
   CAST(strftime(make_timestamp(ms * 1000), '%Y%m')
-       > strftime(make_timestamp((ms - 86400000) * 1000), '%Y%m') AS INTEGER) AS "laterMonth",
-  CAST(1 AS INTEGER) AS "laterDay",
+       > strftime(make_timestamp(other * 1000), '%Y%m') AS INTEGER) AS "laterMonth",
+  CAST(strftime(make_timestamp(ms * 1000), '%Y%m%d')
+       > strftime(make_timestamp(other * 1000), '%Y%m%d') AS INTEGER) AS "laterDay",
   "userID" || ':' || "channelID" AS "rowKey",
   city || 'nullnull' AS joined,
   CAST(seq % 5 IN (0, 1, 4) AS INTEGER) AS blank,
   CAST(seq % 5 IN (2, 3) AS INTEGER) AS "notBlank",
   CASE WHEN seq % 5 = 3 THEN CAST(seq AS BIGINT) END AS "asLong",
   CAST(ms AS VARCHAR) AS "asText",
-  ms AS later,
+  greatest(ms, other) AS later,
   CASE WHEN seq % 5 < 3 THEN city ELSE '' END AS mapped
-FROM clicks"""),
+FROM (SELECT *, ms - CASE seq % 3 WHEN 0 THEN 86400000 WHEN 1 THEN 0 ELSE -86400000 END AS other
+      FROM clicks)"""),
 }

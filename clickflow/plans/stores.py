@@ -89,15 +89,10 @@ def cdc_table_filter(spark, folder):
 
 
 def cdc_batch_sequence(spark, folder):
-    return _entries(spark, folder).groupBy("batchId", "emptyCount").agg(
-        F.count(F.lit(1)).cast("bigint").alias("entries"))
-
-
-def cdc_batch_sequence_limited(spark, folder):
-    """Only the batches the fetch loop would handle before it ends."""
-    entries = changes.number_batches(
-        tables.load_change_entries(spark, folder), last=changes.LAST_BATCH)
-    return entries.groupBy("batchId", "emptyCount").agg(
+    """Numbered fetch batches; the entries of every seventh lack the batch id."""
+    entries = tables.load_change_entries(spark, folder).withColumn(
+        "batchId", F.when(F.col("batchId") % 14 != 0, F.col("batchId")))
+    return changes.number_batches(entries).groupBy("batchId", "emptyCount").agg(
         F.count(F.lit(1)).cast("bigint").alias("entries"))
 
 
@@ -122,18 +117,21 @@ def cdc_topic_records(spark, folder):
 
 
 def load_entry_texts(spark, folder):
-    """Change entries as JSON text; of the entries for the audit schema every other is cut off."""
+    """Change entries as JSON text, some cut off, some without schema, some without table."""
     entries = tables.load_change_entries(spark, folder)
     text = F.to_json(F.struct("entryType", "header", "eventType", "rowDatas"))
     offset = F.col("header.logfileOffset")
-    cut = F.when((offset / 10) % 6 == 0, F.left(text, F.length(text) - 1)).otherwise(text)
+    digit = (offset / 10) % 6
+    cut = (F.when(digit == 0, F.left(text, F.length(text) - 1))
+           .when(digit == 5, F.regexp_replace(text, '"schemaName":"[a-z]*",', ""))
+           .when(digit == 4, F.regexp_replace(text, '"tableName":"[a-z_]*",', "")).otherwise(text))
     return entries.select("batchId", offset.alias("position"), cut.alias("value"))
 
 
 def cdc_decode(spark, folder):
-    parsed = changes.parse_entries(load_entry_texts(spark, folder), keep=("batchId",))
-    entries = changes.number_batches(changes.good_entries(parsed))
-    return spread_columns(changes.flatten_entries(entries))
+    texts = changes.number_batches(load_entry_texts(spark, folder))
+    parsed = changes.parse_entries(texts, keep=("emptyCount",))
+    return spread_columns(changes.flatten_entries(changes.good_entries(parsed)))
 
 
 def cdc_bad_entries(spark, folder):
@@ -145,7 +143,7 @@ def cdc_bad_entries(spark, folder):
 QUERIES = {f.__name__: f for f in [
     kv_put_cell, kv_put_row, kv_put_row_rejected, kv_get_cell, kv_get_row, kv_delete,
     kv_open_table,
-    cdc_transaction_filter, cdc_table_filter, cdc_batch_sequence, cdc_batch_sequence_limited,
+    cdc_transaction_filter, cdc_table_filter, cdc_batch_sequence,
     cdc_flatten, cdc_topic_records, cdc_decode, cdc_bad_entries,
 ]}
 
@@ -212,7 +210,7 @@ SELECT "logFileName", "logFileOffset", "dbName", "tableName", "eventType", "empt
 FROM records CROSS JOIN (VALUES ('id'), ('line'), ('status')) AS names(n)"""
 
 SEQUENCE = """
-SELECT "batchId", "emptyCount", CAST(count(*) AS BIGINT) AS entries FROM numbered {where}
+SELECT "batchId", "emptyCount", CAST(count(*) AS BIGINT) AS entries FROM numbered
 GROUP BY 1, 2"""
 
 
@@ -225,7 +223,13 @@ def _numbered(source: str = "kinds") -> str:
 
 
 READABLE = """
-readable AS (SELECT * FROM kinds WHERE k % 6 <> 0)"""
+numbered AS (SELECT * FROM counted WHERE k % 6 NOT IN (0, 4, 5))"""
+
+UNNAMED = """
+unnamed AS (SELECT * REPLACE (CASE WHEN "batchId" % 14 <> 0 THEN "batchId" END AS "batchId") FROM kinds),
+numbered AS (
+  SELECT *, CASE WHEN "batchId" IS NOT NULL THEN CAST(dense_rank() OVER (
+    ORDER BY "batchId" NULLS LAST) AS INTEGER) END AS "emptyCount" FROM unnamed)"""
 
 ORACLES = {
     "kv_put_cell": _with(PUTS, """
@@ -253,17 +257,17 @@ SELECT "batchId", k * 10 AS position, "entryType" FROM kinds WHERE "entryType" =
     "cdc_table_filter": _with(ENTRIES, then="""
 SELECT "batchId", k * 10 AS position, "entryType", "dbName", "tableName" FROM kinds
 WHERE "dbName" = 'shop' AND "tableName" = 'orders'"""),
-    "cdc_batch_sequence": _with(ENTRIES, _numbered(), then=SEQUENCE.replace("{where}", "")),
-    "cdc_batch_sequence_limited": _with(ENTRIES, _numbered(), then=SEQUENCE.replace(
-        "{where}", 'WHERE "emptyCount" <= 119')),
+    "cdc_batch_sequence": _with(ENTRIES, UNNAMED, then=SEQUENCE),
     "cdc_flatten": _with(ENTRIES, _numbered(), RECORDS, then=SPREAD),
     "cdc_topic_records": _with(ENTRIES, _numbered(), RECORDS, then="""
 SELECT sha256("logFileName" || ':' || "logFileOffset" || ':' || (line - 1)) AS key,
        "logFileName", "logFileOffset", "emptyCount", CAST(3 AS INTEGER) AS columns
 FROM records"""),
-    "cdc_decode": _with(ENTRIES, READABLE, _numbered("readable"), RECORDS, then=SPREAD),
+    "cdc_decode": _with(
+        ENTRIES, _numbered().replace("numbered AS", "counted AS"), READABLE, RECORDS, then=SPREAD),
     "cdc_bad_entries": _with(ENTRIES, then="""
-SELECT k * 10 AS position, 'entry is not a JSON object' AS "badReason",
+SELECT k * 10 AS position, CASE k % 6 WHEN 0 THEN 'entry is not a JSON object'
+         WHEN 5 THEN 'schemaName is missing' ELSE 'tableName is missing' END AS "badReason",
        CAST(count(*) AS BIGINT) AS entries
-FROM kinds WHERE k % 6 = 0 GROUP BY 1"""),
+FROM kinds WHERE k % 6 = 0 OR (k % 6 IN (4, 5) AND "entryType" = 'ROWDATA') GROUP BY 1, 2"""),
 }

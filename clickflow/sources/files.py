@@ -7,21 +7,24 @@ from pyspark.sql.types import StructType
 
 from clickflow.schemas import RAW_RECORD
 
-# Most input one micro-batch takes in. The visitor state works on all clicks one visitor has
-# in a batch at once, so this also bounds what a task must hold.
-BATCH_BYTES = 1 << 30
+
+def _bounded(spark: SparkSession, bytes_per_batch: int | None, files_per_batch: int | None):
+    """A stream reader whose batches are bounded as given, else by what has arrived."""
+    reader = spark.readStream
+    if files_per_batch:
+        return reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else reader
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType,
-                 bytes_per_batch: int = BATCH_BYTES,
+                 bytes_per_batch: int | None = None,
                  files_per_batch: int | None = None) -> DataFrame:
     """A stream over Parquet files; new files are taken in as they appear.
 
-    Batches are bounded by size, or by number of files where that is given.
+    Bound a backlog's batches by bytes to what the cluster can hold. Clicks are late by the
+    batches before theirs, so where batches are cut decides which clicks those are.
     """
-    limit = (("maxFilesPerTrigger", files_per_batch) if files_per_batch
-             else ("maxBytesPerTrigger", bytes_per_batch))
-    return spark.readStream.schema(schema).option(*limit).parquet(path)
+    return _bounded(spark, bytes_per_batch, files_per_batch).schema(schema).parquet(path)
 
 
 def stream_click_files(spark: SparkSession, path: str, **limits) -> DataFrame:
@@ -29,12 +32,13 @@ def stream_click_files(spark: SparkSession, path: str, **limits) -> DataFrame:
     return stream_files(spark, path, RAW_RECORD, **limits)
 
 
-def stream_entry_texts(spark: SparkSession, path: str,
-                       files_per_batch: int = 1) -> DataFrame:
-    """A stream of change entries, one JSON text per line; one file is one fetch batch."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
-    )
+def stream_entry_texts(spark: SparkSession, path: str, bytes_per_batch: int | None = None,
+                       files_per_batch: int | None = None) -> DataFrame:
+    """A stream of change entries, one JSON text per line.
+
+    With ``files_per_batch=1`` each file is a fetch batch of its own.
+    """
+    return _bounded(spark, bytes_per_batch, files_per_batch).text(path)
 
 
 def given_clicks(spark: SparkSession, texts: list[str]) -> DataFrame:

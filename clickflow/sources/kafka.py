@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Most records one micro-batch takes in, so that a restart after a long stop works through
-# the backlog in steps and no visitor's share of a batch outgrows a task.
-BATCH_RECORDS = 10_000_000
-
 
 def kafka_options(servers: str, **settings) -> dict[str, str]:
     """Client options for a topic source or sink, e.g. ``retries=1``, ``linger_ms=1``,
@@ -20,28 +16,35 @@ def kafka_options(servers: str, **settings) -> dict[str, str]:
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-               records_per_batch: int = BATCH_RECORDS, **settings) -> DataFrame:
+               records_per_batch: int | None = None, **settings) -> DataFrame:
     """A streaming topic as raw records: text, arrival number and broker time.
 
-    Read offsets are kept in the query's checkpoint, not committed to the broker. Records are
-    numbered by broker time and, within a millisecond, by offset.
+    Read offsets are kept in the query's checkpoint, not committed to the broker. Give
+    ``records_per_batch`` to work through a backlog in steps the cluster can hold; clicks are
+    late by the batches before theirs, so steps also decide which clicks those are.
     """
     stream = (
         spark.readStream.format("kafka").options(**kafka_options(servers, **settings))
         .option("subscribe", topic).option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", records_per_batch).load()
     )
-    return number_topic_records(stream)
+    if records_per_batch:
+        stream = stream.option("maxOffsetsPerTrigger", records_per_batch)
+    return number_topic_records(stream.load())
 
 
 def number_topic_records(records: DataFrame) -> DataFrame:
-    """Topic columns to raw records; the number's low 20 bits come from the offset."""
+    """Topic columns to raw records, numbered by broker time, then partition, then offset.
+
+    The three stand side by side in one decimal of 38 digits: 14 for the time, 5 for the
+    partition, 19 for the offset. So numbers are unique and rise within a partition.
+    """
     arrival = F.unix_millis("timestamp")
-    low_bits = F.lit(1 << 20)
+    seq = F.expr(
+        "CAST(CAST(unix_millis(timestamp) AS DECIMAL(14,0)) * CAST('1000000000000000000000000' AS DECIMAL(25,0))"
+        " + CAST(`partition` AS DECIMAL(5,0)) * CAST('10000000000000000000' AS DECIMAL(20,0))"
+        " + CAST(`offset` AS DECIMAL(19,0)) AS DECIMAL(38,0))")
     return records.select(
-        F.col("value").cast("string").alias("value"),
-        (arrival * low_bits + F.col("offset") % low_bits).alias("seq"),
-        arrival.alias("arrivalMs"))
+        F.col("value").cast("string").alias("value"), seq.alias("seq"), arrival.alias("arrivalMs"))
 
 
 def even_out(records: DataFrame, partitions: int | None) -> DataFrame:

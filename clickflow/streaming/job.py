@@ -24,9 +24,6 @@ TRIGGER = "5 seconds"
 # Batches between two foldings of the tables a job keeps.
 FOLD_EVERY = 500
 
-# Files one batch of window sums is written to; the state has many more partitions than that.
-SUM_FILES = 4
-
 # What the metrics read of a click; everything else is dropped before the state.
 METRIC_COLUMNS = ["seq", "userID", "channelID", "count", "timestamp", "arrivalMs"]
 
@@ -92,8 +89,9 @@ def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
         flagged = _unflagged(narrow)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ledger.append(batch, batch_id, SUM_FILES)
-        ledger.maintain(batch_id, fold_every)
+        with setting(batch.sparkSession, spark__sql__adaptive__enabled="true"):
+            ledger.append(batch, batch_id)
+            ledger.maintain(batch_id, fold_every)
 
     writer = window_sums(flagged).writeStream.outputMode("append").foreachBatch(handle)
     return start(writer, spark, checkpoint, trigger, state_partitions)
@@ -125,7 +123,7 @@ class Highest:
 def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
                          tasks: tuple[str, ...] = ("channel_pvuv",),
                          trigger: str | None = "1 minute", fold_every: int = FOLD_EVERY,
-                         **hot_limits) -> StreamingQuery:
+                         shuffle_partitions: int | None = None, **hot_limits) -> StreamingQuery:
     """The same ledger from large micro-batches, with the visitor history as a table.
 
     Every step is an ordinary batch query: no Python runs, and a visitor or robot that sends
@@ -163,7 +161,7 @@ def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Streams run with adaptive execution off; these queries are plain batch queries.
         batch = batch.persist()
-        with setting(batch.sparkSession, spark__sql__adaptive__enabled="true"):
+        with batch_settings(batch.sparkSession, shuffle_partitions):
             try:
                 handle_clicks(batch, batch_id)
             finally:
@@ -172,6 +170,15 @@ def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     return start(narrow.writeStream.foreachBatch(handle), spark, checkpoint, trigger)
 
 
+def batch_settings(spark: SparkSession, shuffle_partitions: int | None):
+    """Settings of the batch queries inside a micro-batch, chosen anew with every start.
+
+    The number a stream's own checkpoint keeps is for its state, which these jobs do not have.
+    """
+    more = {"spark__sql__shuffle__partitions": shuffle_partitions} if shuffle_partitions else {}
+    return setting(spark, spark__sql__adaptive__enabled="true", **more)
+
+
 def start_file_sink(stream: DataFrame, folder: str, checkpoint: str,
                     trigger: str | None = TRIGGER,
                     state_partitions: int | None = None) -> StreamingQuery:
@@ -183,7 +190,8 @@ def start_file_sink(stream: DataFrame, folder: str, checkpoint: str,
 def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
                      pattern: str = changes.ALL_TABLES,
                      trigger: str | None = TRIGGER, fold_every: int = FOLD_EVERY,
-                     send: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+                     send: Callable[[DataFrame], None] | None = None,
+                     shuffle_partitions: int | None = None) -> StreamingQuery:
     """Flattens a stream of change-entry texts into ``folder/records``, ``folder/bad`` beside it.
 
     Non-empty micro-batches are numbered 1, 2, 3, ... across restarts. ``send`` is given each
@@ -193,13 +201,12 @@ def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
     spark = texts.sparkSession
     fetches = Highest(spark, f"{folder.rstrip('/')}/fetches")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+    def handle_entries(parsed: DataFrame, batch_id: int) -> None:
+        if parsed.isEmpty():
             return
         number = (fetches.before(batch_id) or 0) + 1
         fetches.append(number, batch_id)
         fetches.maintain(batch_id, fold_every)
-        parsed = changes.parse_entries(batch)
         numbered = changes.good_entries(parsed).withColumn("emptyCount", F.lit(number))
         records = changes.flatten_entries(changes.subscribe(numbered, pattern))
         write_batch(records, f"{folder}/records", batch_id)
@@ -207,4 +214,13 @@ def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
             send(changes.topic_records(records))
         write_batch(changes.bad_entries(parsed), f"{folder}/bad", batch_id)
 
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        # read and parsed once, for the test whether there is anything and for all that is written
+        parsed = changes.parse_entries(batch).persist()
+        with batch_settings(batch.sparkSession, shuffle_partitions):
+            try:
+                handle_entries(parsed, batch_id)
+            finally:
+                parsed.unpersist()
+
     return start(texts.writeStream.foreachBatch(handle), spark, checkpoint, trigger)

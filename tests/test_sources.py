@@ -19,12 +19,17 @@ def test_kafka_options():
 
 def test_topic_records_are_numbered_by_time_then_offset(spark):
     at = datetime(2024, 1, 1, tzinfo=timezone.utc)
-    rows = [(bytearray(b"a"), at, 7), (bytearray(b"b"), at, 8)]
+    rows = [(bytearray(b"c"), at, 1, 7), (bytearray(b"a"), at, 0, 2**20 - 1),
+            (bytearray(b"b"), at, 0, 2**20), (bytearray(b"d"), at, 1, 2**62)]
     records = kafka.number_topic_records(spark.createDataFrame(
-        rows, "value binary, timestamp timestamp, offset bigint"))
+        rows, "value binary, timestamp timestamp, partition int, offset bigint"))
     found = records.orderBy("seq").collect()
-    assert [r.value for r in found] == ["a", "b"]
+    assert [r.value for r in found] == ["a", "b", "c", "d"] and len({r.seq for r in found}) == 4
     assert found[0].arrivalMs == 1704067200000 and found[0].seq < found[1].seq
+    same = kafka.number_topic_records(spark.createDataFrame(
+        [(bytearray(b"x"), at, p, 7) for p in (0, 1)],
+        "value binary, timestamp timestamp, partition int, offset bigint"))
+    assert same.select("seq").distinct().count() == 2
 
 
 def test_event_time_is_the_later_of_the_two(spark):

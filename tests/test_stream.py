@@ -173,7 +173,7 @@ def test_change_stream(spark, tmp_path):
         spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1) \
             .write.mode("append").text(f"{tmp_path}/in")
     for _ in range(2):
-        stream = files.stream_entry_texts(spark, f"{tmp_path}/in")
+        stream = files.stream_entry_texts(spark, f"{tmp_path}/in", files_per_batch=1)
         job.start_change_job(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint",
                              pattern=r"db\.t", trigger=None,
                              send=lambda r: r.write.mode("append").json(f"{tmp_path}/topic"),
