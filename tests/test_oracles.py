@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from clickflow.plans.catalog import all_oracles, all_queries
 from oracle import assert_same
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -14,6 +15,11 @@ def test_query_agrees_with_sql(spark, name):
     assert assert_same(QUERIES[name](spark, FOLDER), ORACLES[name], FOLDER) > 0
 
 
+def test_all_are_registered():
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLES.keys() <= entry_point.oracle_sql().keys()
+
+
 def test_entry_gives_rows(spark):
     result = entry_point.entry(spark)
     assert result.columns == ["channelId", "yearMonthDayHour", "pv", "uv"]

@@ -2,13 +2,13 @@
 
 import re
 
-import __spark_entry__ as entry_point
+from clickflow.plans.catalog import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 def plan(spark, name):
-    df = entry_point.queries()[name](spark, FOLDER)
+    df = all_queries()[name](spark, FOLDER)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -40,10 +40,17 @@ def test_split_visitors_join_on_the_exchange_they_have(spark):
 
 
 def test_no_query_runs_in_one_task_or_as_a_cross_join(spark):
-    for name in entry_point.queries():
+    for name in all_queries():
         if name.startswith("stream_"):
             continue
         text = plan(spark, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         for single in re.findall(r"Exchange SinglePartition.*\n.*", text):
             assert "HashAggregate(keys=[_span" in single, name
+
+
+def test_change_entries_are_read_and_parsed_once(spark):
+    for name, parses in (("cdc_decode", 1), ("cdc_flatten", 0)):
+        text = plan(spark, name)
+        assert text.count("FileScan parquet") <= 2, name
+        assert len(re.findall(r"from_json\(", text)) == parses, name
