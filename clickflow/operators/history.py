@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickflow.operators.batchlog import BatchLog
 from clickflow.operators.skew import HotKeys
-from clickflow.operators.visitors import flags_with_history, user_history
+from clickflow.operators.visitors import can_be_known, flags_with_history, user_history
 
 SCHEMA = "userid string, channelid string, lastVisitedTime bigint"
 
@@ -27,8 +27,15 @@ class VisitorHistory:
         return base.unionByName(self.log.batches(done, None if before is None else before - 1))
 
     def flag(self, clicks: DataFrame, batch_id: int, hot: HotKeys | None = None) -> DataFrame:
-        """A batch's clicks with their flags, given all batches before it."""
-        return flags_with_history(clicks, self._rows(batch_id), hot)
+        """A batch's clicks with their flags, given all batches before it.
+
+        The history is cut down to the batch's own visitors before it meets the clicks, so what
+        is shuffled and sorted follows the batch, not all visitors ever seen.
+        """
+        visitors = clicks.where(can_be_known()).select(
+            F.col("userID").alias("userid"), F.col("channelID").alias("channelid")).distinct()
+        known = self._rows(batch_id).join(visitors, ["userid", "channelid"], "left_semi")
+        return flags_with_history(clicks, known, hot)
 
     def append(self, clicks: DataFrame, batch_id: int) -> None:
         self.log.append(user_history(clicks), batch_id)

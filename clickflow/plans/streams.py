@@ -17,7 +17,6 @@ from clickflow.plans import stores
 from clickflow.session import work_folder
 from clickflow.sources import files, tables
 from clickflow.streaming import job
-from clickflow.streaming.visitors import stream_visitor_flags
 
 
 def stream_table(spark, folder, name):
@@ -31,13 +30,39 @@ def stream_event_clicks(spark, folder):
 
 
 def stream_raw_events(spark, folder):
+    return raw_records(stream_table(spark, folder, "events"))
+
+
+def raw_records(events):
     """Events as raw records: enveloped, numbered, with the broker's time half a second later."""
-    clicks = stream_event_clicks(spark, folder)
+    clicks = tables.event_clicks(events)
     bodies = clicks.withColumn("body", tables.click_body("channelID", "produceID", "userID")) \
         .withColumn("arrivalMs", F.col("timestamp") + 500)
     return envelope.build_envelopes(bodies, "body", "timestamp", keep=("seq", "arrivalMs"))
 
 
+def event_part():
+    """Thirds of the events' month."""
+    return F.floor((F.dayofmonth("ts") - 1) / 11)
+
+
+def order_part(orders):
+    """Thirds of the orders by their key, which is their order of arrival."""
+    third = orders.agg(F.max("o_orderkey")).first()[0] // 3 + 1
+    return F.floor(F.col("o_orderkey") / third)
+
+
+def _fed(spark, folder, name, part, run, parts=3):
+    """Gives a table to a job in parts, one run of the job from its checkpoint for each."""
+    out = work_folder(spark, f"fed-{name}")
+    rows = tables.read_table(spark, folder, name)
+    for number in range(parts):
+        rows.where(part == number).write.mode("append").parquet(f"{out}/input")
+        stream = files.stream_files(spark, f"{out}/input", rows.schema)
+        run(stream, out).awaitTermination()
+    return out
+
+
 def _file_result(stream, purpose):
     """Runs a stream into a new folder and reads that back."""
     spark = stream.sparkSession
@@ -59,16 +84,19 @@ def stream_parse(spark, folder):
 
 
 def stream_new_visitor_flags(spark, folder):
-    clicks = stream_event_clicks(spark, folder).select(
-        "seq", "userID", "channelID", "timestamp")
-    flagged = stream_visitor_flags(clicks).select(*batch.FLAG_COLUMNS)
-    return _file_result(flagged, "flags")
+    """Flags of three batches, each looked up in the history the ones before it left."""
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_flag_job(
+        tables.event_clicks(stream).select("seq", "userID", "channelID", "timestamp"), out,
+        f"{out}/checkpoint", lambda flagged: flagged.select(*batch.FLAG_COLUMNS), None))
+    return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
 def stream_pvuv(spark, folder):
     """The whole chain from raw records; the broker's time decides the window."""
-    clicks = job.parse_raw(stream_raw_events(spark, folder), VISITOR_KEY)
-    return _ledger_result(clicks, ("channel_pvuv",)).windows("channel_pvuv")
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_click_job(
+        job.parse_raw(raw_records(stream), VISITOR_KEY), out, f"{out}/checkpoint",
+        ("channel_pvuv",), None))
+    return Ledger(spark, out).windows("channel_pvuv")
 
 
 def stream_freshness(spark, folder):
@@ -95,23 +123,22 @@ def _write_steps(spark, folder, out):
     held = F.when(digit == 0, 1).when(digit == 1, 2).otherwise(0)
     step = F.floor((F.dayofmonth("ts") - 1) / 8) + held
     for number in range(STEPS):
-        events.where(step == number).coalesce(1).write.mode("append").parquet(out)
-    return events.schema
+        events.where(step == number).write.mode("append").parquet(out)
+        yield events.schema
 
 
-def _stepped_ledger(spark, folder, runs=1, fold=False, start=job.start_click_job):
-    """Runs a click job one written step per micro-batch, stopping and restarting in between."""
+def _stepped_ledger(spark, folder, fold=False, start=job.start_click_job):
+    """Writes a step, runs a click job to its end, and so on, each run from the checkpoint."""
     out = work_folder(spark, "steps")
-    schema = _write_steps(spark, folder, f"{out}/input")
     ledger = Ledger(spark, f"{out}/ledger")
-    for number in range(runs):
-        stream = files.stream_files(spark, f"{out}/input", schema, files_per_batch=1)
+    for number, schema in enumerate(_write_steps(spark, folder, f"{out}/input")):
+        stream = files.stream_files(spark, f"{out}/input", schema)
         query = start(
             tables.event_clicks(stream), ledger.folder, f"{out}/checkpoint",
             ("channel_pvuv", "channel_freshness", "channel"), None)
         query.awaitTermination()
-        if fold:
-            ledger.fold(2 * number + 2)
+        if fold and number % 2:
+            ledger.fold(number)
     return ledger
 
 
@@ -121,8 +148,8 @@ def stream_late_rows(spark, folder):
 
 
 def stream_totals(spark, folder):
-    """Running totals after a restart and folding old batches twice."""
-    return _stepped_ledger(spark, folder, runs=2, fold=True).totals("channel_pvuv")
+    """Running totals after restarts and folding old batches three times."""
+    return _stepped_ledger(spark, folder, fold=True).totals("channel_pvuv")
 
 
 def stream_bulk_late_rows(spark, folder):
@@ -132,25 +159,25 @@ def stream_bulk_late_rows(spark, folder):
 
 
 def stream_bulk_totals(spark, folder):
-    """The large-batch job over all events, in one batch."""
-    out = work_folder(spark, "bulk")
-    query = job.start_bulk_click_job(
-        stream_event_clicks(spark, folder), out, f"{out}/checkpoint", trigger=None)
-    query.awaitTermination()
+    """The large-batch job over all events, in three batches."""
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_bulk_click_job(
+        tables.event_clicks(stream), out, f"{out}/checkpoint", trigger=None))
     return Ledger(spark, out).totals("channel_pvuv")
 
 
 def stream_click_wide(spark, folder):
     """The 22 columns of the widened click on a stream."""
-    flagged = stream_visitor_flags(stream_event_clicks(spark, folder))
-    return _file_result(widen.wide_clicks(flagged, keep=("seq",)), "wide")
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_flag_job(
+        tables.event_clicks(stream), out, f"{out}/checkpoint",
+        lambda flagged: widen.wide_clicks(flagged, keep=("seq",)), None))
+    return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
 def stream_user_history(spark, folder):
     """The visitor history the large-batch job leaves behind."""
-    clicks = tables.order_clicks(stream_table(spark, folder, "orders"))
-    out = work_folder(spark, "history")
-    job.start_bulk_click_job(clicks, out, f"{out}/checkpoint", trigger=None).awaitTermination()
+    part = order_part(tables.read_table(spark, folder, "orders"))
+    out = _fed(spark, folder, "orders", part, lambda stream, out: job.start_bulk_click_job(
+        tables.order_clicks(stream), out, f"{out}/checkpoint", trigger=None))
     return VisitorHistory(spark, out).snapshot()
 
 
@@ -201,10 +228,10 @@ dated AS (
            PARTITION BY "userID", "channelID" ORDER BY step, seq) AS past
   FROM stepped)"""
 
-# Late clicks of a step are told by the watermark of the step before it.
+# Each step is a run to the end, so the watermark has caught up with all steps before it.
 IN_TIME = """
 marks AS (
-  SELECT s.step, (SELECT max(ms) - 2000 FROM stepped WHERE stepped.step <= s.step - 2) AS mark
+  SELECT s.step, (SELECT max(ms) - 2000 FROM stepped WHERE stepped.step <= s.step - 1) AS mark
   FROM (SELECT DISTINCT step FROM stepped) s),
 fired AS (
   SELECT flagged.* FROM flagged JOIN marks USING (step)

@@ -179,6 +179,34 @@ def batch_settings(spark: SparkSession, shuffle_partitions: int | None):
     return setting(spark, spark__sql__adaptive__enabled="true", **more)
 
 
+def start_flag_job(clicks: DataFrame, folder: str, checkpoint: str,
+                   shape: Callable[[DataFrame], DataFrame] = lambda flagged: flagged,
+                   trigger: str | None = "1 minute", fold_every: int = FOLD_EVERY,
+                   shuffle_partitions: int | None = None, **hot_limits) -> StreamingQuery:
+    """Writes a stream's clicks with their visitor flags to ``folder/rows``, batch by batch.
+
+    All on the JVM: the click before is found inside the batch, and in the visitor history for
+    a visitor's first click of the batch. ``shape`` chooses the columns written. A replay
+    rewrites its own batch's rows. ``VisitorHistory(spark, folder).snapshot()`` reads the
+    history.
+    """
+    spark = clicks.sparkSession
+    history = VisitorHistory(spark, folder)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        with batch_settings(batch.sparkSession, shuffle_partitions):
+            try:
+                flagged = history.flag(batch, batch_id, hot_visitors(batch, **hot_limits))
+                write_batch(shape(flagged), f"{folder}/rows", batch_id)
+                history.append(batch, batch_id)
+                history.maintain(batch_id, fold_every)
+            finally:
+                batch.unpersist()
+
+    return start(clicks.writeStream.foreachBatch(handle), spark, checkpoint, trigger)
+
+
 def start_file_sink(stream: DataFrame, folder: str, checkpoint: str,
                     trigger: str | None = TRIGGER,
                     state_partitions: int | None = None) -> StreamingQuery:
