@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clickflow.operators.batchlog import delete_folder
 from clickflow.session import work_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -12,6 +13,7 @@ LOWER_TABLE = str.maketrans(UPPER, LOWER)
 # A word: no blank and none of the five ASCII line and tab characters. bytes.split() cuts alike.
 WORD = r"[^\x20\x09-\x0D]+"
 
+TEXT_ROWS = 1_000  # rows in an Arrow batch of texts: some are very long, and workers keep their peak
 BROADCAST_ROWS = 500_000  # narrow tables of counted size up to this are broadcast, others joined
 
 
@@ -19,11 +21,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python in batches of at most ``TEXT_ROWS``, from now on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) not in range(1, TEXT_ROWS + 1):
+        spark.conf.set(name, TEXT_ROWS)
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z in lower case, every other letter as it is."""
     return F.translate(column, UPPER, LOWER)
 
 
+_work_tables: list[str] = []
+
+
 def keep_table(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table into the cluster's shared folder and read it from there.
 
@@ -31,10 +43,24 @@ def keep_table(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_folder(spark, purpose)
+    _work_tables.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_work_tables(spark: SparkSession, but: DataFrame | None = None) -> None:
+    """Delete the work tables this driver has written, once what was built on them is stored.
+
+    ``but`` is a kept table that is still needed.
+    """
+    needed = [name.rsplit("/", 1)[0] for name in (but.inputFiles() if but is not None else [])]
+    stays = [path for path in _work_tables if any(name.endswith(path.split("://")[-1]) for name in needed)]
+    for path in _work_tables:
+        if path not in stays:
+            delete_folder(spark, path)
+    _work_tables[:] = stays
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a narrow side whose row count was taken and is small; else let Spark join it."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from clickflow.llm.common import keep_table
+from clickflow.llm.common import keep_table, text_batches
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "#*$%&|<>"
@@ -92,6 +92,7 @@ def labelled_sample(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, text`` and the label columns; the sampled ids are few, so texts stay in place."""
+    text_batches(docs.sparkSession)
     ids = keep_table(labelled_sample(labels, rows), "fit-ids")
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 

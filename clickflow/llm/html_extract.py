@@ -27,7 +27,7 @@ from math import log
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickflow.llm.common import replace_columns, table
+from clickflow.llm.common import replace_columns, table, text_batches
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
@@ -235,6 +235,7 @@ def learned_weights(pages: DataFrame, sample: int = SAMPLE_PAGES) -> dict[str, f
 
 def extracted(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """Every page with ``text`` and ``n_chars``."""
+    text_batches(pages.sparkSession)
     weights = learned_weights(pages) if weights is None else weights
 
     @F.pandas_udf("string")

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType
 
-from clickflow.llm.common import BROADCAST_ROWS, LOWER_TABLE, keep_table, small_side, table
+from clickflow.llm.common import BROADCAST_ROWS, LOWER_TABLE, keep_table, small_side, table, text_batches
 
 SHINGLE = 5
 LEAST_PERCENT = 75
@@ -49,7 +49,7 @@ VALUES = TREES * START
 REGION, NEAR, PIVOTS = 16, 2, 1
 PIVOT_DEPTHS = (3, 6)
 REST_DEPTH, REST_BEST, REST_AGREE = 4, 8, 0.55
-ROWS_PER_TASK = 500_000
+ROWS_PER_TASK = 200_000
 
 _random = np.random.default_rng(75)
 MIX = _random.integers(0, 2 ** 63, VALUES, dtype=np.uint64)
@@ -331,6 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``kept`` says that the row's doc_id is its component's smallest. ``keeper`` is the
     ``(doc_id, text_key)`` of the one row that stands for the component.
     """
+    text_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     signed = keep_table(docs.select("doc_id", text_key().alias("text_key"), "text").mapInPandas(
         sign_texts, "doc_id bigint, text_key binary, n_shingles bigint, node binary, sig binary"),

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from clickflow.llm.common import keep_table, replace_columns, small_side, table
+from clickflow.llm.common import keep_table, replace_columns, small_side, table, text_batches
 
 KEY = b"set a key of your own"
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Señora", "Sra", "Signora", "г-жа", "госпожа")
@@ -245,6 +245,7 @@ def drawn_again(entities: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def with_surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """The documents with surrogates in ``text``, and ``n_entities`` and ``kinds`` found."""
+    text_batches(docs.sparkSession)
     seen = keep_table(mentions(docs), "pii-mentions")
     again = keep_table(drawn_again(seen.select("kind", "canon").distinct(), key), "pii-attempts")
     attempts = keep_table(seen.join(small_side(again, again.count()), ["kind", "canon"])

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
-from clickflow.llm.common import replace_columns, table
+from clickflow.llm.common import replace_columns, table, text_batches
 from clickflow.llm.doc_stats import FEATURES, SAMPLE_ROWS, held_out, labelled_features, statistics
 
 COSINES, WIDTH, RIDGE = 256, 3.0, 1.0
@@ -134,6 +134,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Class
 
 def scored(docs: DataFrame, model: Classifier, good_from: float = GOOD_FROM) -> DataFrame:
     """Every document with ``held_out, score, predicted``."""
+    text_batches(docs.sparkSession)
     @F.pandas_udf(DoubleType())
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from clickflow.llm.common import replace_columns, table
+from clickflow.llm.common import replace_columns, table, text_batches
 from clickflow.llm.doc_stats import COUNTS, FEATURES, SAMPLE_ROWS, labelled_features, statistics
 
 FALLING = ("symbols", "dup_lines", "repeat_words", "upper", "shouts", "twins", "bars")
@@ -132,6 +132,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees
 
 def judged(docs: DataFrame, trees: Trees | None) -> DataFrame:
     """Every document with the counts, ``base_failed``, ``score`` and ``kept``."""
+    text_batches(docs.sparkSession)
     added = [*COUNTS, "base_failed", "score", "kept"]
     types = [LongType()] * len(COUNTS) + [BooleanType(), DoubleType(), BooleanType()]
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clickflow.llm.common import keep_table, replace_columns, table
+from clickflow.llm.common import keep_table, replace_columns, table, text_batches
 from clickflow.llm.doc_stats import held_out, labelled_texts
 
 INSULTS = ("clown", "idiot", "loser", "moron", "scum")
@@ -184,6 +184,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Chain
 
 def scored(docs: DataFrame, chain: Chain, toxic_from: float = TOXIC_FROM) -> DataFrame:
     """Every document with ``p_insult, p_contempt, score`` and ``toxic`` (1 or 0)."""
+    text_batches(docs.sparkSession)
     @F.pandas_udf(StructType([StructField(c, DoubleType()) for c in CATEGORIES]))
     def chances(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         buckets = Buckets()

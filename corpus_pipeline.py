@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickflow.llm import decontaminate, mixing, near_dedup, pii, quality_rules
-from clickflow.llm.common import keep_table, table
+from clickflow.llm.common import drop_work_tables, keep_table, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,9 @@ ORACLE_SQL = None  # trained trees decide in the first stage
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; its work tables go then."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = keep_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_work_tables(spark, docs)
     return docs

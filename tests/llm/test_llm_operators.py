@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickflow.llm import (
-    chat, decontaminate, doc_stats, html_extract, mixing, near_dedup, pii, quality_classifier,
+    chat, common, decontaminate, doc_stats, html_extract, mixing, near_dedup, pii, quality_classifier,
     quality_rules, queries, toxicity, url_filter)
 from oracle import assert_same
 
@@ -349,3 +349,12 @@ def test_pipeline(spark):
     final = corpus_pipeline.run(spark, TINY).collect()
     assert {r.doc_id for r in final} <= kept[-1]
     assert not any("@mail" in (r.text or "") and ".example.com" in r.text for r in final)
+
+
+def test_work_tables_go_but_for_the_one_needed(spark):
+    import os
+    common.drop_work_tables(spark)
+    first, second = (common.keep_table(spark.range(n), f"gone-{n}") for n in (1, 2))
+    paths = list(common._work_tables)
+    common.drop_work_tables(spark, second)
+    assert [os.path.exists(p) for p in paths] == [False, True] and second.count() == 2
