@@ -46,7 +46,8 @@ CACHE = 500_000
 class Buckets:
     """Counts of hashed words and prefixes of a text, words met before from a bounded cache."""
 
-    def __init__(self):
+    def __init__(self, wanted: set[int] | None = None):
+        self.wanted = wanted  # the only buckets to count, or all
         self.known: dict[str, tuple[int, ...]] = {}
 
     def of(self, word: str) -> tuple[int, ...]:
@@ -55,7 +56,8 @@ class Buckets:
             if len(self.known) >= CACHE:
                 self.known.clear()
             grams = {"=" + word, *(word[:n] for n in (4, 6) if len(word) >= n)}
-            found = tuple(sorted({zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams}))
+            found = {zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams}
+            found = tuple(sorted(found if self.wanted is None else found & self.wanted))
             self.known[word] = found
         return found
 
@@ -187,7 +189,7 @@ def scored(docs: DataFrame, chain: Chain, toxic_from: float = TOXIC_FROM) -> Dat
     text_batches(docs.sparkSession)
     @F.pandas_udf(StructType([StructField(c, DoubleType()) for c in CATEGORIES]))
     def chances(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        buckets = Buckets()
+        buckets = Buckets({feature // LEVELS for feature in chain.chosen})
         for texts in parts:
             x = chain.matrix([text_features(text, buckets) for text in texts])
             yield pd.DataFrame(chain.score(x), columns=list(CATEGORIES))
