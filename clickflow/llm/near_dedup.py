@@ -17,7 +17,8 @@ After that, each node in a large region that did not join the region's most freq
 is set against the whole region by its whole signature, and its ``REST_BEST`` most similar ones
 of other components are candidates as well.
 
-Candidates of the small regions must meet in two trees at least. They are confirmed on the full
+Candidates must meet in two trees at least, or once with ``DEEP`` values in common. They are
+confirmed on the full
 sets, first each node's best ones and those with pivots, then all that lead from one component
 to another; links inside a component cannot change the result any more.
 
@@ -48,6 +49,7 @@ TREES, START, DEPTH = 24, 3, 12
 VALUES = TREES * START
 REGION, NEAR, PIVOTS = 16, 2, 1
 PIVOT_DEPTHS = (3, 6)
+DEEP = 6
 REST_DEPTH, REST_BEST, REST_AGREE = 4, 8, 0.55
 ROWS_PER_TASK = 200_000
 
@@ -140,7 +142,8 @@ def prefix_neighbours(tree: np.ndarray, key: np.ndarray):
         if off > NEAR:
             left = left[~large[left]]
         if len(left):
-            yield left, left + off, np.where(large[left], 2, 1), np.zeros(len(left), bool), large[left]
+            deep = (key[left, :DEEP] == key[left + off, :DEEP]).all(axis=1)
+            yield left, left + off, np.where(deep, 2, 1), np.zeros(len(left), bool), large[left]
     for depth in PIVOT_DEPTHS:
         starts, ends = _spans(common < depth)
         for k in np.flatnonzero(ends - starts > REGION):
@@ -153,7 +156,7 @@ def prefix_neighbours(tree: np.ndarray, key: np.ndarray):
             for pivot in rows[np.argsort(-agree, kind="stable")[:PIVOTS]]:
                 others = rows[rows != pivot]
                 yes = np.ones(len(others), bool)
-                yield np.full(len(others), pivot), others, np.full(len(others), 2), yes, yes
+                yield np.full(len(others), pivot), others, np.full(len(others), 1 + (depth >= DEEP)), yes, yes
 
 
 def scan_orders(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
