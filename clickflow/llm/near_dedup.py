@@ -14,8 +14,10 @@ a region:
   and not n * n.
 
 After that, each node in a large region that did not join the region's most frequent component
-is set against the whole region by its whole signature, and its ``REST_BEST`` most similar ones
-of other components are candidates as well.
+is set against the whole region by its whole signature. All nodes of other components that agree
+in ``REST_AGREE`` of the values are candidates as well, in rounds: first the ``REST_BEST`` most
+similar ones of each node, then, with the components joined anew, ``REST_MORE`` times as many in
+each further round, until no node has more than were asked for.
 
 Candidates must meet in two trees at least, or once with ``DEEP`` values in common. They are
 confirmed on the full
@@ -34,6 +36,7 @@ count as larger than all others. Very long texts are taken whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -50,7 +53,7 @@ VALUES = TREES * START
 REGION, NEAR, PIVOTS = 16, 2, 1
 PIVOT_DEPTHS = (3, 6)
 DEEP = 6
-REST_DEPTH, REST_BEST, REST_AGREE = 4, 8, 0.55
+REST_DEPTH, REST_BEST, REST_MORE, REST_AGREE = 4, 8, 8, 0.55
 ROWS_PER_TASK = 200_000
 
 _random = np.random.default_rng(75)
@@ -183,9 +186,9 @@ def labelled_tree_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.assign(label=part["label"], sig=part["sig"])
 
 
-def scan_rest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """In large regions, the most similar signatures of other components for each node that is
-    not in the region's most frequent component."""
+def scan_rest(parts: Iterator[pd.DataFrame], most: int = REST_BEST) -> Iterator[pd.DataFrame]:
+    """In large regions, the ``most`` most similar signatures of other components for each node
+    that is not in the region's most frequent component; ``more`` where it has others besides."""
     frames = [p for p in parts if len(p)]
     if not frames:
         return
@@ -205,10 +208,15 @@ def scan_rest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             asks = rest[k:k + block]
             agree = (inside[asks][:, None, :] == inside[None, :, :]).sum(axis=2, dtype=np.int16)
             agree[labels[asks][:, None] == labels[None, :]] = -1
-            best = np.argsort(-agree, axis=1, kind="stable")[:, :REST_BEST]
+            best = np.argsort(-agree, axis=1, kind="stable")[:, :most]
             good = np.take_along_axis(agree, best, axis=1) >= REST_AGREE * VALUES
-            one, other = node[start + np.repeat(asks, good.sum(axis=1))], node[start + best[good]]
-            yield pd.DataFrame({"a": np.where(one < other, one, other), "b": np.where(one < other, other, one)})
+            times = good.sum(axis=1)
+            more = np.repeat((agree >= REST_AGREE * VALUES).sum(axis=1) > times, times)
+            one, other = node[start + np.repeat(asks, times)], node[start + best[good]]
+            first, second = np.where(one < other, one, other), np.where(one < other, other, one)
+            for j in range(0, len(first), 50_000):
+                yield pd.DataFrame({"a": first[j:j + 50_000], "b": second[j:j + 50_000],
+                                    "more": more[j:j + 50_000]})
 
 
 @F.pandas_udf(BooleanType())
@@ -313,15 +321,29 @@ def linked_nodes(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
     if not more.isEmpty():
         labels = components(more, labels)
     crowded = pairs.where("large").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    crowd = keep_table(labels.join(crowded, "node", "left_semi").join(nodes, "node"), "dedup-crowd")
-    count = crowd.count()
-    if count == 0:
-        return labels
-    rest = in_order(crowd.mapInPandas(
-        labelled_tree_rows, "tree smallint, key binary, node binary, label binary, sig binary"), count) \
-        .mapInPandas(scan_rest, "a binary, b binary").distinct()
-    last = keep_table(confirmed(rest, sets), "dedup-last")
-    return labels if last.isEmpty() else components(last, labels)
+    crowd = keep_table(nodes.join(crowded, "node", "left_semi"), "dedup-crowd")
+    return join_rest(crowd, labels, sets)
+
+
+def join_rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """The labels after all similar signatures in large regions were tried on their full sets."""
+    count, most, tried = crowd.count(), REST_BEST, None
+    while count:
+        rest = in_order(labels.join(crowd, "node").mapInPandas(
+            labelled_tree_rows, "tree smallint, key binary, node binary, label binary, sig binary"), count) \
+            .mapInPandas(partial(scan_rest, most=most), "a binary, b binary, more boolean") \
+            .withColumn("old", F.lit(False))
+        if tried is not None:
+            rest = rest.union(tried.select("a", "b", F.lit(False), F.lit(True)))
+        asked = keep_table(rest.groupBy("a", "b").agg(
+            F.max("more").alias("more"), F.max("old").alias("old")), "dedup-rest")
+        links = keep_table(confirmed(asked.where("NOT old"), sets), "dedup-last")
+        if not links.isEmpty():
+            labels = components(links, labels)
+        if asked.where("more").isEmpty():
+            break
+        tried, most = asked, most * REST_MORE
+    return labels
 
 
 def text_key():

@@ -86,6 +86,20 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == brute_components(rows)
 
 
+def test_family_without_its_original_equals_brute_force(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for n in range(240):
+        words = ["w%d" % k for k in range(300)]
+        for k in rng.choice(300, 6, replace=False):
+            words[k] = "x%d_%d" % (n, k)
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
+    wanted = brute_components(rows)
+    assert 1 < len({c for _, _, c, _ in wanted}) < len(wanted) and got == wanted
+
+
 def test_near_duplicates_on_edges(spark):
     docs = edge_docs(spark)
     got = collections.Counter((r.doc_id, r.component_id, r.kept, r.n_shingles)
