@@ -13,11 +13,13 @@ a region:
   link to only by itself is met by all of them, and a region of n nodes gives some n candidates
   and not n * n.
 
-After that, each node in a large region that did not join the region's most frequent component
-is set against the whole region by its whole signature. All nodes of other components that agree
-in ``REST_AGREE`` of the values are candidates as well, in rounds: first the ``REST_BEST`` most
-similar ones of each node, then, with the components joined anew, ``REST_MORE`` times as many in
-each further round, until no node has more than were asked for.
+After that, the nodes that had candidates in large regions are ordered anew, and each that did
+not join its region's most frequent component is set against all others of the region by its
+whole signature. Only where a range of ``ROWS_PER_TASK`` tree rows ends is a region cut; such
+pairs have their other trees. All nodes of other components that agree in ``REST_AGREE`` of the
+values are candidates as well, in rounds: first the ``REST_BEST`` most similar ones of each node,
+then, with the components joined anew, ``REST_MORE`` times as many in each further round, until
+no node has more than were asked for.
 
 Candidates must meet in two trees at least, or once with ``DEEP`` values in common. They are
 confirmed on the full
@@ -53,7 +55,7 @@ VALUES = TREES * START
 REGION, NEAR, PIVOTS = 16, 2, 1
 PIVOT_DEPTHS = (3, 6)
 DEEP = 6
-REST_DEPTH, REST_BEST, REST_MORE, REST_AGREE = 4, 8, 8, 0.55
+REST_BEST, REST_MORE, REST_AGREE = 8, 8, 0.55
 ROWS_PER_TASK = 200_000
 
 _random = np.random.default_rng(75)
@@ -187,8 +189,9 @@ def labelled_tree_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scan_rest(parts: Iterator[pd.DataFrame], most: int = REST_BEST) -> Iterator[pd.DataFrame]:
-    """In large regions, the ``most`` most similar signatures of other components for each node
-    that is not in the region's most frequent component; ``more`` where it has others besides."""
+    """In the regions of crowded nodes, whatever their size, the ``most`` most similar signatures of
+    other components for each node that is not in the region's most frequent component; ``more``
+    where it has others besides."""
     frames = [p for p in parts if len(p)]
     if not frames:
         return
@@ -197,11 +200,9 @@ def scan_rest(parts: Iterator[pd.DataFrame], most: int = REST_BEST) -> Iterator[
     key = np.frombuffer(b"".join(rows["key"]), ">u2").reshape(-1, DEPTH)
     sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(-1, VALUES)
     label = pd.factorize(rows["label"])[0]
-    cut = (key[1:, :REST_DEPTH] != key[:-1, :REST_DEPTH]).any(axis=1) | (tree[1:] != tree[:-1])
+    cut = (key[1:, :START] != key[:-1, :START]).any(axis=1) | (tree[1:] != tree[:-1])
     for start, end in zip(*_spans(cut)):
-        if end - start <= REGION:
-            continue
-        inside, labels = sig[start:end], label[start:end]
+        inside, labels = sig[start:end], np.unique(label[start:end], return_inverse=True)[1]
         rest = np.flatnonzero(labels != np.bincount(labels).argmax())
         block = max(1, 500_000 // (end - start))
         for k in range(0, len(rest), block):
@@ -270,8 +271,9 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def in_order(rows: DataFrame, count: int) -> DataFrame:
-    """Tree rows in their trees' orders, cut into ranges; equal keys may be cut apart, too."""
-    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-count * TREES // ROWS_PER_TASK))
+    """Tree rows in their trees' orders, cut into ranges of some ``ROWS_PER_TASK`` whatever the
+    cluster; equal keys may be cut apart, too."""
+    tasks = max(1, -(-count * TREES // ROWS_PER_TASK))
     order = ("tree", "key", "node")
     return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 

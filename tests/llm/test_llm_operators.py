@@ -128,6 +128,20 @@ def test_rest_of_a_large_region_is_set_against_all(spark):
     assert (got.groupby("b").size() <= near_dedup.REST_BEST * 2).all()
 
 
+def test_rest_pass_takes_the_regions_of_the_first_pass(spark):
+    import pandas as pd
+    sig = np.tile(np.arange(near_dedup.VALUES, dtype=np.uint16), (20, 1))
+    keys = np.tile(np.arange(12), (20, 1))
+    keys[:10, near_dedup.START] = 500  # one region in two parts
+    rows = pd.DataFrame({"tree": [0] * 20, "key": [k.astype(">u2").tobytes() for k in keys],
+                         "node": [b"%02d" % k for k in range(20)], "label": [b"00"] * 19 + [b"19"],
+                         "sig": [s.tobytes() for s in sig]})
+    got = pd.concat(near_dedup.scan_rest(iter([rows]), 20))
+    assert set(got["a"]) == {b"%02d" % k for k in range(19)} and set(got["b"]) == {b"19"}
+    trees = spark.createDataFrame([(0, b"a", b"b")] * 64, "tree int, key binary, node binary")
+    assert near_dedup.in_order(trees, 64).rdd.getNumPartitions() == 1
+
+
 def brute_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     runs = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
