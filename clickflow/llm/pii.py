@@ -39,13 +39,14 @@ GIVEN_MALE = ("Antonio", "Carlos", "Charles", "Daniel", "David", "Hans", "James"
               "Karl", "Michael", "Paul", "Peter", "Pierre", "Richard", "Robert", "Thomas", "William")
 UP, LOW = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
 NAME = rf"[{UP}][{LOW}]+(?:-[{UP}][{LOW}]+)?"
-DIGIT = re.compile("[0-9]")
-PERSON_WORDS = frozenset((*FEMALE, *MALE, *EITHER, *GIVEN_FEMALE, *GIVEN_MALE))
-# kind, whether it can occur at all in a text (quick to tell), pattern
+DIGIT, WORDS = re.compile(r"\d"), re.compile(r"\w+")
+# a title or given name begins with one of these as a whole run of word characters
+PERSON_WORDS = frozenset(WORDS.match(w)[0] for w in (*FEMALE, *MALE, *EITHER, *GIVEN_FEMALE, *GIVEN_MALE))
+# kind, whether it can occur at all in a text (quick to tell, never stricter than the pattern), pattern
 PATTERNS = (
     ("secret", lambda text, digit: "-----BEGIN" in text, re.compile(
         r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----")),
-    ("secret", lambda text, digit: digit, re.compile(
+    ("secret", lambda text, digit: max(map(len, text.split()), default=0) >= 20, re.compile(
         r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}"
         r"|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])")),
     ("secret", lambda text, digit: "=" in text or ":" in text, re.compile(
@@ -54,7 +55,7 @@ PATTERNS = (
         r"[^\W_](?:[\w.%+-]*[^\W_])?@[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")),
     ("iban", lambda text, digit: digit, re.compile(
         r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
-    ("ip", lambda text, digit: digit, re.compile(
+    ("ip", lambda text, digit: digit or ":" in text, re.compile(
         r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
         r"|(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")),
     ("card", lambda text, digit: digit, re.compile(
@@ -63,7 +64,7 @@ PATTERNS = (
     ("phone", lambda text, digit: digit, re.compile(
         r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\d)"
         r"|(?<![\d(])\(\d{3}\) ?\d{3}[-.]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])")),
-    ("person", lambda text, digit: not PERSON_WORDS.isdisjoint(text.replace(".", " ").split()), re.compile(
+    ("person", lambda text, digit: not PERSON_WORDS.isdisjoint(WORDS.findall(text)), re.compile(
         rf"\b(?P<title>{'|'.join((*FEMALE, *MALE, *EITHER))})\.? (?P<names>{NAME}(?: {NAME})?)"
         rf"|\b(?P<given>{'|'.join((*GIVEN_FEMALE, *GIVEN_MALE))}) (?P<family>{NAME})")),
 )
