@@ -3,14 +3,19 @@
 Detected are e-mail addresses, phone numbers, IP addresses, card and account numbers, IBANs,
 social security numbers, secrets and persons (a title or a common given name before names). A
 surrogate is drawn from a keyed hash of the entity's plain form (``canon``), so an entity gets
-the same one wherever it stands and however it is written. It keeps lengths, separators, letter
-case and script; card numbers that satisfy their check digit still do, IBANs likewise; names
+the same one wherever it stands and however it is written. It keeps lengths (but for entities
+that drew often), separators, letter case and script; card numbers that satisfy their check digit still do, IBANs likewise; names
 keep the gender of title or given name, and families stay families.
 
 Collision checks: all different entities of the corpus are put together, and where two have one
 surrogate, or a surrogate is an entity that exists, all but one draw again until all differ.
+E-mails and names get longer with each attempt, secrets and numbers other than IP addresses with
+each one after ``SAME_LENGTH``, so that all differ in the end, however few there are of a length.
 Only entities that drew again travel back to their documents, as a map of each document's own.
 
+Secrets without any letter or digit get other symbols; those of up to ``MASK`` different symbols
+are no secrets (``********``, dots, the rule of a table).
+
 Defined results: null texts stay null, texts without findings stay as they are; overlapping
 findings go to the kind that comes first in ``PATTERNS``; repeated rows change alike; texts are
 read whole; ``n_chars`` is counted anew where there is such a column.
@@ -21,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,6 +37,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from clickflow.llm.common import keep_table, replace_columns, small_side, table, text_batches
 
 KEY = b"set a key of your own"
+SAME_LENGTH = 8  # attempts
+MASK = 3
+SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Señora", "Sra", "Signora", "г-жа", "госпожа")
 MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "г-н", "господин")
 EITHER = ("Dr", "Prof")
@@ -78,12 +88,30 @@ def script_of(text: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in text) else "latin"
 
 
+@lru_cache(4096)
+def kin(char: str) -> str:
+    """The characters near ``char`` that are of its kind: category, script and folding are alike."""
+    def traits(c: str) -> tuple:
+        return unicodedata.category(c), unicodedata.name(c, "").split(" ")[0], c.casefold() == c
+
+    if char.isdecimal():
+        zero = ord(char) - unicodedata.decimal(char)
+        return "".join(map(chr, range(zero, zero + 10)))
+    start = ord(char) & ~127
+    return "".join(c for c in map(chr, range(start, start + 128)) if traits(c) == traits(char))
+
+
+def has_letters(text: str) -> bool:
+    """Whether any character is a letter, mark or number."""
+    return any(unicodedata.category(c)[0] in "LMN" for c in text)
+
+
 def _plain(kind: str, text: str) -> str:
     """The form that all ways to write an entity share."""
     if kind in ("card", "ssn", "phone"):
-        return "".join(c for c in text if c.isdigit())
+        return "".join(str(unicodedata.decimal(c)) for c in text if c.isdecimal())
     if kind == "iban":
-        return text.replace(" ", "")
+        return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text if c != " ")
     return text if kind == "secret" else text.casefold()
 
 
@@ -112,6 +140,9 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         for match in pattern.finditer(text):
             parts = _persons(match) if kind == "person" else [
                 (*match.span(1 if kind == "secret" and match.lastindex else 0), kind)]
+            if kind == "secret" and len(set(text[slice(*parts[0][:2])])) <= MASK and not has_letters(
+                    text[slice(*parts[0][:2])]):
+                continue
             if not any(s < parts[-1][1] and parts[0][0] < e for s, e, _ in taken):
                 taken += parts
     return [(s, e, kind, _plain(kind, text[s:e])) for s, e, kind in sorted(taken)]
@@ -140,7 +171,10 @@ class Draws:
         for first, last in ("09", "az", "AZ", "ая", "АЯ"):
             if first <= char <= last:
                 return chr(ord(first) + self.below(ord(last) - ord(first) + 1))
-        return char
+        if not has_letters(char):
+            return char
+        others = kin(char)
+        return others[self.below(len(others))] if len(others) > 1 else self.like("a")
 
     def hex_like(self, char: str) -> str:
         return "0123456789abcdef"[self.below(16)] if char.islower() or char.isdigit() else "0123456789ABCDEF"[self.below(16)]
@@ -149,6 +183,7 @@ class Draws:
 def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = KEY) -> str:
     """The canonical surrogate of an entity; further attempts give other ones."""
     draw = Draws(key, kind, canon, attempt)
+    longer = max(0, attempt - SAME_LENGTH)
     if kind == "email":
         local, _, domain = canon.rpartition("@")
         more = "".join(draw.like("a") for _ in range(attempt))
@@ -161,20 +196,23 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = KEY) -> str:
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind in ("card", "ssn", "phone"):
         kept = 1 if kind == "phone" else 0
-        digits = canon[:kept] + "".join(draw.like(c) for c in canon[kept:])
+        digits = canon[:kept] + "".join(draw.like(c) for c in canon[kept:] + "0" * longer)
         if kind == "card" and luhn(canon) % 10 == 0:
             digits = digits[:-1] + str(-luhn(digits[:-1] + "0") % 10)
         return digits
     if kind == "iban":
-        body = "".join(draw.like(c) for c in canon[4:])
+        body = "".join(draw.like(c) for c in canon[4:] + "0" * longer)
         number = int("".join(str(int(c, 36)) for c in body + canon[:2] + "00"))
         return f"{canon[:2]}{98 - number % 97:02d}{body}"
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", canon):
-            return "".join(draw.hex_like(c if c.isalpha() else "a" if canon.islower() else "A") for c in canon)
-        return "".join(draw.like(c) for c in canon)
+            return "".join(draw.hex_like(c if c.isalpha() else "a" if canon.islower() else "A")
+                           for c in canon + "0" * longer)
+        if not has_letters(canon):
+            return "".join(SYMBOLS[draw.below(len(SYMBOLS))] for _ in range(len(canon) + longer))
+        return "".join(draw.like(c) for c in canon + "a" * longer)
     script = script_of(canon)
-    syllables = 2 + draw.below(2) + min(attempt, 4)
+    syllables = 2 + draw.below(2) + attempt
     name = "".join(CONSONANTS[script][draw.below(len(CONSONANTS[script]))]
                    + VOWELS[script][draw.below(5)] for _ in range(syllables))
     if kind == "family":
@@ -185,8 +223,12 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = KEY) -> str:
 def written_like(kind: str, text: str, made: str) -> str:
     """The canonical surrogate in the format of the place it goes to."""
     if kind in ("card", "ssn", "phone", "iban"):
-        rest = iter(made)
-        return "".join(next(rest) if c.isalnum() else c for c in text)
+        rest, written = iter(made), []
+        longer = len(made) - sum(c.isalnum() for c in text)
+        for c in text + text[-1] * longer:
+            new = next(rest) if c.isalnum() else c
+            written.append(kin(c)[int(new)] if c.isdecimal() and new.isdecimal() else new)
+        return "".join(written)
     if kind == "family" or kind.startswith("given"):
         return made.upper() if len(text) > 1 and text.isupper() else made.capitalize()
     return made.upper() if kind == "email" and text.isupper() else made

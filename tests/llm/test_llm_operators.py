@@ -272,6 +272,27 @@ def test_surrogates_differ_after_collisions(spark):
     assert all(t[1] == t[3] for t in texts) and {t[1] for t in texts} == made
 
 
+def test_every_entity_gets_another_surrogate(spark):
+    texts = ["Token:これはひみつです", "token: μυστικόκλειδί", "password: Ёжикёжик", "key: !?%&/()=+", "mail жанна.ё@почта.рф",
+             "call +١٢ ٣٤٥٦ ٧٨٩٠ on 1 May", "id １２３-４５-６７８９", "card ٤١١١١١١١١١١١١١١٢ of 7", "4111 1111 1111 1111"]
+    for text in texts:
+        for attempt in (0, 1, 20):
+            (start, end, kind, canon), = pii.find(text)
+            made = pii.surrogate(kind, canon, attempt)
+            new = pii.written_like(kind, text[start:end], made)
+            assert made != canon and (len(new) == end - start or attempt or kind == "email"), (text, new)
+            if kind in ("phone", "ssn", "card"):
+                assert not set(new) & set("0123456789") or text[end - 1] < "\x80", new
+    assert not any(pii.find(t) for t in ("password: ********", "| key:|--------|", "monkey: ..........", "key: |:------:|"))
+    assert len(pii.surrogate("secret", "これはひみつです")) == 8 and set("これはひみつです").isdisjoint(
+        "abcdefghijklmnopqrstuvwxyz") and all("\u3040" <= c <= "\u309f" for c in pii.surrogate("secret", "これはひみつです"))
+    few = [("secret", c + "*" * 7) for c in "abcdefghijklmnopqrstuvwxyz"] + [("phone", "1%d" % k) for k in range(10)]
+    again = {(r.kind, r.canon): r.attempt for r in pii.drawn_again(
+        spark.createDataFrame(few, "kind string, canon string")).collect()}
+    made = {(k, pii.surrogate(k, c, again.get((k, c), 0))) for k, c in few}
+    assert len(made) == len(few) and made.isdisjoint(few)
+
+
 def test_surrogates_on_edges(spark):
     docs = edge_docs(spark)
     new = pii.private(docs)
