@@ -1,8 +1,11 @@
 """Main text of web pages by the best scoring contiguous run of words and tags.
 
-A page is cut into tags and texts. Elements that are boilerplate by their tag, class, id or role
-(menus, forms, scripts, adverts, reader comments and the like) are left out with all they hold.
-In what remains every word scores above zero and every tag below, and one pass finds the run
+A page is cut into tags and texts. Elements that are boilerplate by their tag or by a whole name in
+class, id or role (menus, forms, scripts, adverts, reader comments and the like) are left out with
+all they hold. Outside article and main elements, one whose names only have such a word as a part
+(``has-sidebar``) stays, but its words score ``LOWER`` as much; and where no article or main holds
+the best run, an element that is so named, wholly or in part, counts as any other if its own best
+run lowered alike is above the page's. Headings are never judged by their names. In what remains every word scores above zero and every tag below, and one pass finds the run
 with the highest sum; a heading right before it is taken in. If most of its words stand in one
 article or main element, that whole element is the run. Its blocks are then written one by one.
 
@@ -49,6 +52,15 @@ BOILERPLATE = set(
     "login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination "
     "popup promo promotion related replies reply respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget".split())
+FULL_NAMES = set(
+    "ad-banner ad-container ad-slot ad-unit ad-wrapper comment-form comment-list comments-area comments-list "
+    "comments-section cookie-banner cookie-bar cookie-consent cookie-notice main-menu main-nav nav-bar "
+    "nav-menu newsletter-form newsletter-signup popup-overlay post-comments post-navigation promo-box "
+    "related-articles related-links related-posts related-stories search-box search-form share-bar "
+    "share-buttons share-links side-bar site-footer site-header site-navigation skip-link social-buttons "
+    "social-icons social-links social-media social-share sponsored-content sponsored-links subscribe-form "
+    "top-nav widget-area".split())
+LOWER = 0.3
 PLAIN = {"": 1.0, "a": 0.1}  # a word, a word in a link
 PLAIN_TAG = -2.0
 SAMPLE_PAGES = 2000
@@ -96,33 +108,63 @@ def content_spans(found: list[tuple], ends: dict[int, int]) -> list[tuple[int, i
             if kind == 1 and name in CONTENT]
 
 
-def is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
+def is_boilerplate(name: str, attributes: str, inside: bool) -> str:
+    """By what an element is boilerplate: its tag, a name, part of a name, or nothing (``""``)."""
     if name in DROPPED or name == "header" and not inside:
-        return True
-    if name in ("html", "body", *CONTENT) or not attributes:
-        return False
-    words = {w for names in NAMES.findall(attributes) for w in re.split(r"[^a-z0-9]+", names.lower())}
-    return bool(words & BOILERPLATE)
-
-
-def remaining(found: list[tuple], ends: dict[int, int], content: list[tuple[int, int]]) -> list[int]:
-    """Places of the tokens outside boilerplate elements."""
-    kept, k = [], 0
-    while k < len(found):
+        return "tag"
+    if name in ("html", "body", *CONTENT) or name in HEADINGS or not attributes:
+        return ""
+    names = {n for value in NAMES.findall(attributes) for n in value.strip("\"'").lower().split()}
+    if not names.isdisjoint(BOILERPLATE) or not names.isdisjoint(FULL_NAMES):
+        return "name"
+    if inside:
+        return ""
+    return "" if BOILERPLATE.isdisjoint(w for n in names for w in re.split(r"[^a-z0-9]+", n)) else "part"
+
+
+def remaining(found: list[tuple], ends: dict[int, int], content: list[tuple[int, int]], free: set[int] = frozenset(),
+              first: int = 0, last: int | None = None) -> tuple[list[int], list[int], list[tuple[int, int]]]:
+    """Places of the tokens outside boilerplate elements; those of them that are lowered; and the
+    spans of elements outside the content that their names hide or lower, without ``free`` ones."""
+    kept, low, named, k = [], [], [], first
+    last, low_end = len(found) if last is None else last, -1
+    while k < last:
         kind, name, attributes = found[k]
-        if kind == 1 and name not in VOID:
+        if kind == 1 and name not in VOID and k not in free:
             inside = any(a < k < b for a, b in content)
             end = ends.get(k)
-            if is_boilerplate(name, attributes, inside):
+            by = is_boilerplate(name, attributes, inside)
+            if by:
                 if end is None and name in ("p", "li"):
                     end = next((j - 1 for j in range(k + 1, len(found)) if found[j][1] in BLOCKS), len(found))
-                holds_content = end and name not in DROPPED and any(k < a and b < end for a, b in content)
+                holds_content = end and by != "tag" and any(k < a and b < end for a, b in content)
                 if end is not None and not holds_content:
-                    k = end + 1
-                    continue
+                    if by != "tag" and not inside:
+                        named.append((k, end))
+                    if by != "part":
+                        k = end + 1
+                        continue
+                    low_end = max(low_end, end)
         kept.append(k)
+        if k <= low_end:
+            low.append(k)
         k += 1
-    return kept
+    return kept, low, named
+
+
+def scored(found: list[tuple], kept: list[int], low: list[int], weights: dict[str, float]) -> tuple[list, list]:
+    """Score and number of words of each kept token."""
+    scores, sizes, links, lowered = [], [], 0, set(low)
+    for k in kept:
+        kind, name, text = found[k]
+        if kind:
+            links = max(0, links + kind) if name == "a" else links
+            scores.append(weights.get("<" + name, PLAIN_TAG))
+            sizes.append(0)
+        else:
+            sizes.append(len(text.split()))
+            scores.append(sizes[-1] * weights["a" if links else ""] * (LOWER if k in lowered else 1))
+    return scores, sizes
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -150,24 +192,38 @@ def heading_before(found: list[tuple], kept: list[int], sizes: list[int], first:
     return start if start >= 0 and found[kept[start]][0] == 1 else first
 
 
+def own_score(found: list[tuple], ends: dict[int, int], content: list[tuple[int, int]], free: set[int],
+              weights: dict[str, float], start: int, end: int) -> float:
+    """The sum of a named element's best run; elements named inside it count ``LOWER`` as much."""
+    kept, low, named = remaining(found, ends, content, free | {start}, start, min(end + 1, len(found)))
+    scores, _ = scored(found, kept, low, weights)
+    inner = (LOWER * own_score(found, ends, content, free | {start}, weights, *span) for span in named)
+    return max(sum(scores[slice(*best_run(scores))]), *inner, 0.0)
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text."""
     found = tokens(page or "")
     ends = closings(found)
     content = content_spans(found, ends)
-    kept = remaining(found, ends, content)
-    scores, sizes, links = [], [], 0
-    for k in kept:
-        kind, name, text = found[k]
-        if kind:
-            links = max(0, links + kind) if name == "a" else links
-            scores.append(weights.get("<" + name, PLAIN_TAG))
-            sizes.append(0)
-        else:
-            sizes.append(len(text.split()))
-            scores.append(sizes[-1] * weights["a" if links else ""])
-    first, last = best_run(scores)
-    words = sum(sizes[first:last])
+    free: set[int] = set()
+    while True:
+        kept, low, named = remaining(found, ends, content, free)
+        scores, sizes = scored(found, kept, low, weights)
+        first, last = best_run(scores)
+        words = sum(sizes[first:last])
+        marked = any(sum(n for k, n in zip(kept[first:last], sizes[first:last]) if start < k < end) > words / 2
+                     for start, end in content) if named else True
+        best, wins = sum(scores[first:last]), None
+        for start, end in [] if marked else named:
+            held = sum(len(t[2].split()) for t in found[start:end] if not t[0])
+            if LOWER * held * max(weights[""], weights["a"]) > best:
+                score = LOWER * own_score(found, ends, content, free, weights, start, end)
+                if score > best:
+                    best, wins = score, start
+        if wins is None:
+            break
+        free.add(wins)
     if words:
         first = heading_before(found, kept, sizes, first)
     for start, end in sorted(content, key=lambda span: span[1] - span[0]):

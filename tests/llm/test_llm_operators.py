@@ -397,6 +397,20 @@ def test_main_text_without_article(spark):
     assert html_extract.extracted(pages.limit(0)).count() == 0
 
 
+def test_words_in_names_do_not_drop_main_text():
+    def extract(page):
+        return html_extract.extract(page, html_extract.PLAIN)
+
+    prose = "Some plain words of a text that goes on for a while and then ends here. " * 3
+    inner = (f'<div class="entry-header"><h1>Title</h1></div><p>{prose}</p><h2 id="related-work">Related work</h2>'
+             f'<section id="search-algorithms"><h3 id="social-impact">Impact</h3><p class="share-price">{prose}</p></section>')
+    wanted = "\n\n".join(["Title", prose.strip(), "Related work", "Impact", prose.strip()])
+    assert extract(f"<body><article>{inner}<div class='share-buttons'>Share it</div></article></body>") == wanted
+    assert extract(f'<body><div class="content has-sidebar">{inner}<div class="sidebar">More</div></div></body>') == wanted
+    assert extract(f"<body><div>{inner}<div class='ad'>Buy</div></div><div id=comments><p>{prose}</p></div></body>") == wanted
+    assert extract(f"<body><div class=widget><div class=comments><p>{prose}</p></div></div></body>") == prose.strip()
+
+
 def test_pipeline(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()}
     seen = spark.read.parquet(f"{TINY}/documents.parquet")
