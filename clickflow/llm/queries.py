@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clickflow.llm import (
-    chat, decontaminate, html_extract, mixing, near_dedup, pii, quality_classifier, quality_rules,
+    chat, decontaminate, exact_dedup, html_extract, mixing, near_dedup, pii, quality_classifier, quality_rules,
     toxicity, url_filter)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mix": mixing.op9_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op5_chat": chat.ORACLE,
     "op9_mix": mixing.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op13_exact_dedup": exact_dedup.ORACLE,
 }
