@@ -20,12 +20,8 @@ def docs(spark):
     return spark.createDataFrame(ROWS, "doc_id int, text string").repartition(9)
 
 
-def zeros(text):
-    return b"\0" * 8
-
-
-def few(text):
-    return bytes([len(text) % 3]) * 8
+zeros = lambda text: b"\0" * 8  # noqa: E731  a lambda goes to the workers as it is
+few = lambda text: bytes([len(text) % 3]) * 8
 
 
 @pytest.mark.parametrize("limits", [
