@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from clickflow.llm import (
-    chat, decontaminate, exact_dedup, html_extract, mixing, near_dedup, pii, quality_classifier, quality_rules,
-    toxicity, url_filter)
+    chat, conversation_repair, decontaminate, exact_dedup, html_extract, mixing, near_dedup, pii,
+    quality_classifier, quality_rules, toxicity, url_filter)
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mix": mixing.op9_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 
