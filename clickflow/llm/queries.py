@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from clickflow.llm import (
-    chat, conversation_repair, decontaminate, exact_dedup, html_extract, mixing, near_dedup, pii,
-    quality_classifier, quality_rules, toxicity, url_filter)
+    chat, conversation_repair, decontaminate, exact_dedup, hard_negatives, html_extract, mixing, near_dedup,
+    pii, quality_classifier, quality_rules, toxicity, url_filter)
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mix": mixing.op9_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
@@ -26,5 +27,6 @@ ORACLES = {
     "op5_chat": chat.ORACLE,
     "op9_mix": mixing.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
     "op13_exact_dedup": exact_dedup.ORACLE,
 }
