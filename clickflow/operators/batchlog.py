@@ -47,6 +47,14 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
 
 
+def partition_folders(spark: SparkSession, path: str, *names: str) -> list[tuple[str, ...]]:
+    """The values of a table's partition columns, from its folders, in one listing."""
+    files, where = _file_system(spark, "/".join([path, *[f"{name}=*" for name in names]]))
+    found = files.globStatus(where) or []
+    return [tuple(part.partition("=")[2] for part in s.getPath().toString().split("/")[-len(names):])
+            for s in found]
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, where = _file_system(spark, path)
     files.delete(where, True)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.operators import changes, envelope
 from clickflow.operators.batchlog import BatchLog, write_batch
-from clickflow.operators.history import VisitorHistory
+from clickflow.operators.history import JOIN_SETTINGS, VisitorHistory
 from clickflow.operators.metrics import WINDOW_MS, hourly_sums, window_start
 from clickflow.operators.totals import TOTALS, Ledger
 from clickflow.operators.visitors import FLAG_NAMES, hot_visitors
@@ -127,8 +127,8 @@ def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     """The same ledger from large micro-batches, with the visitor history as a table.
 
     Every step is an ordinary batch query: no Python runs, and a visitor or robot that sends
-    a large part of all clicks is split over many tasks. Meant for backlogs and for triggers
-    of a minute or more, since each batch reads the whole (narrow) history. All that a batch
+    a large part of all clicks is split over many tasks. Each batch reads the buckets of the
+    history that its visitors are in. All that a batch
     writes follows from its input and from what earlier batches wrote, so a replay rewrites
     the same rows. Clicks whose window had ended two seconds before the newest click of the
     batches before theirs are late: they count for the history but for no window.
@@ -176,7 +176,7 @@ def batch_settings(spark: SparkSession, shuffle_partitions: int | None):
     The number a stream's own checkpoint keeps is for its state, which these jobs do not have.
     """
     more = {"spark__sql__shuffle__partitions": shuffle_partitions} if shuffle_partitions else {}
-    return setting(spark, spark__sql__adaptive__enabled="true", **more)
+    return setting(spark, spark__sql__adaptive__enabled="true", **JOIN_SETTINGS, **more)
 
 
 def start_flag_job(clicks: DataFrame, folder: str, checkpoint: str,
