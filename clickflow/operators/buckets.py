@@ -34,11 +34,11 @@ class BucketTable:
     """Rows of ``schema`` by their ``key`` columns, below a folder.
 
     The number of buckets is chosen once, by default as many as the session has shuffle partitions,
-    and is part of the folder's name. ``bloom`` names columns whose files get Bloom filters.
+    and is part of the folder's name.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: str, key: list[str],
-                 buckets: int | None = None, bloom: tuple[str, ...] = ()):
+                 buckets: int | None = None):
         self.spark, self.schema, self.key = spark, schema, key
         found = [n for n in folder_names(spark, folder) if n.startswith("buckets-")]
         self.buckets = int(found[0].split("-")[1]) if found else buckets or int(
@@ -47,13 +47,11 @@ class BucketTable:
         self.folds = f"{folder.rstrip('/')}/folds"
         self._by_slot: list[int] | None = None
         self.name = f"clickflow_{hashlib.md5(self.folder.encode()).hexdigest()}"
-        options = ", ".join(f"'parquet.bloom.filter.enabled#{n}' 'true'" for n in bloom)
         # partitions are found by their folders, whatever catalog the session has
         with setting(spark, spark__sql__hive__manageFilesourcePartitions="false"):
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name} ({schema}, {LAYOUT}) USING parquet "
-                + f"OPTIONS ({options}) " * bool(options)
-                + f"PARTITIONED BY (shard, batch_id) CLUSTERED BY (slot) SORTED BY (slot, {', '.join(key)}) "
+                f"PARTITIONED BY (shard, batch_id) CLUSTERED BY (slot) SORTED BY (slot, {', '.join(key)}) "
                 f"INTO {self.buckets} BUCKETS LOCATION '{self.folder}'")
 
     def slot(self, *key: str) -> Column:

@@ -1,4 +1,4 @@
-"""Keyed cell tables in bulk: put, get and delete over an append-only cell log.
+"""Keyed cell tables in bulk: put, get and delete over a cell log.
 
 A log row is one put of one cell, or a deletion of a whole row (column and value null). The
 latest put of a cell counts unless its row was deleted later. ``seq`` gives the order and is
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickflow.functions.text import to_text
-from clickflow.operators.batchlog import read_if_there
+from clickflow.operators.buckets import BucketTable
 from clickflow.schemas import CELL_LOG
 
 PUT, DELETE = "put", "delete"
@@ -116,23 +116,57 @@ def get_row(keys: DataFrame, log: DataFrame, columns: list[str],
     )
 
 
+def folded_log(log: DataFrame) -> DataFrame:
+    """A log that says the same in one row per visible cell and one per deleted row key.
+
+    Deletions stay, since puts from before them may yet arrive. Needs ``slot`` and ``shard``, and no
+    exchange where the log lies by slot.
+    """
+    key = ["slot", "shard", "rowkey", "family"]
+    put = F.when(F.col("op") == PUT, F.col("seq"))
+    latest = log.groupBy(*key, "column").agg(
+        F.max_by("value", put).alias("value"), F.max(put).alias("_put"),
+        F.max(F.when(F.col("op") == DELETE, F.col("seq"))).alias("_deleted"))
+    gone = F.max("_deleted").over(Window.partitionBy(*key))
+    hidden = F.col("_put").isNotNull() & F.col("_gone").isNotNull() & (F.col("_put") <= F.col("_gone"))
+    return latest.withColumn("_gone", gone).where(~hidden).select(
+        "rowkey", "family", "column", "value", F.coalesce("_put", "_deleted").alias("seq"),
+        F.when(F.col("_put").isNull(), DELETE).otherwise(PUT).alias("op"), "slot", "shard")
+
+
 class CellTable:
-    """A cell log kept as a Parquet folder."""
+    """A cell log kept as a table bucketed and sorted by row key.
+
+    A write is a batch of its own; name the batch to replace what it wrote before. Reads of some row
+    keys prune the table to the buckets these are in.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.path = path
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CELL_LOG)
+        self.table = BucketTable(spark, path, schema, ["rowkey"], buckets)
 
     def log(self) -> DataFrame:
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CELL_LOG)
-        return read_if_there(self.spark, self.path, schema)
+        return self.table.rows().select(*CELL_LOG.names)
+
+    def log_of(self, keys: DataFrame) -> DataFrame:
+        """The log of the buckets that hold some row keys, and of some other row keys in them."""
+        return self.table.rows(self.table.touched(keys, "rowkey")).select(*CELL_LOG.names)
+
+    def point_log(self, *rowkeys: str) -> DataFrame:
+        """The log of a few named row keys; the files are searched by slot and row key."""
+        named = self.table.spark.createDataFrame([(k,) for k in rowkeys], "rowkey string")
+        return self.log_of(named).where(F.col("rowkey").isin(*rowkeys))
+
+    def write(self, log_rows: DataFrame, batch_id: int | None = None) -> None:
+        number = self.table.last_batch() + 1 if batch_id is None else batch_id
+        self.table.append(log_rows.select(*CELL_LOG.names), number)
 
-    def write(self, log_rows: DataFrame) -> None:
-        log_rows.select(*CELL_LOG.names).write.mode("append").parquet(self.path)
+    def fold(self, upto: int | None = None, most: int = 1) -> list[int]:
+        """Folds buckets of more than ``most`` batches, of those that will not be written again."""
+        return self.table.fold(self.table.last_batch() if upto is None else upto, folded_log, most)
 
 
-def open_table(spark: SparkSession, path: str) -> CellTable:
+def open_table(spark: SparkSession, path: str, buckets: int | None = None) -> CellTable:
     """The table at a path, made empty if it is not there."""
-    table = CellTable(spark, path)
-    nothing = spark.createDataFrame([], CELL_LOG)
-    nothing.write.mode("ignore").parquet(path)
-    return table
+    return CellTable(spark, path, buckets)

@@ -71,6 +71,33 @@ def kv_open_table(spark, folder):
     return cells.current_cells(again.log()).select("rowkey", "column", "value")
 
 
+def _batched_table(spark, folder):
+    """The log in three batches, the last one written twice, as after a restart."""
+    table = cells.open_table(spark, work_folder(spark, "cells"))
+    log = _cell_log(spark, folder)
+    for number in (0, 1, 2, 2):
+        table.write(log.where(F.pmod(F.col("seq"), F.lit(3)) == number), number)
+    return table
+
+
+def kv_fold(spark, folder):
+    """The cells after the first batches were folded, beside what they were folded from, and all after it."""
+    table = _batched_table(spark, folder)
+    table.fold(1)
+    table.fold()
+    table.fold()
+    return cells.current_cells(table.log()).select("rowkey", "column", "value")
+
+
+def kv_point_get(spark, folder):
+    """Rows of every fiftieth customer, from the buckets that hold these."""
+    table = _batched_table(spark, folder)
+    table.fold(1)
+    keys = _keys(spark, folder).where("CAST(rowkey AS BIGINT) % 50 = 7")
+    rows = cells.get_row(keys, table.log_of(keys), COLUMNS)
+    return rows.select("rowkey", F.explode_outer("values").alias("column", "value"))
+
+
 def _entries(spark, folder):
     return changes.number_batches(tables.load_change_entries(spark, folder))
 
@@ -142,7 +169,7 @@ def cdc_bad_entries(spark, folder):
 
 QUERIES = {f.__name__: f for f in [
     kv_put_cell, kv_put_row, kv_put_row_rejected, kv_get_cell, kv_get_row, kv_delete,
-    kv_open_table,
+    kv_open_table, kv_fold, kv_point_get,
     cdc_transaction_filter, cdc_table_filter, cdc_batch_sequence,
     cdc_flatten, cdc_topic_records, cdc_decode, cdc_bad_entries,
 ]}
@@ -252,6 +279,11 @@ LEFT JOIN visible ON visible.rowkey = asked.rowkey AND visible."column" = asked.
 SELECT keys.rowkey, "column", value FROM keys
 LEFT JOIN (SELECT * FROM visible WHERE value <> '') shown USING (rowkey)"""),
     "kv_open_table": _with(PUTS, VISIBLE, then="SELECT * FROM visible"),
+    "kv_fold": _with(PUTS, VISIBLE, then="SELECT * FROM visible"),
+    "kv_point_get": _with(PUTS, VISIBLE, then="""
+SELECT keys.rowkey, "column", value FROM keys
+LEFT JOIN (SELECT * FROM visible WHERE value <> '') shown USING (rowkey)
+WHERE CAST(keys.rowkey AS BIGINT) % 50 = 7"""),
     "cdc_transaction_filter": _with(ENTRIES, then="""
 SELECT "batchId", k * 10 AS position, "entryType" FROM kinds WHERE "entryType" = 'ROWDATA'"""),
     "cdc_table_filter": _with(ENTRIES, then="""

@@ -73,3 +73,37 @@ def test_families_are_apart(spark):
     asked = spark.createDataFrame([("r", "a")], "rowkey string, column string")
     assert cells.get_cell(asked, log, family="f").first().value == "1"
     assert cells.get_cell(asked, log, family="g").first().value == ""
+
+
+def test_folds_say_the_same(spark, tmp_path):
+    rng = random.Random(11)
+    table = cells.open_table(spark, f"{tmp_path}/t", buckets=4)
+    written = []
+    for batch in range(5):
+        rows = [(f"r{rng.randint(0, 15)}", "info", c, None if c is None else str(rng.randint(0, 9)),
+                 batch * 100 + k - 150 * (k % 7 == 0), "delete" if c is None else "put")
+                for k in range(60) for c in [rng.choice(["a", "b", "c", None])]]
+        written += rows
+        table.write(spark.createDataFrame(rows, CELL_LOG))
+        if batch in (1, 3):
+            table.fold(batch)  # late puts and deletions with lower numbers still follow
+        want = rows_of(cells.current_cells(spark.createDataFrame(written, CELL_LOG)), "rowkey", "column", "value", "seq")
+        assert rows_of(cells.current_cells(table.log()), "rowkey", "column", "value", "seq") == want
+    table.fold()
+    table.fold()
+    assert rows_of(cells.current_cells(table.log()), "rowkey", "column", "value", "seq") == want
+    assert all(len(b) == 1 for b in table.table.batches().values())
+    assert table.log().count() == len(want) + len({r[0] for r in written if r[5] == "delete"})
+
+
+def test_point_reads_skip_files(spark, tmp_path):
+    table = cells.open_table(spark, f"{tmp_path}/t", buckets=16)
+    table.write(cells.put_rows(spark.createDataFrame(
+        [(f"r{k}", {"a": str(k)}, k) for k in range(500)], "rowkey string, values map<string,string>, seq bigint")))
+    log = table.point_log("r17")
+    assert rows_of(log, "rowkey", "value") == [("r17", "17")]
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert len(log.inputFiles()) == 16 and "PartitionFilters: [isnotnull(shard" in plan
+    assert "EqualTo(rowkey,r17)" in plan and "EqualTo(slot," in plan
+    rows = cells.get_row(spark.createDataFrame([("r17",), ("none",)], "rowkey string"), log, ["a", "b"])
+    assert {r.rowkey: r["values"] for r in rows.collect()} == {"r17": {"a": "17"}, "none": {}}
