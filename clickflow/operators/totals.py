@@ -6,10 +6,11 @@ tables are sums over those rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickflow.operators import metrics
 from clickflow.operators.batchlog import BatchLog
+from clickflow.session import keep_table
 
 # Per result table its key and its summed columns.
 TOTALS = {
@@ -39,6 +40,34 @@ def add_totals(table: str, *parts: DataFrame) -> DataFrame:
     return every.groupBy(*key).agg(*[F.sum(n).cast("bigint").alias(n) for n in sums])
 
 
+# Windows of one key that are summed up in one go: some three and a half hours of them.
+BLOCK_WINDOWS = 4096
+
+
+def totals_by_window(table: str, windows: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The totals as each window's write leaves them: ``windows`` with running instead of own sums.
+
+    A key's windows are cut into blocks of time, so a block has at most ``block_windows`` rows and a
+    channel that holds most of the rows is spread like all others. The blocks are summed first, with
+    partial sums where the windows are read; what came before a block then goes along as its first
+    row, so the windows themselves pass one exchange. Give it windows that are stored: they are
+    read twice.
+    """
+    key, sums = TOTALS[table]
+    block = F.floor(F.col("windowStart") / (metrics.WINDOW_MS * block_windows))
+    cut = windows.select("windowStart", *key, *sums).withColumn("_block", block)
+    earlier = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = cut.groupBy(*key, "_block").agg(*[F.sum(n).alias(n) for n in sums]) \
+        .withColumns({n: F.coalesce(F.sum(n).over(earlier), F.lit(0)) for n in sums})
+    so_far = Window.partitionBy(*key, "_block").orderBy(F.col("windowStart").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (
+        cut.unionByName(before, allowMissingColumns=True)
+        .withColumns({n: F.sum(n).over(so_far).cast("bigint") for n in sums})
+        .where("windowStart IS NOT NULL").drop("_block")
+    )
+
+
 class Ledger:
     """The stream's sums below a folder, and every result table read from them."""
 
@@ -68,6 +97,10 @@ class Ledger:
         every = self.log.base("base", done, BASE_SCHEMA).unionByName(fresh)
         return FROM_HOURLY[table](every, **options)
 
+    def totals_by_window(self, table: str, **options) -> DataFrame:
+        """The totals of a result table as each window's write left them."""
+        return totals_by_window(table, keep_table(self.windows(table, **options), "ledger-windows"))
+
     def last_windows(self) -> DataFrame:
         """Per channel the count of its latest window only, not the running total."""
         done = self.log.folded_up_to()

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickflow import functions as C
 from clickflow.operators import envelope, metrics, numbering, totals, visitors, widen
 from clickflow.schemas import CLICK_FIELDS, WIDE_COLUMNS
+from clickflow.session import keep_table
 from clickflow.sources import kafka, tables
 
 
@@ -151,7 +152,7 @@ def channel_hot_last_window(spark, folder):
 
 def running_totals(spark, folder):
     """Totals after three batches of fired windows, each added to the totals before it."""
-    windows = metrics.channel_pvuv_windows(flagged_orders(spark, folder))
+    windows = keep_table(metrics.channel_pvuv_windows(flagged_orders(spark, folder)), "windows")
     part = F.pmod(F.xxhash64("windowStart"), F.lit(3))
     total = totals.add_totals("channel_pvuv", windows.where(part == 0))
     for number in (1, 2):
@@ -159,6 +160,12 @@ def running_totals(spark, folder):
     return total
 
 
+def running_totals_by_window(spark, folder):
+    """Views and unique visitors as they stand after each window's write."""
+    windows = keep_table(metrics.channel_pvuv_windows(flagged_events(spark, folder)), "windows")
+    return totals.totals_by_window("channel_pvuv", windows)
+
+
 def click_envelope(spark, folder):
     bodies = tables.load_event_bodies(spark, folder)
     return envelope.build_envelopes(bodies, "body", "timestamp", keep=("seq",))
@@ -226,6 +233,7 @@ QUERIES = {f.__name__: f for f in [
     channel_pvuv, channel_pvuv_orders, channel_pvuv_hour, channel_pvuv_windows,
     channel_freshness, channel_freshness_orders, channel_freshness_windows,
     channel_hot, channel_hot_windows, channel_hot_last_window, running_totals,
+    running_totals_by_window,
     new_visitor_flags, new_visitor_flags_orders, new_visitor_flags_split,
     new_visitor_flags_incremental, topic_order, user_history,
     click_wide, click_wide_orders, click_address, click_periods,
@@ -369,6 +377,12 @@ FROM clicks GROUP BY 1"""),
     "channel_hot_last_window": _with(EVENTS, HOT_WINDOWS, then="""
 SELECT "channelId", arg_max(visited, "windowStart") AS visited FROM windows GROUP BY 1"""),
     "running_totals": _pvuv(ORDERS, '"channelId", "yearMonthDayHour"'),
+    "running_totals_by_window": _with(EVENTS, FLAGS, PVUV, f"""
+windows AS (
+  SELECT "windowStart", "channelId", "yearMonthDayHour", {SUM_PVUV} FROM spread GROUP BY 1, 2, 3)""", then="""
+SELECT "windowStart", "channelId", "yearMonthDayHour", CAST(sum(pv) OVER past AS BIGINT) AS pv,
+       CAST(sum(uv) OVER past AS BIGINT) AS uv
+FROM windows WINDOW past AS (PARTITION BY "channelId", "yearMonthDayHour" ORDER BY "windowStart")"""),
     "new_visitor_flags": _flags(EVENTS),
     "new_visitor_flags_orders": _flags(ORDERS),
     "new_visitor_flags_split": _flags(ORDERS),

@@ -2,7 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from clickflow.operators import totals
 from clickflow.plans.catalog import all_queries
+from clickflow.session import setting
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -54,3 +58,19 @@ def test_change_entries_are_read_and_parsed_once(spark):
         text = plan(spark, name)
         assert text.count("FileScan parquet") <= 2, name
         assert len(re.findall(r"from_json\(", text)) == parses, name
+
+
+def test_running_totals_spread_a_channel_that_holds_half_the_rows(spark):
+    windows = spark.range(200_000).select(
+        (F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.floor(F.col("id") / 40) * 2) * 3000).alias("windowStart"),
+        F.when(F.col("id") % 2 == 0, "big").otherwise(F.concat(F.lit("c"), F.floor(F.col("id") / 2) % 20))
+        .alias("channelId"), F.lit("2024").alias("yearMonthDayHour"), F.lit(1).alias("pv"), F.lit(2).alias("uv"))
+    windows = windows.dropDuplicates(["windowStart", "channelId"])
+    with setting(spark, spark__sql__adaptive__enabled="false"):
+        found = totals.totals_by_window("channel_pvuv", windows, block_windows=512)
+        tasks = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    assert tasks[-1] < 3 * tasks[len(tasks) // 2] and len(tasks) == 8
+    last = {r.channelId: (r.pv, r.uv) for r in found.groupBy("channelId").agg(
+        F.max("pv").alias("pv"), F.max("uv").alias("uv")).collect()}
+    counts = {r.channelId: r["count"] for r in windows.groupBy("channelId").count().collect()}
+    assert last == {c: (n, 2 * n) for c, n in counts.items()} and counts["big"] == 100_000
