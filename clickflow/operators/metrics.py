@@ -91,11 +91,17 @@ def hot_from_hourly(hourly: DataFrame, *more_keys: str) -> DataFrame:
     return hourly.groupBy(*more_keys, "channelId").agg(*_sums(visited="visited"))
 
 
+def pvuv_by_period(hourly: DataFrame, keep: tuple[str, ...],
+                   grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """Hourly sums once for each wanted period."""
+    measures = {"pv": {g: "visited" for g in GRAINS}, "uv": {g: f"{g}Uv" for g in GRAINS}}
+    return fan_out(hourly, "yearMonthDayHour", measures, keep, grains)
+
+
 def pvuv_from_hourly(hourly: DataFrame, *more_keys: str,
                      grains: tuple[str, ...] = GRAINS) -> DataFrame:
-    measures = {"pv": {g: "visited" for g in GRAINS}, "uv": {g: f"{g}Uv" for g in GRAINS}}
     key = (*more_keys, "channelId")
-    spread = fan_out(hourly, "yearMonthDayHour", measures, key, grains)
+    spread = pvuv_by_period(hourly, key, grains)
     return spread.groupBy(*key, "yearMonthDayHour").agg(*_sums(pv="pv", uv="uv"))
 
 

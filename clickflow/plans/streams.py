@@ -17,6 +17,7 @@ from clickflow.plans import stores
 from clickflow.session import work_folder
 from clickflow.sources import files, tables
 from clickflow.streaming import job
+from clickflow.streaming.visitors import state_history
 
 
 def stream_table(spark, folder, name):
@@ -181,6 +182,26 @@ def stream_user_history(spark, folder):
     return VisitorHistory(spark, out).snapshot()
 
 
+def stream_state_history(spark, folder):
+    """The visitor history of the low-latency job, read from its state after two restarts."""
+    part = order_part(tables.read_table(spark, folder, "orders"))
+    out = _fed(spark, folder, "orders", part, lambda stream, out: job.start_click_job(
+        tables.order_clicks(stream), out, f"{out}/checkpoint", trigger=None))
+    return state_history(spark, f"{out}/checkpoint")
+
+
+def date_part():
+    """Thirds of the orders by their date, so that a part is newer than all before it."""
+    return F.least(F.floor((F.year("o_orderdate") - 1995) / 2.5), F.lit(2))
+
+
+def stream_pvuv_rollup(spark, folder):
+    """Hours, days and months summed inside the stream and emitted when they are over."""
+    out = _fed(spark, folder, "orders", date_part(), lambda stream, out: job.start_rollup_job(
+        tables.order_clicks(stream), f"{out}/rows", f"{out}/checkpoint", trigger=None))
+    return spark.read.parquet(f"{out}/rows")
+
+
 def stream_change_records(spark, folder):
     """Change entries fetched in four runs of the job, the second of them without entries."""
     out = work_folder(spark, "changes")
@@ -197,7 +218,8 @@ def stream_change_records(spark, folder):
 QUERIES = {f.__name__: f for f in [
     stream_parse, stream_new_visitor_flags, stream_pvuv, stream_freshness, stream_hot,
     stream_hot_last_window, stream_late_rows, stream_totals, stream_bulk_late_rows,
-    stream_bulk_totals, stream_click_wide, stream_user_history, stream_change_records,
+    stream_bulk_totals, stream_click_wide, stream_user_history, stream_state_history,
+    stream_pvuv_rollup, stream_change_records,
 ]}
 
 
@@ -284,6 +306,23 @@ SELECT "windowStart", "channelId", date, {batch.SUM_FRESHNESS} FROM spread GROUP
     "stream_bulk_totals": batch.ORACLES["channel_pvuv"],
     "stream_click_wide": batch.ORACLES["click_wide"],
     "stream_user_history": batch.ORACLES["user_history"],
+    "stream_state_history": batch.ORACLES["user_history"],
+    "stream_pvuv_rollup": _with(batch.ORDERS, """
+stepped AS (
+  SELECT *, least((year(make_timestamp(ms * 1000)) - 1995) * 2 // 5, 2) AS step FROM clicks),
+dated AS (
+  SELECT *, make_timestamp(ms * 1000) AS ts,
+         lag(make_timestamp(ms * 1000)) OVER (
+           PARTITION BY "userID", "channelID" ORDER BY step, seq) AS past
+  FROM stepped)""", ONLY_FLAGS, batch.PVUV, """
+ends AS (
+  SELECT *, CASE length("yearMonthDayHour")
+      WHEN 10 THEN strptime("yearMonthDayHour", '%Y%m%d%H') + INTERVAL 1 HOUR
+      WHEN 8 THEN strptime("yearMonthDayHour", '%Y%m%d') + INTERVAL 1 DAY
+      ELSE strptime("yearMonthDayHour" || '01', '%Y%m%d') + INTERVAL 1 MONTH END AS over_at
+  FROM spread)""", then=f"""
+SELECT "channelId", "yearMonthDayHour", {batch.SUM_PVUV} FROM ends
+WHERE epoch_ms(over_at) <= (SELECT max(ms) - 2000 FROM clicks) GROUP BY 1, 2"""),
     "stream_change_records": _with(stores.ENTRIES, """
 numbered AS (
   SELECT *, CAST(("batchId" // 2) % 3 + 1 AS INTEGER) AS "emptyCount" FROM kinds

@@ -10,14 +10,14 @@ from pyspark.sql.streaming import StreamingQuery
 from clickflow.operators import changes, envelope
 from clickflow.operators.batchlog import BatchLog, write_batch
 from clickflow.operators.history import JOIN_SETTINGS, VisitorHistory
-from clickflow.operators.metrics import WINDOW_MS, hourly_sums, window_start
+from clickflow.operators.metrics import GRAINS, WINDOW_MS, hourly_sums, window_start
 from clickflow.operators.totals import TOTALS, Ledger
 from clickflow.operators.visitors import FLAG_NAMES, hot_visitors
 from clickflow.operators.widen import with_hour_key
 from clickflow.schemas import CLICK_FIELDS
 from clickflow.session import ROCKSDB_PROVIDER, setting
 from clickflow.streaming.visitors import stream_visitor_flags
-from clickflow.streaming.windows import LATENESS_MS, event_ms, window_sums
+from clickflow.streaming.windows import LATENESS_MS, event_ms, pvuv_rollup, window_sums
 
 TRIGGER = "5 seconds"
 
@@ -97,6 +97,16 @@ def start_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     return start(writer, spark, checkpoint, trigger, state_partitions)
 
 
+def start_rollup_job(clicks: DataFrame, folder: str, checkpoint: str,
+                     grains: tuple[str, ...] = GRAINS, trigger: str | None = TRIGGER,
+                     state_partitions: int | None = None) -> StreamingQuery:
+    """Appends views and unique visitors of periods that are over to Parquet files, each once."""
+    narrow, _ = _metric_clicks(clicks, ("channel_pvuv",))
+    passed = [n for n in ("channelID", "count", "arrivalMs") if n in narrow.columns]
+    rows = pvuv_rollup(stream_visitor_flags(narrow, passed), grains)
+    return start_file_sink(rows, folder, checkpoint, trigger, state_partitions)
+
+
 class Highest:
     """One whole number per batch, of which only the highest so far is ever asked for."""
 

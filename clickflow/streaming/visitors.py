@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -73,3 +73,28 @@ def stream_visitor_flags(clicks: DataFrame, keep: list[str] | None = None) -> Da
         previous_visits, output, STATE, "append", GroupStateTimeout.NoTimeout)
     previous = F.nullif("previousHour", F.lit(NONE_BEFORE))
     return add_flags(found.withColumn("previousHour", previous)).drop("_visitor")
+
+
+STATE_OPERATOR = "applyInPandasWithState"
+
+
+def state_history(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The last visit per user and channel that a stream of flags remembers, read from its state.
+
+    The state is that of the last batch the checkpoint has finished, or of an earlier one that it still
+    keeps. Each state partition is read by a task of its own; the stream may run on meanwhile.
+    """
+    found = spark.read.format("state-metadata").load(checkpoint)
+    operator = found.where(F.col("operatorName") == STATE_OPERATOR).select("operatorId").first()
+    if operator is None:
+        raise ValueError(f"no visitor state below {checkpoint}")
+    reader = spark.read.format("statestore").option("operatorId", operator[0])
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    name = F.col("key._visitor")
+    length = F.split_part(name, F.lit(":"), F.lit(1))
+    start = F.length(length) + 2
+    user = F.substring(name, start, length.cast("int"))
+    return reader.load(checkpoint).select(
+        user.alias("userid"), F.substring(name, start + length.cast("int"), F.length(name)).alias("channelid"),
+        F.col("value.groupState.lastVisitedTime").alias("lastVisitedTime"))
