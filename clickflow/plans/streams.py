@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickflow.operators import envelope, widen
+from clickflow.operators import envelope, metrics, widen
 from clickflow.operators.history import VisitorHistory
 from clickflow.operators.totals import Ledger
 from clickflow.operators.visitors import VISITOR_KEY
@@ -72,13 +72,6 @@ def _file_result(stream, purpose):
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
-def _ledger_result(clicks, tasks):
-    spark = clicks.sparkSession
-    out = work_folder(spark, "ledger")
-    job.start_click_job(clicks, out, f"{out}/checkpoint", tasks, None).awaitTermination()
-    return Ledger(spark, out)
-
-
 def stream_parse(spark, folder):
     """Raw records parsed to flat clicks on a stream."""
     return _file_result(job.parse_raw(stream_raw_events(spark, folder)), "parse")
@@ -92,35 +85,40 @@ def stream_new_visitor_flags(spark, folder):
     return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
+def _over_windows(spark, folder, table):
+    """Windows that are over after three batches of the large-batch job."""
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_bulk_click_job(
+        tables.event_clicks(stream), out, f"{out}/checkpoint", (table,), None))
+    return job.ClickBatches(spark, out, (table,)).over_windows(table)
+
+
 def stream_pvuv(spark, folder):
     """The whole chain from raw records; the broker's time decides the window."""
-    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_click_job(
-        job.parse_raw(raw_records(stream), VISITOR_KEY), out, f"{out}/checkpoint",
-        ("channel_pvuv",), None))
-    return Ledger(spark, out).windows("channel_pvuv")
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_raw_click_job(
+        raw_records(stream), out, f"{out}/checkpoint", trigger=None))
+    return job.ClickBatches(spark, out, ("channel_pvuv",)).over_windows("channel_pvuv")
 
 
 def stream_freshness(spark, folder):
-    clicks = stream_event_clicks(spark, folder)
-    return _ledger_result(clicks, ("channel_freshness",)).windows("channel_freshness")
+    return _over_windows(spark, folder, "channel_freshness")
 
 
 def stream_hot(spark, folder):
-    return _ledger_result(stream_event_clicks(spark, folder), ("channel",)).windows("channel")
+    return _over_windows(spark, folder, "channel")
 
 
 def stream_hot_last_window(spark, folder):
-    return _ledger_result(stream_event_clicks(spark, folder), ("channel",)).last_windows()
+    return metrics.last_window(_over_windows(spark, folder, "channel"))
 
 
 # Eight days of events per step; a tenth of the clicks comes one step late, a tenth two.
 STEPS = 6
 
 
-def _write_steps(spark, folder, out):
+def _write_steps(spark, folder, out, digit="event_id % 10"):
     """Events written in steps, each later than the one before, with some clicks held back."""
     events = tables.read_table(spark, folder, "events")
-    digit = F.col("event_id") % 10
+    digit = F.expr(digit)
     held = F.when(digit == 0, 1).when(digit == 1, 2).otherwise(0)
     step = F.floor((F.dayofmonth("ts") - 1) / 8) + held
     for number in range(STEPS):
@@ -153,6 +151,16 @@ def stream_totals(spark, folder):
     return _stepped_ledger(spark, folder, fold=True).totals("channel_pvuv")
 
 
+def stream_batch_counts(spark, folder):
+    """Good, bad and late records of each batch, counted in the pass that sums the windows."""
+    out = work_folder(spark, "counts")
+    for schema in _write_steps(spark, folder, f"{out}/input", "floor(event_id / 10) % 10"):
+        events = files.stream_files(spark, f"{out}/input", schema)
+        job.start_raw_click_job(tables.damaged_envelopes(tables.event_bodies(events)), f"{out}/ledger",
+                                f"{out}/checkpoint", trigger=None).awaitTermination()
+    return job.ClickBatches(spark, f"{out}/ledger", ("channel_pvuv",)).counts()
+
+
 def stream_bulk_late_rows(spark, folder):
     """The large-batch job on the same late clicks."""
     ledger = _stepped_ledger(spark, folder, start=job.start_bulk_click_job)
@@ -217,7 +225,7 @@ def stream_change_records(spark, folder):
 
 QUERIES = {f.__name__: f for f in [
     stream_parse, stream_new_visitor_flags, stream_pvuv, stream_freshness, stream_hot,
-    stream_hot_last_window, stream_late_rows, stream_totals, stream_bulk_late_rows,
+    stream_hot_last_window, stream_late_rows, stream_totals, stream_batch_counts, stream_bulk_late_rows,
     stream_bulk_totals, stream_click_wide, stream_user_history, stream_state_history,
     stream_pvuv_rollup, stream_change_records,
 ]}
@@ -300,6 +308,14 @@ FROM spread GROUP BY 1, 2, 3"""),
     "stream_totals": _with(batch.EVENTS, STEPPED, ONLY_FLAGS, IN_TIME, _of_fired(batch.PVUV),
                            then=f"""
 SELECT "channelId", "yearMonthDayHour", {batch.SUM_PVUV} FROM spread GROUP BY 1, 2"""),
+    "stream_batch_counts": _with(batch.EVENTS, STEPPED.replace("seq % 10", "seq // 10 % 10"), """
+marks AS (
+  SELECT s.step, (SELECT max(ms) - 2000 FROM stepped WHERE stepped.step < s.step AND seq % 10 IN (5, 7, 8, 9)) AS mark
+  FROM (SELECT DISTINCT step FROM stepped) s)""", then="""
+SELECT CAST(step AS BIGINT) AS batch, CAST(count(*) FILTER (seq % 10 IN (5, 7, 8, 9)) AS BIGINT) AS good,
+       CAST(count(*) FILTER (seq % 10 NOT IN (5, 7, 8, 9)) AS BIGINT) AS bad,
+       CAST(count(*) FILTER (seq % 10 IN (5, 7, 8, 9) AND ms // 3000 * 3000 + 3000 <= mark) AS BIGINT) AS late
+FROM stepped JOIN marks USING (step) GROUP BY step"""),
     "stream_bulk_late_rows": _with(
         batch.EVENTS, STEPPED, ONLY_FLAGS, BULK_IN_TIME, _of_fired(batch.FRESHNESS), then=f"""
 SELECT "windowStart", "channelId", date, {batch.SUM_FRESHNESS} FROM spread GROUP BY 1, 2, 3"""),

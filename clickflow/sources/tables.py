@@ -73,16 +73,22 @@ def click_body(*fields: str) -> Column:
     return F.to_json(F.struct(*[F.col(n) for n in fields]))
 
 
-def load_event_bodies(spark: SparkSession, folder: str) -> DataFrame:
+def event_bodies(events: DataFrame) -> DataFrame:
     """Each event as the JSON body a page would report: ``(seq, body, timestamp)``."""
-    clicks = load_event_clicks(spark, folder)
-    return clicks.select(
+    return event_clicks(events).select(
         "seq", click_body("channelID", "produceID", "userID").alias("body"), "timestamp")
 
 
+def load_event_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    return event_bodies(read_table(spark, folder, "events"))
+
+
 def load_damaged_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    return damaged_envelopes(load_event_bodies(spark, folder))
+
+
+def damaged_envelopes(rows: DataFrame) -> DataFrame:
     """Event envelopes of which seven in ten are damaged or unusual, by last digit of ``seq``."""
-    rows = load_event_bodies(spark, folder)
     body = F.replace(F.replace("body", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     ms = to_text("timestamp")
 

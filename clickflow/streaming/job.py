@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.operators import changes, envelope
@@ -12,7 +12,7 @@ from clickflow.operators.batchlog import BatchLog, write_batch
 from clickflow.operators.history import JOIN_SETTINGS, VisitorHistory
 from clickflow.operators.metrics import GRAINS, WINDOW_MS, hourly_sums, window_start
 from clickflow.operators.totals import TOTALS, Ledger
-from clickflow.operators.visitors import FLAG_NAMES, hot_visitors
+from clickflow.operators.visitors import FLAG_NAMES, VISITOR_KEY, hot_visitors
 from clickflow.operators.widen import with_hour_key
 from clickflow.schemas import CLICK_FIELDS
 from clickflow.session import ROCKSDB_PROVIDER, setting
@@ -113,9 +113,10 @@ class Highest:
     def __init__(self, spark: SparkSession, folder: str):
         self.log = BatchLog(spark, folder, "number bigint")
 
-    def before(self, batch_id: int) -> int | None:
+    def before(self, batch_id: int | None = None) -> int | None:
+        """The highest number of the batches before one, or of all."""
         done = self.log.folded_up_to()
-        return self._highest(done, self.log.batches(done, batch_id - 1)).first()[0]
+        return self._highest(done, self.log.batches(done, None if batch_id is None else batch_id - 1)).first()[0]
 
     def _highest(self, done: int, fresh: DataFrame) -> DataFrame:
         every = self.log.base("base", done, self.log.schema).unionByName(fresh.select("number"))
@@ -130,6 +131,66 @@ class Highest:
             upto, lambda done, fresh: {"base": self._highest(done, fresh)}))
 
 
+COUNTS = "batch bigint, good bigint, bad bigint, late bigint"
+
+
+class ClickBatches:
+    """What a job of large batches keeps below its folder, and how a batch of clicks adds to it."""
+
+    def __init__(self, spark: SparkSession, folder: str, tasks: tuple[str, ...], fold_every: int = FOLD_EVERY,
+                 **hot_limits):
+        self.ledger, self.history = Ledger(spark, folder), VisitorHistory(spark, folder)
+        self.newest = Highest(spark, f"{self.ledger.folder}/newest")
+        self.count_log = BatchLog(spark, f"{self.ledger.folder}/counts", COUNTS)
+        self.need_flags, self.fold_every, self.hot_limits = set(tasks) != {"channel"}, fold_every, hot_limits
+
+    def add(self, clicks: DataFrame, batch_id: int) -> None:
+        """Adds a batch of stored clicks, some of which may be marked ``bad``: they are counted only.
+
+        One pass, the one that fills the store, finds the batch's newest click and its counts.
+        """
+        seen = self.newest.before(batch_id)
+        bad = F.col("bad") if "bad" in clicks.columns else F.lit(False)
+        clicks = clicks.withColumn("_ms", event_ms(clicks)).withColumn("windowStart", window_start("_ms"))
+        over = F.lit(False) if seen is None else F.col("windowStart") + WINDOW_MS <= seen - LATENESS_MS
+        found = clicks.agg(F.max(F.when(~bad, F.col("_ms"))), F.count_if(~bad), F.count_if(bad),
+                           F.count_if(~bad & over)).first()
+        if found[0] is not None:
+            self._add_windows(clicks.where(~bad).drop("bad"), batch_id, found[0], over)
+        self.count_log.append(self.ledger.log.spark.range(1).select(
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            *[F.lit(n).cast("bigint").alias(name) for name, n in zip(("good", "bad", "late"), found[1:])]), batch_id)
+        for table in (self.ledger, self.history, self.newest):
+            table.maintain(batch_id, self.fold_every)
+        self.count_log.maintain(batch_id, self.fold_every, lambda upto: self.count_log.fold(
+            upto, lambda done, fresh: {"base": self._counts(done, fresh).coalesce(1)}))
+
+    def _add_windows(self, clicks: DataFrame, batch_id: int, latest: int, over: Column) -> None:
+        if self.need_flags:
+            flagged = self.history.flag(clicks, batch_id, hot_visitors(clicks, **self.hot_limits))
+        else:
+            flagged = _unflagged(clicks)
+        self.ledger.append(hourly_sums(flagged.where(~over), "windowStart"), batch_id)
+        if self.need_flags:
+            self.history.append(clicks, batch_id)
+        self.newest.append(latest, batch_id)
+
+    def _counts(self, done: int, fresh: DataFrame) -> DataFrame:
+        return self.count_log.base("base", done, COUNTS).unionByName(fresh.drop("batch_id"))
+
+    def counts(self) -> DataFrame:
+        """Per batch its good and bad records, and the good ones that were too late for their window."""
+        done = self.count_log.folded_up_to()
+        return self._counts(done, self.count_log.batches(done))
+
+    def over_windows(self, table: str, **options) -> DataFrame:
+        """A result table per window, of the windows that are over: no click in time can follow."""
+        newest = self.newest.before()
+        windows = self.ledger.windows(table, **options)
+        return windows.where("false") if newest is None else windows.where(
+            F.col("windowStart") + WINDOW_MS <= newest - LATENESS_MS)
+
+
 def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
                          tasks: tuple[str, ...] = ("channel_pvuv",),
                          trigger: str | None = "1 minute", fold_every: int = FOLD_EVERY,
@@ -142,42 +203,45 @@ def start_bulk_click_job(clicks: DataFrame, folder: str, checkpoint: str,
     writes follows from its input and from what earlier batches wrote, so a replay rewrites
     the same rows. Clicks whose window had ended two seconds before the newest click of the
     batches before theirs are late: they count for the history but for no window.
+    ``ClickBatches(spark, folder, tasks)`` reads the windows that are over and the batches' counts.
     """
-    spark = clicks.sparkSession
-    ledger, history = Ledger(spark, folder), VisitorHistory(spark, folder)
-    newest = Highest(spark, f"{ledger.folder}/newest")
-    narrow, need_flags = _metric_clicks(clicks, tasks)
-
-    def handle_clicks(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.agg(F.max(event_ms(batch))).first()[0]
-        if latest is None:
-            return
-        seen = newest.before(batch_id)
-        if need_flags:
-            flagged = history.flag(batch, batch_id, hot_visitors(batch, **hot_limits))
-        else:
-            flagged = _unflagged(batch)
-        rows = flagged.withColumn("_ms", event_ms(flagged)).withColumn(
-            "windowStart", window_start("_ms"))
-        if seen is not None:
-            rows = rows.where(F.col("windowStart") + WINDOW_MS > seen - LATENESS_MS)
-        ledger.append(hourly_sums(rows, "windowStart"), batch_id)
-        if need_flags:
-            history.append(batch, batch_id)
-        newest.append(latest, batch_id)
-        for table in (ledger, history, newest):
-            table.maintain(batch_id, fold_every)
+    narrow, _ = _metric_clicks(clicks, tasks)
+    batches = ClickBatches(clicks.sparkSession, folder, tasks, fold_every, **hot_limits)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Streams run with adaptive execution off; these queries are plain batch queries.
         batch = batch.persist()
         with batch_settings(batch.sparkSession, shuffle_partitions):
             try:
-                handle_clicks(batch, batch_id)
+                batches.add(batch, batch_id)
             finally:
                 batch.unpersist()
 
-    return start(narrow.writeStream.foreachBatch(handle), spark, checkpoint, trigger)
+    return start(narrow.writeStream.foreachBatch(handle), clicks.sparkSession, checkpoint, trigger)
+
+
+def start_raw_click_job(raw: DataFrame, folder: str, checkpoint: str,
+                        tasks: tuple[str, ...] = ("channel_pvuv",),
+                        trigger: str | None = "1 minute", fold_every: int = FOLD_EVERY,
+                        shuffle_partitions: int | None = None, **hot_limits) -> StreamingQuery:
+    """As ``start_bulk_click_job``, from raw records, each read and parsed once: good, bad and late ones of
+    a batch are counted in that pass."""
+    _metric_clicks(raw, tasks)
+    batches = ClickBatches(raw.sparkSession, folder, tasks, fold_every, **hot_limits)
+    keep = tuple(n for n in ("seq", "arrivalMs") if n in raw.columns)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        messages = envelope.parse_messages(batch, keep=keep, fields=VISITOR_KEY)
+        flat = envelope.flatten_messages(
+            messages.withColumn("bad", F.col("badReason").isNotNull()), (*keep, "bad"))
+        clicks = flat.select("bad", *[n for n in METRIC_COLUMNS if n in flat.columns]).persist()
+        with batch_settings(batch.sparkSession, shuffle_partitions):
+            try:
+                batches.add(clicks, batch_id)
+            finally:
+                clicks.unpersist()
+
+    return start(raw.writeStream.foreachBatch(handle), raw.sparkSession, checkpoint, trigger)
 
 
 def batch_settings(spark: SparkSession, shuffle_partitions: int | None):
