@@ -13,18 +13,19 @@ a region:
   link to only by itself is met by all of them, and a region of n nodes gives some n candidates
   and not n * n.
 
-After that, the nodes that had candidates in large regions are ordered anew, and each that did
-not join its region's most frequent component is set against all others of the region by its
-whole signature. Only where a range of ``ROWS_PER_TASK`` tree rows ends is a region cut; such
-pairs have their other trees. All nodes of other components that agree in ``REST_AGREE`` of the
-values are candidates as well, in rounds: first the ``REST_BEST`` most similar ones of each node,
-then, with the components joined anew, ``REST_MORE`` times as many in each further round, until
-no node has more than were asked for.
-
 Candidates must meet in two trees at least, or once with ``DEEP`` values in common. They are
-confirmed on the full
-sets, first each node's best ones and those with pivots, then all that lead from one component
-to another; links inside a component cannot change the result any more.
+confirmed on the full sets, first each node's best ones and those with pivots, then all that lead
+from one component to another; links inside a component cannot change the result any more.
+
+What large regions then hold besides their main components is looked at in families. Nodes of a
+region whose whole signatures agree in ``LOOSE_AGREE`` of the values, so that their texts may be
+similar, belong to one family; a region tells of each node one other node that it belongs with, so
+families of any size cost a row per node and tree. Each family with more than one component is
+then worked off by its full sets: the nodes outside its most frequent component are compared with
+all nodes of the family, in blocks of ``BLOCK_SHINGLES``, by counting common shingles exactly. A block
+gives only links that join components, never the pairs it compared. Sets travel once per node, and
+those that ask once per block. Comparing a family with itself grows with the product of its size
+and the number of its nodes outside the main component, spread over its blocks.
 
 A pair at similarity 0.75 shares three values in a tree with probability 0.42, so it misses two
 of 24 trees with probability 3.5e-5.
@@ -32,19 +33,21 @@ of 24 trees with probability 3.5e-5.
 Defined results: letters A-Z are lower-cased, words are split at blanks and ASCII line and tab
 characters; a text with fewer words than five is one shingle; a null or wordless text has none
 and is linked with nothing; repeated rows are alike and get the same component; null doc_ids
-count as larger than all others. Very long texts are taken whole.
+count as larger than all others. Very long texts are taken whole. An empty table gives no rows. Only
+``doc_id`` (of any type that can be ordered) and ``text`` are read; ``one_of_each`` gives back every
+column, whatever its name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, StructType
 
 from clickflow.llm.common import BROADCAST_ROWS, LOWER_TABLE, keep_table, small_side, table, text_batches
 
@@ -55,7 +58,7 @@ VALUES = TREES * START
 REGION, NEAR, PIVOTS = 16, 2, 1
 PIVOT_DEPTHS = (3, 6)
 DEEP = 6
-REST_BEST, REST_MORE, REST_AGREE = 8, 8, 0.55
+LOOSE_AGREE, BLOCK_SHINGLES = 0.55, 1_000_000
 ROWS_PER_TASK = 200_000
 
 _random = np.random.default_rng(75)
@@ -102,15 +105,17 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (least & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def sign_texts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in parts:
+def sign_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
         rows = []
-        for text in part["text"]:
+        for text in batch.column("text").to_pylist():
             hashes = shingle_hashes(text)
             rows.append((len(hashes), xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None,
                          signature(hashes).tobytes() if len(hashes) else None))
-        signed = pd.DataFrame(rows, columns=["n_shingles", "node", "sig"])
-        yield pd.concat([part[["doc_id", "text_key"]].reset_index(drop=True), signed], axis=1)
+        signed = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
+            (pa.int64(), pa.binary(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *signed],
+                                         ["doc_id", "text_key", "n_shingles", "node", "sig"])
 
 
 def tree_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,10 +193,27 @@ def labelled_tree_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.assign(label=part["label"], sig=part["sig"])
 
 
-def scan_rest(parts: Iterator[pd.DataFrame], most: int = REST_BEST) -> Iterator[pd.DataFrame]:
-    """In the regions of crowded nodes, whatever their size, the ``most`` most similar signatures of
-    other components for each node that is not in the region's most frequent component; ``more``
-    where it has others besides."""
+class Joined:
+    """Which of numbered things belong together; the smallest number names them."""
+
+    def __init__(self, count: int):
+        self.up = list(range(count))
+
+    def find(self, k: int) -> int:
+        while self.up[k] != k:
+            self.up[k] = k = self.up[self.up[k]]
+        return k
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether they did not belong together before."""
+        a, b = sorted((self.find(a), self.find(b)))
+        self.up[b] = a
+        return a != b
+
+
+def scan_families(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In the regions of crowded nodes pairs ``a, b`` that join all components with similar signatures:
+    one pair less than there are components at most."""
     frames = [p for p in parts if len(p)]
     if not frames:
         return
@@ -203,21 +225,70 @@ def scan_rest(parts: Iterator[pd.DataFrame], most: int = REST_BEST) -> Iterator[
     cut = (key[1:, :START] != key[:-1, :START]).any(axis=1) | (tree[1:] != tree[:-1])
     for start, end in zip(*_spans(cut)):
         inside, labels = sig[start:end], np.unique(label[start:end], return_inverse=True)[1]
-        rest = np.flatnonzero(labels != np.bincount(labels).argmax())
+        sizes = np.bincount(labels)
+        if len(sizes) < 2:
+            continue
+        rest = np.flatnonzero(labels != sizes.argmax())
+        joined, found = Joined(len(sizes)), []
         block = max(1, 500_000 // (end - start))
         for k in range(0, len(rest), block):
             asks = rest[k:k + block]
             agree = (inside[asks][:, None, :] == inside[None, :, :]).sum(axis=2, dtype=np.int16)
-            agree[labels[asks][:, None] == labels[None, :]] = -1
-            best = np.argsort(-agree, axis=1, kind="stable")[:, :most]
-            good = np.take_along_axis(agree, best, axis=1) >= REST_AGREE * VALUES
-            times = good.sum(axis=1)
-            more = np.repeat((agree >= REST_AGREE * VALUES).sum(axis=1) > times, times)
-            one, other = node[start + np.repeat(asks, times)], node[start + best[good]]
-            first, second = np.where(one < other, one, other), np.where(one < other, other, one)
-            for j in range(0, len(first), 50_000):
-                yield pd.DataFrame({"a": first[j:j + 50_000], "b": second[j:j + 50_000],
-                                    "more": more[j:j + 50_000]})
+            for one, row in zip(asks.tolist(), agree >= LOOSE_AGREE * VALUES):
+                others = np.flatnonzero(row)
+                for name, at in zip(*np.unique(labels[others], return_index=True)):
+                    if joined.join(int(labels[one]), int(name)):
+                        found.append((node[start + one], node[start + others[at]]))
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+
+class Sets:
+    """The sets of a block of nodes, for counting what another set has in common with each."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.node, self.label = rows["node"].to_numpy(), rows["label"].to_numpy()
+        sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+        self.size = np.array([len(s) for s in sets])
+        self.starts = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+        self.known, self.place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(self.known), np.uint8)
+
+    def similar(self, hashes: np.ndarray) -> np.ndarray:
+        """The rows whose sets reach the similarity with another."""
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        at = at[self.known[at] == hashes]
+        self.mark[at] = 1
+        both = np.add.reduceat(self.mark[self.place], self.starts, dtype=np.int64)
+        self.mark[at] = 0
+        return np.flatnonzero(100 * both >= LEAST_PERCENT * (self.size + len(hashes) - both))
+
+
+def family_links(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links ``a, b`` that join components, from rows sorted by family and block, with a block's own
+    nodes before those that ask."""
+    held, now, sets = [], None, None
+    for part in parts:
+        for (family, block, asks), rows in part.groupby(["family", "block", "asks"], sort=False):
+            if now != (family, block):
+                held, now, sets = [], (family, block), None
+            if not asks:
+                held.append(rows)
+                continue
+            if not held and sets is None:
+                continue  # a block without nodes
+            if sets is None:
+                sets, names, held = Sets(pd.concat(held)), {}, []
+                joined = Joined(0)
+            found = []
+            for node, label, hashes in zip(rows["node"], rows["label"], rows["hashes"]):
+                for k in sets.similar(np.frombuffer(hashes, np.uint64)):
+                    one, other = (names.setdefault(name, len(names)) for name in (label, sets.label[k]))
+                    joined.up.extend(range(len(joined.up), len(names)))
+                    if joined.join(one, other):
+                        found.append((node, sets.node[k]))
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
 
 
 @F.pandas_udf(BooleanType())
@@ -328,24 +399,31 @@ def linked_nodes(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
 
 
 def join_rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """The labels after all similar signatures in large regions were tried on their full sets."""
-    count, most, tried = crowd.count(), REST_BEST, None
-    while count:
-        rest = in_order(labels.join(crowd, "node").mapInPandas(
-            labelled_tree_rows, "tree smallint, key binary, node binary, label binary, sig binary"), count) \
-            .mapInPandas(partial(scan_rest, most=most), "a binary, b binary, more boolean") \
-            .withColumn("old", F.lit(False))
-        if tried is not None:
-            rest = rest.union(tried.select("a", "b", F.lit(False), F.lit(True)))
-        asked = keep_table(rest.groupBy("a", "b").agg(
-            F.max("more").alias("more"), F.max("old").alias("old")), "dedup-rest")
-        links = keep_table(confirmed(asked.where("NOT old"), sets), "dedup-last")
-        if not links.isEmpty():
-            labels = components(links, labels)
-        if asked.where("more").isEmpty():
-            break
-        tried, most = asked, most * REST_MORE
-    return labels
+    """The labels after the families of large regions were compared by their full sets."""
+    labelled = labels.join(crowd, "node")
+    loose = keep_table(in_order(labelled.mapInPandas(
+        labelled_tree_rows, "tree smallint, key binary, node binary, label binary, sig binary"), crowd.count())
+        .mapInPandas(scan_families, "a binary, b binary").distinct(), "dedup-loose")
+    if loose.isEmpty():
+        return labels
+    families = components(loose, labels).withColumnRenamed("label", "family")
+    members = keep_table(
+        crowd.select("node").join(labels, "node").join(families, "node").join(sets, "node"), "dedup-members")
+    # one row per component, then one per family
+    parts = members.groupBy("family", "label").agg(
+        F.count("*").alias("nodes"), F.sum(F.length("hashes") / 8).alias("shingles"))
+    shapes = parts.groupBy("family").agg(
+        F.count("*").alias("parts"), F.max_by("label", F.struct("nodes", "label")).alias("main"),
+        F.ceil(F.sum("shingles") / BLOCK_SHINGLES).alias("blocks")).where("parts > 1")
+    mixed = members.join(shapes, "family")
+    own = mixed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("asks", F.lit(False))
+    asking = mixed.where("label <> main").withColumn("block", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.col("blocks") - 1))).withColumn("asks", F.lit(True))
+    columns = ["family", "block", "asks", "node", "label", "hashes"]
+    links = own.select(columns).union(asking.select(columns)).repartition("family", "block") \
+        .sortWithinPartitions("family", "block", "asks").mapInPandas(family_links, "a binary, b binary")
+    links = keep_table(links, "dedup-last")
+    return labels if links.isEmpty() else components(links, labels)
 
 
 def text_key():
@@ -360,9 +438,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     text_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    signed = keep_table(docs.select("doc_id", text_key().alias("text_key"), "text").mapInPandas(
-        sign_texts, "doc_id bigint, text_key binary, n_shingles bigint, node binary, sig binary"),
-        "dedup-signed")
+    signed = StructType([docs.schema["doc_id"], *StructType.fromDDL(
+        "text_key binary, n_shingles bigint, node binary, sig binary").fields])
+    signed = keep_table(docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(sign_texts, signed),
+                        "dedup-signed")
     own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
     labels = linked_nodes(docs, signed)
     least = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(own).alias("least"))

@@ -116,30 +116,44 @@ def test_near_duplicates_on_edges(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_rest_of_a_large_region_is_set_against_all(spark):
+def test_families_join_all_similar_signatures_of_a_region(spark):
     sig = np.tile(np.arange(near_dedup.VALUES, dtype=np.uint16), (30, 1))
     sig[28:, 40:50] += 1000
+    sig[27] += 5000
     import pandas as pd
     nodes = [b"%02d" % k for k in range(30)]
     rows = pd.DataFrame({"tree": [0] * 30, "key": [sig[0][:12].astype(">u2").tobytes()] * 30, "node": nodes,
-                         "label": [b"00"] * 28 + [b"28", b"29"], "sig": [s.tobytes() for s in sig]})
-    got = pd.concat(near_dedup.scan_rest(iter([rows])))
-    assert {(a, b) for a, b in zip(got["a"], got["b"]) if b == b"29"} >= {(b"28", b"29")}
-    assert (got.groupby("b").size() <= near_dedup.REST_BEST * 2).all()
+                         "label": [b"00"] * 27 + [b"27", b"28", b"29"], "sig": [s.tobytes() for s in sig]})
+    got = pd.concat(near_dedup.scan_families(iter([rows])))
+    assert len(got) == 2 and set(got["a"]) <= {b"28", b"29"}  # 27 is alone
+    keys = np.tile(np.arange(12), (30, 1))
+    keys[:10, near_dedup.START] = 500  # still one region
+    rows["key"] = [k.astype(">u2").tobytes() for k in keys]
+    assert len(pd.concat(near_dedup.scan_families(iter([rows])))) == 2
+    trees = spark.createDataFrame([(0, b"a", b"b")] * 64, "tree int, key binary, node binary")
+    assert near_dedup.in_order(trees, 64).rdd.getNumPartitions() == 1
 
 
-def test_rest_pass_takes_the_regions_of_the_first_pass(spark):
+def test_family_links_equal_all_pairs(monkeypatch):
     import pandas as pd
-    sig = np.tile(np.arange(near_dedup.VALUES, dtype=np.uint16), (20, 1))
-    keys = np.tile(np.arange(12), (20, 1))
-    keys[:10, near_dedup.START] = 500  # one region in two parts
-    rows = pd.DataFrame({"tree": [0] * 20, "key": [k.astype(">u2").tobytes() for k in keys],
-                         "node": [b"%02d" % k for k in range(20)], "label": [b"00"] * 19 + [b"19"],
-                         "sig": [s.tobytes() for s in sig]})
-    got = pd.concat(near_dedup.scan_rest(iter([rows]), 20))
-    assert set(got["a"]) == {b"%02d" % k for k in range(19)} and set(got["b"]) == {b"19"}
-    trees = spark.createDataFrame([(0, b"a", b"b")] * 64, "tree int, key binary, node binary")
-    assert near_dedup.in_order(trees, 64).rdd.getNumPartitions() == 1
+    rng = np.random.default_rng(3)
+    sets = [np.unique(np.concatenate([rng.choice(100, 91, replace=False), rng.integers(1000, 9999, 8)]))
+            .astype(np.uint64) for _ in range(60)]
+    rows = [(0, k % 3, False, k) for k in range(60)] + [(0, b, True, k) for b in range(3) for k in range(5, 60)]
+    rows = pd.DataFrame(sorted(rows), columns=["family", "block", "asks", "node"])
+    rows["label"], rows["hashes"] = rows["node"], [sets[k].tobytes() for k in rows["node"]]
+    found = pd.concat(near_dedup.family_links(iter([rows[:100], rows[100:]])))
+    mine, all_pairs = near_dedup.Joined(60), near_dedup.Joined(60)
+    for a, b in zip(found["a"], found["b"]):
+        mine.join(a, b)
+    for a in range(60):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both) and max(a, b) >= 5:
+                all_pairs.join(a, b)
+    groups = [all_pairs.find(k) for k in range(60)]
+    assert [mine.find(k) for k in range(60)] == groups and 5 < len(set(groups)) < 55
+    assert len(found) < 3 * 60
 
 
 def brute_counts(text):
