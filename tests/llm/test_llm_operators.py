@@ -351,6 +351,26 @@ def test_mix_on_edges(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("folder", [TINY, SMALL])
+def test_sources_come_near_their_targets(spark, folder):
+    rows = mixing.op9_mix(spark, folder).join(
+        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source"), "doc_id").collect()
+    again = {(r.doc_id, r.taken) for r in mixing.op9_mix(spark, folder).collect()}
+    assert again == {(r.doc_id, r.taken) for r in rows}
+    for source in {r.source for r in rows}:
+        mine = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
+        assert all(r.taken <= 3 * r.size for r in mine)
+
+
+def test_mix_keeps_columns_named_like_its_own(spark):
+    docs = edge_docs(spark).withColumns({n: F.lit("mine") for n in ("target", "source_size", "bin", "row")})
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, "copy"]
+    assert {(r.size, r.copies, r.target, r.bin, r.row) for r in mixed.collect()} == {("a", 1, "mine", "mine", "mine")}
+    assert mixing.mix(docs.withColumnRenamed("kept", "Copy")).columns[-1] == "copy"
+
+
 def test_targets_fill_up(spark):
     sources = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 100), (None, 0)], "source string, words bigint")
     got = {r.source: r.target for r in mixing.source_targets(sources).collect()}
