@@ -14,26 +14,34 @@ is the log of how much more often words or a tag stand inside the article than o
 its sign. They are counted over a bounded sample of some ``SAMPLE_PAGES`` such pages; a page
 without an article is not learned from, and without any the ``PLAIN`` weights hold.
 
+Every step goes over a page's tokens once, and elements are scored from the inside out without
+recursion, so nested, unclosed and repeated markup costs no more than other markup.
+
 Defined results: null and empty pages have an empty text; unclosed elements end where their
 parent ends, and an unclosed boilerplate element hides only its own tag; markup cut off at the
-end of a page is text; very long pages are read whole; repeated rows give the same text.
+end of a page is text; very long pages are read whole; of equally good runs the first counts; repeated
+rows give the same text; an empty table gives no rows. All columns come back but ones named ``text``
+or ``n_chars``, which are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from math import log
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickflow.llm.common import replace_columns, table, text_batches
+from clickflow.llm.common import table, text_batches
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
+UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template", "xmp"}
 RAW_END = {name: re.compile(rf"</{name}\b[^>]*>|\Z", re.I) for name in RAW}
@@ -63,29 +71,40 @@ FULL_NAMES = set(
 LOWER = 0.3
 PLAIN = {"": 1.0, "a": 0.1}  # a word, a word in a link
 PLAIN_TAG = -2.0
-SAMPLE_PAGES = 2000
+SAMPLE_PAGES, MOST_TAGS = 2000, 500
 LEAST_WEIGHT = 0.02
 
 
 def tokens(page: str) -> list[tuple]:
-    """``(kind, name, text)``: kind 1 opens, -1 closes, 0 is text; text of a tag: its attributes."""
-    found, at = [], 0
+    """``(kind, name, text)``: kind 1 opens, -1 closes, 0 is text; text of a tag: its attributes.
+
+    After a tag whose quotes are never closed, tags end at the next ``>`` whatever the quotes say; what
+    comes after the page's last ``>`` holds no tag. So no part of a page is searched again and again.
+    """
+    found, at, start, pattern, last = [], 0, 0, TOKEN, page.rfind(">")
     while True:
-        tag = TOKEN.search(page, at)
+        at = page.find("<", at)
+        if at < 0 or at > last:
+            comment = page.find("<!--", at) if at >= 0 else -1
+            rest = page[start:comment if comment >= 0 else len(page)]
+            return [*found, (0, "", rest)] if rest else found
+        tag = pattern.match(page, at)
         if tag is None:
-            if at < len(page):
-                found.append((0, "", page[at:]))
-            return found
-        if tag.start() > at:
-            found.append((0, "", page[at:tag.start()]))
-        at = tag.end()
+            if pattern is TOKEN and page[at + 1:at + 3].lstrip("/")[:1].isalpha():
+                pattern = UNQUOTED
+            else:
+                at += 1
+            continue
+        if at > start:
+            found.append((0, "", page[start:at]))
+        start = at = tag.end()
         if not tag[2]:
             continue
         name = tag[2].lower()
         if tag[1]:
             found.append((-1, name, ""))
         elif name in RAW:
-            at = RAW_END[name].search(page, at).end()
+            start = at = RAW_END[name].search(page, at).end() if at <= last else len(page)
         else:
             found.append((1, name, tag[3]))
 
@@ -122,39 +141,136 @@ def is_boilerplate(name: str, attributes: str, inside: bool) -> str:
     return "" if BOILERPLATE.isdisjoint(w for n in names for w in re.split(r"[^a-z0-9]+", n)) else "part"
 
 
-def remaining(found: list[tuple], ends: dict[int, int], content: list[tuple[int, int]], free: set[int] = frozenset(),
-              first: int = 0, last: int | None = None) -> tuple[list[int], list[int], list[tuple[int, int]]]:
-    """Places of the tokens outside boilerplate elements; those of them that are lowered; and the
-    spans of elements outside the content that their names hide or lower, without ``free`` ones."""
-    kept, low, named, k = [], [], [], first
-    last, low_end = len(found) if last is None else last, -1
-    while k < last:
-        kind, name, attributes = found[k]
-        if kind == 1 and name not in VOID and k not in free:
-            inside = any(a < k < b for a, b in content)
-            end = ends.get(k)
-            by = is_boilerplate(name, attributes, inside)
+class Page:
+    """A page's tokens, and what each element is by its names; all of it found in one pass each."""
+
+    def __init__(self, page: str):
+        self.found = found = tokens(page)
+        self.ends = closings(found)
+        self.content = content_spans(found, self.ends)
+        change = [0] * (len(found) + 2)
+        for start, end in self.content:
+            change[start + 1] += 1
+            change[min(end, len(found))] -= 1
+        self.starts = [start for start, _ in self.content]
+        least = [len(found) + 1]  # the first end among the content from each place on
+        for _, end in reversed(self.content):
+            least.append(min(least[-1], end))
+        self.first_end = least[::-1]
+        self.next_block = [len(found)] * (len(found) + 1)
+        for k in range(len(found) - 1, -1, -1):
+            self.next_block[k] = k if found[k][1] in BLOCKS else self.next_block[k + 1]
+        self.hidden: dict[int, tuple[str, int, bool]] = {}  # by what, up to where, and whether inside
+        inside = 0
+        for k, (kind, name, attributes) in enumerate(found):
+            inside += change[k]
+            if kind == 1 and name not in VOID:
+                by = is_boilerplate(name, attributes, inside > 0)
+                end = self._end(k, name) if by else None
+                if end is not None and not (by != "tag" and self.holds_content(k, end)):
+                    self.hidden[k] = by, end, inside > 0
+
+    def _end(self, k: int, name: str) -> int | None:
+        end = self.ends.get(k)
+        if end is None and name in ("p", "li"):
+            block = self.next_block[k + 1]
+            end = block - 1 if block < len(self.found) else block
+        return end
+
+    def holds_content(self, start: int, end: int) -> bool:
+        """Whether a whole article or main element is inside."""
+        return self.first_end[bisect_right(self.starts, start)] < end
+
+    def remaining(self, free: set[int] = frozenset()) -> tuple[list[int], set[int]]:
+        """Places of the tokens outside boilerplate elements, without ``free`` ones, and those of
+        them that are lowered."""
+        kept, low, k, low_end = [], set(), 0, -1
+        while k < len(self.found):
+            by, end, _ = self.hidden.get(k, NOT_HIDDEN) if k not in free else NOT_HIDDEN
+            if by in ("tag", "name"):
+                k = max(k, end) + 1
+                continue
+            if by:
+                low_end = max(low_end, end)
+            kept.append(k)
+            if k <= low_end:
+                low.add(k)
+            k += 1
+        return kept, low
+
+    def best_named(self, weights: dict[str, float], free: set[int]) -> tuple[float, list[int]]:
+        """The highest score of the best run of an element that its names hide or lower, outside the
+        content, and the named elements around that run, from the outside in.
+
+        An element's words score in full for itself. What is named inside it counts ``LOWER`` as much:
+        it is part of the element's own run where only a part of its name says so, and competes with
+        it in any case. Elements are finished from the inside out, each with the sum and the best
+        start, end and run of what it holds.
+        """
+        found, stack, links, k = self.found, [Holds(len(self.found), -1, "")], 0, 0
+        while k <= len(found):
+            while len(stack) > 1 and (k > stack[-1].end or k == len(found)):
+                stack[-2].take(stack.pop())
+            if k == len(found):
+                break
+            by, end, inside = self.hidden.get(k, NOT_HIDDEN) if k not in free else NOT_HIDDEN
+            if by == "tag" or by == "name" and inside:
+                k = max(k, end) + 1
+                continue
             if by:
-                if end is None and name in ("p", "li"):
-                    end = next((j - 1 for j in range(k + 1, len(found)) if found[j][1] in BLOCKS), len(found))
-                holds_content = end and by != "tag" and any(k < a and b < end for a, b in content)
-                if end is not None and not holds_content:
-                    if by != "tag" and not inside:
-                        named.append((k, end))
-                    if by != "part":
-                        k = end + 1
-                        continue
-                    low_end = max(low_end, end)
-        kept.append(k)
-        if k <= low_end:
-            low.append(k)
-        k += 1
-    return kept, low, named
-
-
-def scored(found: list[tuple], kept: list[int], low: list[int], weights: dict[str, float]) -> tuple[list, list]:
+                stack.append(Holds(min(end, stack[-1].end), k, by))
+            kind, name, text = found[k]
+            if kind:
+                links = max(0, links + kind) if name == "a" else links
+                score = lowered = weights.get("<" + name, PLAIN_TAG)
+            else:
+                score = len(text.split()) * weights["a" if links else ""]
+                lowered = score * LOWER
+            stack[-1].add(score, lowered)
+            k += 1
+        path, best = [], stack[0].rival
+        while best is not None:
+            path.append(best.start)
+            best = best.rival if best.rival is not None and LOWER * best.rival.own > best.full[3] else None
+        return (stack[0].rival.own if stack[0].rival is not None else 0.0), path
+
+
+NOT_HIDDEN = ("", -1, False)
+NOTHING = (0.0, 0.0, 0.0, 0.0)
+
+
+def _after(one: tuple, other: tuple) -> tuple:
+    """Sum, best start, best end and best run of two stretches, one after the other."""
+    return (one[0] + other[0], max(one[1], one[0] + other[1]), max(other[2], other[0] + one[2]),
+            max(one[3], other[3], one[2] + other[1]))
+
+
+class Holds:
+    """What an element holds so far, with its words in full and lowered, and its best named element."""
+
+    def __init__(self, end: int, start: int, by: str):
+        self.end, self.start, self.by = end, start, by
+        self.full = self.low = NOTHING
+        self.rival: Holds | None = None
+        self.own = 0.0
+
+    def add(self, score: float, lowered: float) -> None:
+        self.full = _after(self.full, (score, max(score, 0.0), max(score, 0.0), max(score, 0.0)))
+        self.low = _after(self.low, (lowered, max(lowered, 0.0), max(lowered, 0.0), max(lowered, 0.0)))
+
+    def take(self, inner: Holds) -> None:
+        """An element inside has ended."""
+        inner.own = max(inner.full[3], LOWER * inner.rival.own if inner.rival is not None else 0.0)
+        if inner.by == "part":
+            self.full, self.low = _after(self.full, inner.low), _after(self.low, inner.low)
+        for rival in (inner, inner.rival if inner.by == "part" else None):
+            if rival is not None and (self.rival is None or rival.own > self.rival.own):
+                self.rival = rival
+
+
+def scored(found: list[tuple], kept: list[int], low: set[int], weights: dict[str, float]) -> tuple[list, list]:
     """Score and number of words of each kept token."""
-    scores, sizes, links, lowered = [], [], 0, set(low)
+    scores, sizes, links = [], [], 0
     for k in kept:
         kind, name, text = found[k]
         if kind:
@@ -163,7 +279,7 @@ def scored(found: list[tuple], kept: list[int], low: list[int], weights: dict[st
             sizes.append(0)
         else:
             sizes.append(len(text.split()))
-            scores.append(sizes[-1] * weights["a" if links else ""] * (LOWER if k in lowered else 1))
+            scores.append(sizes[-1] * weights["a" if links else ""] * (LOWER if k in low else 1))
     return scores, sizes
 
 
@@ -192,45 +308,30 @@ def heading_before(found: list[tuple], kept: list[int], sizes: list[int], first:
     return start if start >= 0 and found[kept[start]][0] == 1 else first
 
 
-def own_score(found: list[tuple], ends: dict[int, int], content: list[tuple[int, int]], free: set[int],
-              weights: dict[str, float], start: int, end: int) -> float:
-    """The sum of a named element's best run; elements named inside it count ``LOWER`` as much."""
-    kept, low, named = remaining(found, ends, content, free | {start}, start, min(end + 1, len(found)))
-    scores, _ = scored(found, kept, low, weights)
-    inner = (LOWER * own_score(found, ends, content, free | {start}, weights, *span) for span in named)
-    return max(sum(scores[slice(*best_run(scores))]), *inner, 0.0)
-
-
-def extract(page: str | None, weights: dict[str, float]) -> str:
+def extract(text: str | None, weights: dict[str, float]) -> str:
     """The page's main text."""
-    found = tokens(page or "")
-    ends = closings(found)
-    content = content_spans(found, ends)
-    free: set[int] = set()
+    page = Page(text or "")
+    found, free = page.found, set()
     while True:
-        kept, low, named = remaining(found, ends, content, free)
+        kept, low = page.remaining(free)
         scores, sizes = scored(found, kept, low, weights)
         first, last = best_run(scores)
-        words = sum(sizes[first:last])
-        marked = any(sum(n for k, n in zip(kept[first:last], sizes[first:last]) if start < k < end) > words / 2
-                     for start, end in content) if named else True
-        best, wins = sum(scores[first:last]), None
-        for start, end in [] if marked else named:
-            held = sum(len(t[2].split()) for t in found[start:end] if not t[0])
-            if LOWER * held * max(weights[""], weights["a"]) > best:
-                score = LOWER * own_score(found, ends, content, free, weights, start, end)
-                if score > best:
-                    best, wins = score, start
-        if wins is None:
+        before = list(accumulate(sizes, initial=0))
+        words = before[last] - before[first]
+        main = None  # the smallest article or main element that holds most of the run
+        for start, end in sorted(page.content, key=lambda span: span[1] - span[0]):
+            a, b = bisect_right(kept, start), bisect_left(kept, end)
+            if words and before[max(a, min(b, last))] - before[max(a, first)] > words / 2:
+                main = a, b
+                break
+        best, path = page.best_named(weights, free) if main is None else (0.0, [])
+        if LOWER * best <= sum(scores[first:last]) or free.issuperset(path):
             break
-        free.add(wins)
-    if words:
+        free.update(path)
+    if main is not None:
+        first, last = main
+    elif words:
         first = heading_before(found, kept, sizes, first)
-    for start, end in sorted(content, key=lambda span: span[1] - span[0]):
-        here = [j for j, k in enumerate(kept) if start < k < end]
-        if here and words and sum(sizes[j] for j in here if first <= j < last) > words / 2:
-            first, last = here[0], here[-1] + 1
-            break
     blocks, block = [], []
     for k in kept[first:last]:
         kind, name, text = found[k]
@@ -245,18 +346,19 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     return "\n\n".join(t for t in texts if t)
 
 
-def count_page(page: str) -> Counter:
-    """How often words and tags stand inside and outside the page's article."""
-    found = tokens(page)
-    content = [s for s in content_spans(found, closings(found)) if found[s[0]][1] == "article"]
+def count_page(text: str) -> Counter:
+    """How often words and tags stand inside and outside the page's article, outside of boilerplate."""
+    page = Page(text)
+    content = [span for span in page.content if page.found[span[0]][1] == "article"]
     counts: Counter = Counter()
     if len(content) != 1:
         return counts
     start, end = content[0]
     links = 0
-    for k, (kind, name, text) in enumerate(found):
+    for k in page.remaining()[0]:
         if k in (start, end):
             continue
+        kind, name, text = page.found[k]
         if kind:
             links = max(0, links + kind) if name == "a" else links
             counts["<" + name, start < k < end] += 1
@@ -266,13 +368,14 @@ def count_page(page: str) -> Counter:
 
 
 def learned_weights(pages: DataFrame, sample: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Weights for words (``""``, in links ``"a"``) and tags (``"<name"``) from labelled pages."""
+    """Weights for words (``""``, in links ``"a"``) and tags (``"<name"``) from labelled pages; of tags
+    those of the ``MOST_TAGS`` names seen most often."""
     def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
         for part in parts:
             for page in part["html"]:
                 total.update(count_page(page))
-        yield pd.DataFrame([(kind[:40], inside, n) for (kind, inside), n in total.items()],
+        yield pd.DataFrame([(kind, inside, n) for (kind, inside), n in total.items()],
                            columns=["kind", "inside", "n"])
 
     marked = pages.select("html").where(F.lower("html").contains("<article"))
@@ -281,7 +384,7 @@ def learned_weights(pages: DataFrame, sample: int = SAMPLE_PAGES) -> dict[str, f
     sums = some.mapInPandas(counted, "kind string, inside boolean, n bigint").groupBy("kind").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inside"),
         F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("outside")) \
-        .where("inside + outside > 5").orderBy(F.desc(F.col("inside") + F.col("outside"))).limit(500).collect()
+        .orderBy(F.desc(F.col("inside") + F.col("outside")), "kind").limit(MOST_TAGS).collect()
     weights = dict(PLAIN)
     for kind, inside, outside in sums:
         odds = log((inside + 1) / (outside + 1))
@@ -299,9 +402,9 @@ def extracted(pages: DataFrame, weights: dict[str, float] | None = None) -> Data
         for html in parts:
             yield pd.Series([extract(page, weights) for page in html], dtype=object)
 
-    with_text = pages.withColumn("__text", main_text("html"))
-    return replace_columns(with_text, {
-        "text": F.col("__text"), "n_chars": F.length("__text").cast("bigint")}).drop("__text")
+    found = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("row"), main_text("html").alias("text"))
+    return found.select(*[F.col("row")[c].alias(c) for c in pages.columns if c.lower() not in ("text", "n_chars")],
+                        "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
