@@ -16,9 +16,14 @@ Only entities that drew again travel back to their documents, as a map of each d
 Secrets without any letter or digit get other symbols; those of up to ``MASK`` different symbols
 are no secrets (``********``, dots, the rule of a table).
 
+Persons are found by a title or a common given name. Where a text names one in full, the same given
+or family name standing alone in that text is the same person's and changes alike.
+
 Defined results: null texts stay null, texts without findings stay as they are; overlapping
 findings go to the kind that comes first in ``PATTERNS``; repeated rows change alike; texts are
-read whole; ``n_chars`` is counted anew where there is such a column.
+read whole, and searched in time that grows with their length alone; an empty table gives no rows;
+``n_chars`` is counted anew where there is such a column. ``private`` gives back exactly the input's
+columns; ``with_surrogates`` adds ``n_entities`` and ``kinds`` in place of columns so named.
 """
 
 from __future__ import annotations
@@ -34,9 +39,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from clickflow.llm.common import keep_table, replace_columns, small_side, table, text_batches
+from clickflow.llm.common import keep_table, small_side, table, text_batches
 
-KEY = b"set a key of your own"
+EXAMPLE_KEY = b"for trials and tests"  # real data needs a key of its own, kept secret
 SAME_LENGTH = 8  # attempts
 MASK = 3
 SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
@@ -54,15 +59,13 @@ DIGIT, WORDS = re.compile(r"\d"), re.compile(r"\w+")
 PERSON_WORDS = frozenset(WORDS.match(w)[0] for w in (*FEMALE, *MALE, *EITHER, *GIVEN_FEMALE, *GIVEN_MALE))
 # kind, whether it can occur at all in a text (quick to tell, never stricter than the pattern), pattern
 PATTERNS = (
-    ("secret", lambda text, digit: "-----BEGIN" in text, re.compile(
-        r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----")),
+    ("secret", lambda text, digit: "-----BEGIN" in text, None),
     ("secret", lambda text, digit: max(map(len, text.split()), default=0) >= 20, re.compile(
         r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}"
         r"|[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])")),
     ("secret", lambda text, digit: "=" in text or ":" in text, re.compile(
         r"(?i:token|secret|password|passwd|key)\s*[=:]\s*[\"']?([^\s\"']{8,})")),
-    ("email", lambda text, digit: "@" in text, re.compile(
-        r"[^\W_](?:[\w.%+-]*[^\W_])?@[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")),
+    ("email", lambda text, digit: "@" in text, None),
     ("iban", lambda text, digit: digit, re.compile(
         r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
     ("ip", lambda text, digit: digit or ":" in text, re.compile(
@@ -78,6 +81,11 @@ PATTERNS = (
         rf"\b(?P<title>{'|'.join((*FEMALE, *MALE, *EITHER))})\.? (?P<names>{NAME}(?: {NAME})?)"
         rf"|\b(?P<given>{'|'.join((*GIVEN_FEMALE, *GIVEN_MALE))}) (?P<family>{NAME})")),
 )
+KEY_BEGIN, KEY_END = (re.compile(rf"-----{word} [A-Z ]*PRIVATE KEY-----") for word in ("BEGIN", "END"))
+LOCAL, DOMAIN = re.compile(r"[\w.%+-]+"), re.compile(r"@[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")
+NOT_ALNUM = re.compile(r"[\W_]*")
+BARE_NAME = re.compile(rf"\b{NAME}\b")
+LEAST_NAME = 3
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу"}
 CONSONANTS = {"latin": "bdfgklmnprstv", "cyrillic": "бвгдклмнпрст"}
 ENDS = {("latin", "f"): "a", ("latin", "m"): "o", ("latin", "n"): "i", ("cyrillic", "f"): "а",
@@ -128,23 +136,62 @@ def _persons(match: re.Match) -> list[tuple[int, int, str]]:
     return [(start, middle, "given_" + gender), (middle + 1, match.end("names"), "family")]
 
 
+def _private_keys(text: str) -> Iterator[tuple[int, int]]:
+    at = 0
+    while (begin := KEY_BEGIN.search(text, at)) and (end := KEY_END.search(text, begin.end())):
+        yield begin.start(), end.end()
+        at = end.end()
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """E-mail addresses, looked for outwards from each ``@``."""
+    done = 0
+    for run in LOCAL.finditer(text):
+        start, at = max(run.start(), done), run.end()
+        if start >= at or not text.startswith("@", at) or not text[at - 1].isalnum():
+            continue
+        domain = DOMAIN.match(text, at)
+        if domain:
+            done = domain.end()
+            yield NOT_ALNUM.match(text, start).end(), done
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, canon)`` of all entities in order, none overlapping."""
     if not text:
         return []
     taken: list[tuple[int, int, str]] = []
+    marked = bytearray(len(text))
     digit = DIGIT.search(text) is not None
+    names: dict[str, str] = {}
+
+    def take(parts: list[tuple[int, int, str]]) -> bool:
+        if marked.find(1, parts[0][0], parts[-1][1]) >= 0:
+            return False
+        marked[parts[0][0]:parts[-1][1]] = b"\1" * (parts[-1][1] - parts[0][0])
+        taken.extend(parts)
+        return True
+
     for kind, possible, pattern in PATTERNS:
         if not possible(text, digit):
             continue
+        if pattern is None:
+            for span in _private_keys(text) if kind == "secret" else _addresses(text):
+                take([(*span, kind)])
+            continue
         for match in pattern.finditer(text):
             parts = _persons(match) if kind == "person" else [
                 (*match.span(1 if kind == "secret" and match.lastindex else 0), kind)]
             if kind == "secret" and len(set(text[slice(*parts[0][:2])])) <= MASK and not has_letters(
                     text[slice(*parts[0][:2])]):
                 continue
-            if not any(s < parts[-1][1] and parts[0][0] < e for s, e, _ in taken):
-                taken += parts
+            if take(parts) and kind == "person":
+                for start, end, part in parts:
+                    names.setdefault(text[start:end], part)
+    if names:  # a person named in full is the same one where one name stands alone
+        for match in BARE_NAME.finditer(text):
+            if len(match[0]) >= LEAST_NAME and match[0] in names:
+                take([(*match.span(), names[match[0]])])
     return [(s, e, kind, _plain(kind, text[s:e])) for s, e, kind in sorted(taken)]
 
 
@@ -180,7 +227,7 @@ class Draws:
         return "0123456789abcdef"[self.below(16)] if char.islower() or char.isdigit() else "0123456789ABCDEF"[self.below(16)]
 
 
-def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = KEY) -> str:
+def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = EXAMPLE_KEY) -> str:
     """The canonical surrogate of an entity; further attempts give other ones."""
     draw = Draws(key, kind, canon, attempt)
     longer = max(0, attempt - SAME_LENGTH)
@@ -234,7 +281,7 @@ def written_like(kind: str, text: str, made: str) -> str:
     return made.upper() if kind == "email" and text.isupper() else made
 
 
-def replaced(text: str | None, attempts: dict, key: bytes = KEY) -> tuple[str | None, list]:
+def replaced(text: str | None, attempts: dict, key: bytes = EXAMPLE_KEY) -> tuple[str | None, list]:
     """The text with surrogates, and the entities found."""
     found = find(text)
     if not found:
@@ -251,20 +298,19 @@ def text_key():
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
 
 
-def mentions(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, kind, canon``: each document's different entities."""
+def mentions(texts: DataFrame) -> DataFrame:
+    """``text_key, kind, canon``: each text's different entities."""
     def found(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = [(doc_id, name, kind, canon)
-                    for doc_id, name, text in zip(part["doc_id"], part["text_key"], part["text"])
+            rows = [(name, kind, canon) for name, text in zip(part["text_key"], part["text"])
                     for kind, canon in sorted({x[2:] for x in find(text)})]
-            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "kind", "canon"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["text_key", "kind", "canon"])
 
-    texts = docs.where("text IS NOT NULL").select("doc_id", text_key().alias("text_key"), "text")
-    return texts.mapInPandas(found, "doc_id bigint, text_key binary, kind string, canon string")
+    return texts.where("text IS NOT NULL").select(text_key().alias("text_key"), "text").mapInPandas(
+        found, "text_key binary, kind string, canon string")
 
 
-def drawn_again(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+def drawn_again(entities: DataFrame, key: bytes = EXAMPLE_KEY) -> DataFrame:
     """Entities ``(kind, canon, attempt)`` whose first surrogate was taken, all now different."""
     @F.pandas_udf(StringType())
     def made(kind: pd.Series, canon: pd.Series, attempt: pd.Series) -> pd.Series:
@@ -286,14 +332,14 @@ def drawn_again(entities: DataFrame, key: bytes = KEY) -> DataFrame:
         drawn = keep_table(next_draw.withColumn("made", made("kind", "canon", "attempt")), "pii-drawn")
 
 
-def with_surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """The documents with surrogates in ``text``, and ``n_entities`` and ``kinds`` found."""
+def _changed(docs: DataFrame, key: bytes) -> DataFrame:
+    """``row`` (the whole row) and ``new``: the text with surrogates, ``n`` and ``kinds`` found."""
     text_batches(docs.sparkSession)
     seen = keep_table(mentions(docs), "pii-mentions")
     again = keep_table(drawn_again(seen.select("kind", "canon").distinct(), key), "pii-attempts")
-    attempts = keep_table(seen.join(small_side(again, again.count()), ["kind", "canon"])
-                          .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-                          .agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("__attempts")), "pii-own")
+    attempts = keep_table(seen.distinct().join(small_side(again, again.count()), ["kind", "canon"])
+                          .groupBy("text_key").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("own")),
+                          "pii-own")
 
     @F.pandas_udf(StructType([StructField("text", StringType()), StructField("n", LongType()),
                               StructField("kinds", StringType())]))
@@ -305,25 +351,32 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
             rows.append((new, len(found), ",".join(sorted({x[2].split("_")[0] for x in found}))))
         return pd.DataFrame(rows, columns=["text", "n", "kinds"])
 
-    keyed = docs.withColumn("__text_key", text_key())
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), "text")
     if attempts.isEmpty():
-        joined = keyed.withColumn("__attempts", F.lit(None).cast(attempts.schema["__attempts"].dataType))
+        joined = rows.withColumn("own", F.lit(None).cast(attempts.schema["own"].dataType))
     else:
-        joined = keyed.join(small_side(attempts, attempts.count()), F.col("doc_id").eqNullSafe(F.col("__id"))
-                            & (F.col("__text_key") == F.col("__key")), "left")
-    rows = joined.withColumn("__new", changed("text", "__attempts"))
-    added = {"text": F.col("__new.text"), "n_entities": F.col("__new.n"), "kinds": F.col("__new.kinds")}
-    names = {c.lower(): c for c in docs.columns}
-    if "n_chars" in names:
-        added[names["n_chars"]] = F.length("__new.text").cast("bigint")
-    return replace_columns(rows, added).drop("__text_key", "__id", "__key", "__attempts", "__new")
+        joined = rows.withColumn("text_key", text_key()).join(
+            small_side(attempts, attempts.count()), "text_key", "left")
+    return joined.select("row", changed("text", "own").alias("new"))
+
+
+def _columns(docs: DataFrame, without: tuple[str, ...] = ()) -> list:
+    """The columns of the documents, ``text`` and ``n_chars`` as they are now."""
+    now = {"text": F.col("new.text"), "n_chars": F.length("new.text").cast("bigint")}
+    return [now.get(c.lower(), F.col("row")[c]).alias(c) for c in docs.columns if c.lower() not in without]
+
+
+def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
+    """The documents with surrogates in ``text``, and ``n_entities`` and ``kinds`` found."""
+    return _changed(docs, key).select(*_columns(docs, ("n_entities", "kinds")),
+                                      F.col("new.n").alias("n_entities"), F.col("new.kinds").alias("kinds"))
 
 
-def private(docs: DataFrame) -> DataFrame:
+def private(docs: DataFrame, key: bytes) -> DataFrame:
     """The documents with surrogates, with the columns they came with."""
-    return with_surrogates(docs).select(*docs.columns)
+    return _changed(docs, key).select(*_columns(docs))
 
 
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return with_surrogates(docs).select("doc_id", "text", "n_entities", "kinds")
+    return with_surrogates(docs, EXAMPLE_KEY).select("doc_id", "text", "n_entities", "kinds")

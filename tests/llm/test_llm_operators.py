@@ -270,7 +270,7 @@ def test_quick_tests_are_never_stricter_than_their_patterns():
     for text in texts:
         assert len(pii.find(text)) > 0, text
     for kind, possible, pattern in pii.PATTERNS:
-        for text in texts:
+        for text in texts if pattern else ():
             assert possible(text, pii.DIGIT.search(text) is not None) or not pattern.search(text), (kind, text)
 
 
@@ -282,7 +282,7 @@ def test_surrogates_differ_after_collisions(spark):
     made = {pii.surrogate(k, c, again.get((k, c), 0)) for k, c in names}
     assert len(made) == len(names) and not made & {c for _, c in names}
     docs = spark.createDataFrame([(n, f"to {c} and {c}") for n, (_, c) in enumerate(names)], "doc_id bigint, text string")
-    texts = [r.text.split(" ") for r in pii.private(docs).collect()]
+    texts = [r.text.split(" ") for r in pii.private(docs, pii.EXAMPLE_KEY).collect()]
     assert all(t[1] == t[3] for t in texts) and {t[1] for t in texts} == made
 
 
@@ -309,12 +309,12 @@ def test_every_entity_gets_another_surrogate(spark):
 
 def test_surrogates_on_edges(spark):
     docs = edge_docs(spark)
-    new = pii.private(docs)
+    new = pii.private(docs, pii.EXAMPLE_KEY)
     assert new.columns == docs.columns
     by = {r.doc_id: r for r in new.collect() if r.doc_id}
     assert by[3].text is None and by[8].text == LONG and by[1].text == TEXTS[0][1]
     assert "anna@mail" not in by[9].text and "555-7713" not in by[9].text and by[9].n_chars == len(by[9].text)
-    assert pii.with_surrogates(docs.limit(0)).count() == 0
+    assert pii.with_surrogates(docs.limit(0), pii.EXAMPLE_KEY).count() == 0
 
 
 def test_leaks_on_edges(spark):
