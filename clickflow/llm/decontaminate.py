@@ -126,10 +126,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, all their columns as they were."""
     leaks = keep_table(contamination(docs, benchmark).where("contaminated").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "leak-rows")
-    return docs.withColumn("__text_key", text_key()).join(
-        small_side(leaks, leaks.count()), F.col("doc_id").eqNullSafe(F.col("__id"))
-        & (F.col("__text_key") == F.col("__key")), "left_anti").drop("__text_key")
+        F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct(), "leak-rows")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       F.col("doc_id").alias("of"), text_key().alias("text_key"))
+    return rows.join(small_side(leaks, leaks.count()), F.col("of").eqNullSafe(F.col("id"))
+                     & (F.col("text_key") == F.col("key")), "left_anti").select("row.*")
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from clickflow.llm.common import keep_table, text_batches
 
@@ -106,7 +107,7 @@ def feature_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def labelled_features(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, label, features``: one row per labelled id that has a document."""
     texts = labelled_texts(docs, labels.select("doc_id", F.col(label).cast("double").alias("label")), rows)
-    made = texts.where("label IS NOT NULL").mapInPandas(
-        feature_rows, "doc_id bigint, label double, features array<double>")
+    made = texts.where("label IS NOT NULL").mapInPandas(feature_rows, StructType([
+        texts.schema["doc_id"], *StructType.fromDDL("label double, features array<double>").fields]))
     return keep_table(made.groupBy("doc_id").agg(
         F.first("label").alias("label"), F.min("features").alias("features")), "fit-features")

@@ -463,16 +463,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component, all their columns as they were."""
     found = keep_table(near_duplicates(docs), "dedup-found")
-    stays = keep_table(found.where(
-        F.col("kept") & F.col("keeper.text_key").eqNullSafe(F.col("text_key")))
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-        .agg(F.count("*").alias("__rows")), "dedup-stays")
-    keyed = docs.withColumn("__text_key", text_key())
-    whole = keyed.join(small_side(stays, stays.count()), F.col("doc_id").eqNullSafe(F.col("__id"))
-                       & (F.col("__text_key") == F.col("__key")))
-    if not stays.where("__rows > 1").isEmpty():  # the same row several times
-        whole = whole.dropDuplicates(["__id", "__key"])
-    return whole.drop("__id", "__key", "__text_key", "__rows")
+    stays = F.col("kept") & F.col("keeper.text_key").eqNullSafe(F.col("text_key"))
+    keys = keep_table(found.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(
+        F.first(stays).alias("stays"), F.count("*").alias("rows")).where("NOT stays OR rows > 1"), "dedup-goes")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       F.col("doc_id").alias("of"), text_key().alias("text_key"))
+    same = F.col("of").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
+    whole = rows.join(small_side(keys, keys.count()), same, "left_anti").select("row.*")
+    several = keys.where("stays")  # the row that stays is there several times
+    n_several = several.count()
+    if n_several:
+        one = rows.join(small_side(several, n_several), same, "left_semi").dropDuplicates(["of", "text_key"])
+        whole = whole.union(one.select("row.*"))
+    return whole
 
 
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

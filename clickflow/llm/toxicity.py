@@ -7,13 +7,15 @@ that did not see the row, so that a later model meets what it will meet when sco
 Features are the words of a text and their first four and six letters, hashed into buckets; for
 each bucket whether it occurs once, twice, four times, or in every ``DENSE``-th word. Over the
 labelled sample the ``FEATURES`` that differ most between toxic and other texts are chosen, and
-logistic regressions with a ridge are fitted to them. Names of buckets are kept, no word list is
-needed; the two first categories of ``CATEGORIES`` are told apart by short lists of known words
-in texts labelled toxic, the last is the label itself.
+logistic regressions with a ridge are fitted to them. There is no list of words: the labels know one
+mark, so the two first categories of ``CATEGORIES`` are kinds of toxic texts found in the sample, those
+that have the feature which most toxic texts have in place of others, and those that have the one that is most
+common among the rest. The last category is the label itself.
 
 Defined results: null and empty texts have no words and get the models' base probability; with
 labels of one kind only the probabilities are that share; repeated rows score alike; whole texts
-are read.
+are read; of features that tell equally much the lower bucket counts; an empty table gives no rows. All
+columns come back but ones named like an added one.
 """
 
 from __future__ import annotations
@@ -29,12 +31,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clickflow.llm.common import keep_table, replace_columns, table, text_batches
+from clickflow.llm.common import keep_table, table, text_batches
 from clickflow.llm.doc_stats import held_out, labelled_texts
 
-INSULTS = ("clown", "idiot", "loser", "moron", "scum")
-CONTEMPT = ("disgusting", "pathetic", "stupid", "trash", "worthless")
-CATEGORIES = ("insult", "contempt", "toxic")
+CATEGORIES = ("first_kind", "second_kind", "toxic")
 WORD = re.compile(r"\w+")
 BUCKETS, LEVELS, DENSE = 1 << 17, 4, 100
 FEATURES, FOLDS, RIDGE, STEPS = 300, 3, 1.0, 10
@@ -138,23 +138,37 @@ class Chain:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """``doc_id``, the categories' labels and the features of the sampled labelled texts."""
+    """``doc_id, toxic, n_words, features`` of the sampled labelled texts."""
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buckets = Buckets()
         for part in parts:
-            made = []
-            for doc_id, text, toxic in zip(part["doc_id"], part["text"], part["toxic"]):
-                words = set(WORD.findall((text or "").lower()))
-                n, features = text_features(text, buckets)
-                made.append((doc_id, float(toxic and not words.isdisjoint(INSULTS)),
-                             float(toxic and not words.isdisjoint(CONTEMPT)), float(toxic), n, features))
-            yield pd.DataFrame(made, columns=["doc_id", *CATEGORIES, "n_words", "features"])
+            made = [(doc_id, float(toxic), *text_features(text, buckets))
+                    for doc_id, text, toxic in zip(part["doc_id"], part["text"], part["toxic"])]
+            yield pd.DataFrame(made, columns=["doc_id", "toxic", "n_words", "features"])
 
     texts = labelled_texts(docs, labels.select("doc_id", "toxic").where("toxic IS NOT NULL"), rows)
-    kind = "doc_id bigint, insult double, contempt double, toxic double, n_words bigint, features array<int>"
+    kind = StructType([texts.schema["doc_id"], *StructType.fromDDL(
+        "toxic double, n_words bigint, features array<int>").fields])
     return keep_table(texts.mapInPandas(read, kind), "toxic-rows")
 
 
+def kinds_of_toxic(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """The labels of all categories, from the matrix of chosen features (without the length).
+
+    A kind's feature is the one whose share among the toxic texts not yet of a kind exceeds its share among
+    other texts by most.
+    """
+    labels, left = [], toxic > 0
+    usual = x[toxic == 0].mean(axis=0) if (toxic == 0).any() else np.zeros(x.shape[1])
+    for _ in CATEGORIES[:-1]:
+        mine = np.zeros(len(x), bool)
+        if x.shape[1] and left.any():
+            mine = left & (x[:, (x[left].mean(axis=0) - usual).argmax()] > 0)
+        labels.append(mine)
+        left = left & ~mine
+    return np.column_stack([*labels, toxic > 0]).astype(float)
+
+
 def telling_features(rows: DataFrame, count: int = FEATURES) -> dict[int, int]:
     """The features with the largest standard score between toxic and other rows."""
     sizes = rows.agg(F.sum("toxic"), F.count("*")).first()
@@ -174,19 +188,20 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Chain
     sample = labelled_rows(docs, labels, rows)
     chain = Chain(telling_features(sample))
     wanted = F.array(*[F.lit(f) for f in chain.chosen]) if chain.chosen else F.array().cast("array<int>")
-    local = sample.select("doc_id", *CATEGORIES, "n_words", F.array_intersect(
+    local = sample.select("doc_id", "toxic", "n_words", F.array_intersect(
         "features", wanted).alias("features")).dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
     if not len(local):
-        local = pd.DataFrame([(0, 0.0, 0.0, 0.0, 0, [])], columns=local.columns)
-    folds = np.array([zlib.crc32(b"fold%d" % i) % FOLDS for i in local["doc_id"]])
+        local = pd.DataFrame([(0, 0.0, 0, [])], columns=local.columns)
+    folds = np.array([zlib.crc32(b"fold%d" % k) % FOLDS for k in range(len(local))])
     x = chain.matrix(list(zip(local["n_words"], local["features"])))
-    chain.fit(x, local[list(CATEGORIES)].to_numpy(float), folds)
+    chain.fit(x, kinds_of_toxic(x[:, :-1], local["toxic"].to_numpy(float)), folds)
     return chain
 
 
 def scored(docs: DataFrame, chain: Chain, toxic_from: float = TOXIC_FROM) -> DataFrame:
-    """Every document with ``p_insult, p_contempt, score`` and ``toxic`` (1 or 0)."""
+    """Every document with ``p_first, p_second, score`` and ``toxic`` (1 or 0)."""
     text_batches(docs.sparkSession)
+
     @F.pandas_udf(StructType([StructField(c, DoubleType()) for c in CATEGORIES]))
     def chances(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         buckets = Buckets({feature // LEVELS for feature in chain.chosen})
@@ -194,11 +209,13 @@ def scored(docs: DataFrame, chain: Chain, toxic_from: float = TOXIC_FROM) -> Dat
             x = chain.matrix([text_features(text, buckets) for text in texts])
             yield pd.DataFrame(chain.score(x), columns=list(CATEGORIES))
 
-    rows = docs.withColumn("__chances", chances("text"))
-    return replace_columns(rows, {
-        "held_out": held_out(), "p_insult": F.col("__chances.insult"), "p_contempt": F.col("__chances.contempt"),
-        "score": F.col("__chances.toxic"),
-        "toxic": (F.col("__chances.toxic") >= toxic_from).cast("int")}).drop("__chances")
+    added = {"held_out": F.col("held"), "p_first": F.col("chances")[CATEGORIES[0]],
+             "p_second": F.col("chances")[CATEGORIES[1]], "score": F.col("chances.toxic"),
+             "toxic": (F.col("chances.toxic") >= toxic_from).cast("int")}
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), held_out().alias("held"),
+                       chances("text").alias("chances"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in added],
+                       *[value.alias(name) for name, value in added.items()])
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import collections
 import time
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from clickflow.llm import html_extract, pii
+from clickflow.llm import html_extract, mixing, near_dedup, pii, quality_rules, toxicity
 
 TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 PROSE = "Some plain words of a text that goes on for a while and then ends here."
@@ -105,3 +107,24 @@ def test_private_keeps_columns_of_any_name(spark):
     kept = pii.private(docs, pii.EXAMPLE_KEY)
     assert kept.columns == docs.columns
     assert kept.first()[0] == "a" and kept.first()[2:] == ("1", "2", 3) and "anna" not in kept.first()["text"]
+
+
+def test_ids_may_be_texts(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text")
+    labels = spark.read.parquet(f"{TINY}/labels.parquet").withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert near_dedup.near_duplicates(docs).where("component_id LIKE 'd%'").count() == docs.count()
+    assert near_dedup.one_of_each(docs).count() <= docs.count()
+    assert quality_rules.good_documents(docs, labels).count() <= docs.count()
+    assert toxicity.scored(docs, toxicity.fitted(docs, labels)).where("score BETWEEN 0 AND 1").count() == docs.count()
+    assert mixing.mix(docs.withColumn("source", F.lit("s"))).count() > 0
+
+
+def test_kinds_of_toxic_texts_come_from_the_texts():
+    x = np.array([[1, 1, 0], [1, 1, 0], [1, 0, 1], [1, 0, 0], [1, 0, 0], [0, 0, 0]], float)
+    labels = toxicity.kinds_of_toxic(x, np.array([1, 1, 1, 0, 0, 1.0]))
+    assert labels[:, 0].tolist() == [1, 1, 0, 0, 0, 0] and labels[:, 1].tolist() == [0, 0, 1, 0, 0, 0]
+    assert labels[:, 2].tolist() == [1, 1, 1, 0, 0, 1]
+    assert toxicity.kinds_of_toxic(np.zeros((2, 0)), np.zeros(2)).shape == (2, 3)
+    empty = toxicity.Chain({})
+    empty.fit(empty.matrix([(0, [])]), np.zeros((1, 3)), np.zeros(1, int))
+    assert len(empty.score(empty.matrix([(5, [])]))) == 1
