@@ -223,11 +223,23 @@ def stream_change_records(spark, folder):
     return stores.spread_columns(records)
 
 
+def stream_change_fetches(spark, folder):
+    """Change entries in fetches of 100, numbered on over the files of a batch and over three runs."""
+    out = work_folder(spark, "fetches")
+    texts = stores.load_entry_texts(spark, folder).select(F.lit("log").alias("logFile"), "position", "value")
+    third = texts.agg(F.max("position")).first()[0] // 3 + 1
+    for part in range(3):
+        texts.where(F.floor(F.col("position") / third) == part).repartition(5).write.mode("append").parquet(f"{out}/input")
+        stream = files.stream_files(spark, f"{out}/input", texts.schema)
+        job.start_change_job(stream, out, f"{out}/checkpoint", trigger=None, fetch_entries=100).awaitTermination()
+    return stores.spread_columns(spark.read.parquet(f"{out}/records"))
+
+
 QUERIES = {f.__name__: f for f in [
     stream_parse, stream_new_visitor_flags, stream_pvuv, stream_freshness, stream_hot,
     stream_hot_last_window, stream_late_rows, stream_totals, stream_batch_counts, stream_bulk_late_rows,
     stream_bulk_totals, stream_click_wide, stream_user_history, stream_state_history,
-    stream_pvuv_rollup, stream_change_records,
+    stream_pvuv_rollup, stream_change_records, stream_change_fetches,
 ]}
 
 
@@ -343,4 +355,10 @@ WHERE epoch_ms(over_at) <= (SELECT max(ms) - 2000 FROM clicks) GROUP BY 1, 2""")
 numbered AS (
   SELECT *, CAST(("batchId" // 2) % 3 + 1 AS INTEGER) AS "emptyCount" FROM kinds
   WHERE k % 6 NOT IN (0, 4, 5))""", stores.RECORDS, then=stores.SPREAD),
+    "stream_change_fetches": _with(stores.ENTRIES, """
+numbered AS (
+  SELECT * FROM (
+    SELECT *, CAST((row_number() OVER (ORDER BY k, "entryType") - 1) // 100 + 1 AS INTEGER) AS "emptyCount"
+    FROM kinds)
+  WHERE k % 6 NOT IN (0, 4, 5))""", stores.RECORDS, then=stores.SPREAD),
 }

@@ -11,6 +11,7 @@ from clickflow.operators import changes, envelope
 from clickflow.operators.batchlog import BatchLog, write_batch
 from clickflow.operators.history import JOIN_SETTINGS, VisitorHistory
 from clickflow.operators.metrics import GRAINS, WINDOW_MS, hourly_sums, window_start
+from clickflow.operators.numbering import number_by
 from clickflow.operators.totals import TOTALS, Ledger
 from clickflow.operators.visitors import FLAG_NAMES, VISITOR_KEY, hot_visitors
 from clickflow.operators.widen import with_hour_key
@@ -293,33 +294,44 @@ def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
                      pattern: str = changes.ALL_TABLES,
                      trigger: str | None = TRIGGER, fold_every: int = FOLD_EVERY,
                      send: Callable[[DataFrame], None] | None = None,
-                     shuffle_partitions: int | None = None) -> StreamingQuery:
+                     shuffle_partitions: int | None = None, fetch_entries: int | None = None,
+                     order: tuple[str, ...] = ("logFile", "position", "value")) -> StreamingQuery:
     """Flattens a stream of change-entry texts into ``folder/records``, ``folder/bad`` beside it.
 
-    Non-empty micro-batches are numbered 1, 2, 3, ... across restarts. ``send`` is given each
+    Non-empty micro-batches are numbered 1, 2, 3, ... across restarts. With ``fetch_entries`` it is
+    fetches of so many entries that are numbered, markers and unreadable entries among them: the entries of a
+    micro-batch are put in the ``order`` of the log (columns beside the text), and a fetch may begin in
+    one file or micro-batch and end in the next. ``send`` is given each
     batch's topic records, for example ``lambda r: write_topic(r, servers, topic)``; a replay
     sends the same keys again.
     """
     spark = texts.sparkSession
     fetches = Highest(spark, f"{folder.rstrip('/')}/fetches")
 
+    def numbered(batch: DataFrame, batch_id: int) -> DataFrame:
+        before = fetches.before(batch_id) or 0
+        if fetch_entries is None:
+            return batch.withColumn("emptyCount", F.lit(before + 1))
+        place = F.floor((F.col("_entry") - 1 + before) / fetch_entries) + 1
+        ranked = number_by(batch, list(order), "_entry", f"{folder.rstrip('/')}/in-order")
+        return ranked.withColumn("emptyCount", place.cast("int"))
+
     def handle_entries(parsed: DataFrame, batch_id: int) -> None:
-        if parsed.isEmpty():
+        entries = parsed.count()
+        if not entries:
             return
-        number = (fetches.before(batch_id) or 0) + 1
-        fetches.append(number, batch_id)
+        fetches.append((fetches.before(batch_id) or 0) + (entries if fetch_entries else 1), batch_id)
         fetches.maintain(batch_id, fold_every)
-        numbered = changes.good_entries(parsed).withColumn("emptyCount", F.lit(number))
-        records = changes.flatten_entries(changes.subscribe(numbered, pattern))
+        records = changes.flatten_entries(changes.subscribe(changes.good_entries(parsed), pattern))
         write_batch(records, f"{folder}/records", batch_id)
         if send:
             send(changes.topic_records(records))
         write_batch(changes.bad_entries(parsed), f"{folder}/bad", batch_id)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # read and parsed once, for the test whether there is anything and for all that is written
-        parsed = changes.parse_entries(batch).persist()
         with batch_settings(batch.sparkSession, shuffle_partitions):
+            # read and parsed once, for the test whether there is anything and for all that is written
+            parsed = changes.parse_entries(numbered(batch, batch_id), keep=("emptyCount",)).persist()
             try:
                 handle_entries(parsed, batch_id)
             finally:

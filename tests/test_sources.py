@@ -74,3 +74,10 @@ def test_work_folder_is_below_the_shared_one():
     assert one.startswith("hdfs://shared/x-") and one != two
     with pytest.raises(ValueError):
         work_folder(session_like("yarn", None), "x")
+
+
+def test_numbers_follow_any_columns(spark):
+    rows = [(f"f{k % 3}", (k * 37) % 101, str(k)) for k in range(101)]
+    numbered = numbering.number_by(spark.createDataFrame(rows, "file string, at bigint, t string").repartition(7), ["file", "at"], "n")
+    assert [(r.file, r.at) for r in sorted(numbered.collect(), key=lambda r: r.n)] == sorted((f, a) for f, a, _ in rows)
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 102))
