@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickflow.operators.batchlog import delete_folder
@@ -33,7 +37,18 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-_work_tables: list[str] = []
+_made: ContextVar[list[str] | None] = ContextVar("work tables", default=None)
+
+
+@contextmanager
+def work_tables() -> Iterator[list[str]]:
+    """The folders of the tables that ``keep_table`` writes inside the block, and in no other."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
 
 
 def keep_table(df: DataFrame, purpose: str) -> DataFrame:
@@ -43,22 +58,23 @@ def keep_table(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_folder(spark, purpose)
-    _work_tables.append(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_work_tables(spark: SparkSession, but: DataFrame | None = None) -> None:
-    """Delete the work tables this driver has written, once what was built on them is stored.
+def drop_work_tables(spark: SparkSession, made: list[str], but: DataFrame | None = None) -> list[str]:
+    """Delete work tables once what was built on them is stored; ``but`` is one that is still needed.
 
-    ``but`` is a kept table that is still needed.
+    The tables that stay are returned.
     """
     needed = [name.rsplit("/", 1)[0] for name in (but.inputFiles() if but is not None else [])]
-    stays = [path for path in _work_tables if any(name.endswith(path.split("://")[-1]) for name in needed)]
-    for path in _work_tables:
+    stays = [path for path in made if any(name.endswith(path.split("://")[-1]) for name in needed)]
+    for path in made:
         if path not in stays:
             delete_folder(spark, path)
-    _work_tables[:] = stays
+    return stays
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:

@@ -461,10 +461,58 @@ def test_pipeline(spark):
     assert not any("@mail" in (r.text or "") and ".example.com" in r.text for r in final)
 
 
-def test_work_tables_go_but_for_the_one_needed(spark):
+def test_pipeline_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").cache()
+    good, one, clean, private, mixed = [], [], [], [], []
+    for (_, stage), found in zip(corpus_pipeline.STAGES, (good, one, clean, private, mixed)):
+        docs = stage(spark, docs, TINY).cache()
+        found += docs.collect()
+    kept = {i for i, _, _, stays in brute_components([(r.doc_id, r.text) for r in good]) if stays}
+    assert {r.doc_id for r in one} == kept and len(one) == len(kept) < len(good)
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(low))
+    windows = set()
+    for item in spark.read.parquet(f"{TINY}/benchmark.parquet").collect():
+        w = words(item.text)
+        windows |= {tuple(w[k:k + 10]) for k in range(max(1, len(w) - 9))} if w else set()
+    sizes = {len(w) for w in windows}
+
+    def leaks(text):
+        w = words(text)
+        return any(tuple(w[k:k + n]) in windows for n in sizes for k in range(len(w) - n + 1))
+    assert {r.doc_id for r in clean} == {r.doc_id for r in one if not leaks(r.text)} and len(clean) < len(one)
+    assert [(r.doc_id, r.lang, r.source) for r in sorted(private)] == [(r.doc_id, r.lang, r.source) for r in sorted(clean)]
+    before = {r.doc_id: r.text for r in clean}
+    for r in private:
+        found = pii.find(before[r.doc_id])
+        assert (r.text == before[r.doc_id]) == (not found) and r.n_chars == len(r.text)
+        for start, end, kind, _ in found:
+            assert kind == "family" or kind.startswith("given") or before[r.doc_id][start:end] not in r.text
+    taken, size = collections.Counter(), collections.Counter()
+    for r in mixed:
+        taken[r.source] += len(r.text.split())
+    for r in private:
+        size[r.source] += len(r.text.split())
+    assert abs(sum(taken.values()) - sum(size.values())) < 0.1 * sum(size.values())
+    assert collections.Counter((r.doc_id, r.copy) for r in mixed).most_common(1)[0][1] == 1
+    assert {r.doc_id for r in mixed} <= {r.doc_id for r in private} and max(r.copy for r in mixed) <= 3
+
+
+def test_pipeline_stages_on_edges(spark):
+    added = {n: F.lit("x") for n in ("__id", "id", "key", "of", "new", "own", "words", "target", "bin", "hit")}
+    for docs in (edge_docs(spark).withColumns(added), edge_docs(spark).withColumns(added).limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, TINY)
+            assert out.columns == docs.columns + ["copy"] * (name == "mixing")
+            assert out.count() <= 3 * len(TEXTS) if docs.count() else out.count() == 0
+
+
+def test_only_own_work_tables_go(spark):
     import os
-    common.drop_work_tables(spark)
-    first, second = (common.keep_table(spark.range(n), f"gone-{n}") for n in (1, 2))
-    paths = list(common._work_tables)
-    common.drop_work_tables(spark, second)
-    assert [os.path.exists(p) for p in paths] == [False, True] and second.count() == 2
+    other = common.keep_table(spark.range(5), "other")
+    with common.work_tables() as made:
+        first, second = (common.keep_table(spark.range(n), f"gone-{n}") for n in (1, 2))
+    assert common.drop_work_tables(spark, made, second) == made[1:]
+    assert [os.path.exists(p) for p in made] == [False, True] and second.count() == 2 and other.count() == 5
