@@ -20,20 +20,6 @@ from clickflow.streaming import job
 from clickflow.streaming.visitors import state_history
 
 
-def stream_table(spark, folder, name):
-    """A given table as a stream; the braces let it be one file or a folder of files."""
-    schema = tables.read_table(spark, folder, name).schema
-    return files.stream_files(spark, f"{folder}/{{{name}.parquet}}", schema)
-
-
-def stream_event_clicks(spark, folder):
-    return tables.event_clicks(stream_table(spark, folder, "events"))
-
-
-def stream_raw_events(spark, folder):
-    return raw_records(stream_table(spark, folder, "events"))
-
-
 def raw_records(events):
     """Events as raw records: enveloped, numbered, with the broker's time half a second later."""
     clicks = tables.event_clicks(events)
@@ -64,17 +50,11 @@ def _fed(spark, folder, name, part, run, parts=3):
     return out
 
 
-def _file_result(stream, purpose):
-    """Runs a stream into a new folder and reads that back."""
-    spark = stream.sparkSession
-    out = work_folder(spark, purpose)
-    job.start_file_sink(stream, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
-
-
 def stream_parse(spark, folder):
-    """Raw records parsed to flat clicks on a stream."""
-    return _file_result(job.parse_raw(stream_raw_events(spark, folder)), "parse")
+    """Raw records parsed to flat clicks on a stream, in three runs."""
+    out = _fed(spark, folder, "events", event_part(), lambda stream, out: job.start_file_sink(
+        job.parse_raw(raw_records(stream)), f"{out}/rows", f"{out}/checkpoint", None))
+    return spark.read.parquet(f"{out}/rows")
 
 
 def stream_new_visitor_flags(spark, folder):
