@@ -55,23 +55,29 @@ def number_in_order(df: DataFrame, seq: str, name: str, block_width: int = BLOCK
     )
 
 
-def number_by(df: DataFrame, order: list[str], name: str, path: str | None = None) -> DataFrame:
+# Rows that one task sorts, about: ranges are cut at quantiles of a sample.
+RANGE_ROWS = 1 << 17
+
+
+def number_by(df: DataFrame, order: list[str], name: str, path: str | None = None,
+              range_rows: int = RANGE_ROWS) -> DataFrame:
     """Numbers rows 1, 2, 3, ... in the order of any columns that tell all rows apart.
 
-    The rows are sorted into ranges, one per task, and written. A row's number is its place in its range
-    and the rows of the ranges before; only one row per range goes to all tasks. Give a ``path`` to write
-    to the same place every time.
+    The rows are counted, sorted into ranges of about ``range_rows``, one per task, and written. A row's
+    number is its place in its range and the rows of the ranges before; only one row per range goes to
+    all tasks. Give a ``path`` to write to the same place every time.
     """
     spark, path = df.sparkSession, path or work_folder(df.sparkSession, "in-order")
     at = F.monotonically_increasing_id()  # the range and, in the lower 33 bits, the place in it
-    ranked = df.sort(*order).withColumn("_at", at)
+    ranges = max(1, -(-df.count() // range_rows))
+    ranked = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", at)
     ranked.write.mode("overwrite").parquet(path)
     rows = spark.read.schema(ranked.schema).parquet(path)
     place = F.shiftright("_at", 33)
-    ranges = rows.groupBy(place.alias("_range")).agg(F.count(F.lit(1)).alias("_rows")) \
+    starts = rows.groupBy(place.alias("_range")).agg(F.count(F.lit(1)).alias("_rows")) \
         .select("_range", _sum_before("_rows", "_range").alias("_before"))
     return (
-        rows.withColumn("_range", place).join(F.broadcast(ranges), "_range")
+        rows.withColumn("_range", place).join(F.broadcast(starts), "_range")
         .withColumn(name, (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).cast("bigint"))
         .drop("_at", "_range", "_before")
     )

@@ -203,13 +203,18 @@ def stream_change_records(spark, folder):
     return stores.spread_columns(records)
 
 
+# Entries per input file, about, where there are enough of them for more than five files.
+FILE_ENTRIES = 100_000
+
+
 def stream_change_fetches(spark, folder):
     """Change entries in fetches of 100, numbered on over the files of a batch and over three runs."""
     out = work_folder(spark, "fetches")
     texts = stores.load_entry_texts(spark, folder).select(F.lit("log").alias("logFile"), "position", "value")
-    third = texts.agg(F.max("position")).first()[0] // 3 + 1
+    newest, entries = texts.agg(F.max("position"), F.count(F.lit(1))).first()
+    third, per_part = newest // 3 + 1, max(5, entries // (3 * FILE_ENTRIES))
     for part in range(3):
-        texts.where(F.floor(F.col("position") / third) == part).repartition(5).write.mode("append").parquet(f"{out}/input")
+        texts.where(F.floor(F.col("position") / third) == part).repartition(per_part).write.mode("append").parquet(f"{out}/input")
         stream = files.stream_files(spark, f"{out}/input", texts.schema)
         job.start_change_job(stream, out, f"{out}/checkpoint", trigger=None, fetch_entries=100).awaitTermination()
     return stores.spread_columns(spark.read.parquet(f"{out}/records"))
