@@ -14,7 +14,7 @@ from clickflow.operators.totals import Ledger
 from clickflow.operators.visitors import VISITOR_KEY
 from clickflow.plans import clicks as batch
 from clickflow.plans import stores
-from clickflow.session import work_folder
+from clickflow.session import keep_table, setting, work_folder
 from clickflow.sources import files, tables
 from clickflow.streaming import job
 from clickflow.streaming.visitors import state_history
@@ -211,10 +211,13 @@ def stream_change_fetches(spark, folder):
     """Change entries in fetches of 100, numbered on over the files of a batch and over three runs."""
     out = work_folder(spark, "fetches")
     texts = stores.load_entry_texts(spark, folder).select(F.lit("log").alias("logFile"), "position", "value")
+    texts = keep_table(texts, "entries")  # made once, not for the count and each part again
     newest, entries = texts.agg(F.max("position"), F.count(F.lit(1))).first()
     third, per_part = newest // 3 + 1, max(5, entries // (3 * FILE_ENTRIES))
     for part in range(3):
-        texts.where(F.floor(F.col("position") / third) == part).repartition(per_part).write.mode("append").parquet(f"{out}/input")
+        # a task sorts what it reads, to deal it out
+        with setting(spark, spark__sql__files__maxPartitionBytes=job.ENTRY_READ):
+            texts.where(F.floor(F.col("position") / third) == part).repartition(per_part).write.mode("append").parquet(f"{out}/input")
         stream = files.stream_files(spark, f"{out}/input", texts.schema)
         job.start_change_job(stream, out, f"{out}/checkpoint", trigger=None, fetch_entries=100).awaitTermination()
     return stores.spread_columns(spark.read.parquet(f"{out}/records"))

@@ -25,6 +25,10 @@ TRIGGER = "5 seconds"
 # Batches between two foldings of the tables a job keeps.
 FOLD_EVERY = 500
 
+# What one task of the change job reads: entries of one kind pack to a tenth of their size, and so much to
+# some 400,000 of them.
+ENTRY_READ = "32m"
+
 # What the metrics read of a click; everything else is dropped before the state.
 METRIC_COLUMNS = ["seq", "userID", "channelID", "count", "timestamp", "arrivalMs"]
 
@@ -329,12 +333,14 @@ def start_change_job(texts: DataFrame, folder: str, checkpoint: str,
         write_batch(changes.bad_entries(parsed), f"{folder}/bad", batch_id)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        with batch_settings(batch.sparkSession, shuffle_partitions):
-            # read and parsed once, for the test whether there is anything and for all that is written
-            parsed = changes.parse_entries(numbered(batch, batch_id), keep=("emptyCount",)).persist()
-            try:
-                handle_entries(parsed, batch_id)
-            finally:
-                parsed.unpersist()
+        # Read and parsed once, into a table, for the test whether there is anything and for all that is written:
+        # cached entries take several times the room of their texts, and that in the executors' memory.
+        path = f"{folder.rstrip('/')}/parsed"
+        with batch_settings(batch.sparkSession, shuffle_partitions), \
+                setting(batch.sparkSession, spark__sql__files__maxPartitionBytes=ENTRY_READ):
+            parsed = changes.parse_entries(numbered(batch, batch_id), keep=("emptyCount",))
+            parsed = parsed.withColumn("raw", F.when(F.col("badReason").isNotNull(), F.col("raw")))
+            parsed.write.mode("overwrite").parquet(path)
+            handle_entries(batch.sparkSession.read.schema(parsed.schema).parquet(path), batch_id)
 
     return start(texts.writeStream.foreachBatch(handle), spark, checkpoint, trigger)

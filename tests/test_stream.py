@@ -198,3 +198,25 @@ def test_change_stream(spark, tmp_path):
     assert len({r.key for r in changes.topic_records(records, "random").collect()}) == len(found)
     with pytest.raises(ValueError):
         changes.topic_records(records, "none")
+
+
+def test_change_entries_are_kept_in_a_table_not_in_memory(spark, tmp_path):
+    def cached():
+        return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+    before, more, sent = cached(), set(), []
+
+    def send(records):
+        more.update(cached() - before)
+        sent.append(records.count())
+
+    texts = [entry("ROWDATA", "INSERT", 1, n) for n in range(1, 8)] + ["nonsense"]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(f"{tmp_path}/in")
+    job.start_change_job(files.stream_entry_texts(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/checkpoint",
+                         trigger=None, send=send, fetch_entries=3, order=("value",)).awaitTermination()
+    assert sent == [7] and not more
+    records = spark.read.parquet(f"{tmp_path}/out/records").collect()
+    assert {r.logFileOffset: r.emptyCount for r in records} == {1: 1, 2: 1, 3: 2, 4: 2, 5: 2, 6: 3, 7: 3}
+    assert [r.raw for r in spark.read.parquet(f"{tmp_path}/out/bad").collect()] == ["nonsense"]
+    kept = spark.read.parquet(f"{tmp_path}/out/parsed")
+    assert kept.count() == 8 and [r.raw for r in kept.where("raw IS NOT NULL").collect()] == ["nonsense"]
