@@ -211,7 +211,9 @@ def stream_change_fetches(spark, folder):
     """Change entries in fetches of 100, numbered on over the files of a batch and over three runs."""
     out = work_folder(spark, "fetches")
     texts = stores.load_entry_texts(spark, folder).select(F.lit("log").alias("logFile"), "position", "value")
-    texts = keep_table(texts, "entries")  # made once, not for the count and each part again
+    # made once, not for the count and each part again; in short files, as no task reads less than a row group
+    with setting(spark, spark__sql__files__maxRecordsPerFile=FILE_ENTRIES):
+        texts = keep_table(texts, "entries")
     newest, entries = texts.agg(F.max("position"), F.count(F.lit(1))).first()
     third, per_part = newest // 3 + 1, max(5, entries // (3 * FILE_ENTRIES))
     for part in range(3):
